@@ -9,6 +9,7 @@ from salesflow.functions.fields import amount, instant
 from salesflow.schema import QUARANTINE, SALE
 
 _CORRUPT = "_corrupt"
+_NO_RECORD = "no_record"
 _RAW_FIELDS = ", ".join([f"{f.name} string" for f in SALE.fields] + [f"{_CORRUPT} string"])
 
 
@@ -48,6 +49,7 @@ def decode_sales(df: DataFrame, value: str = "value", unknown_fields: str = "ign
         no_time = no_time | (time.isNull() & raw.isNotNull() & (F.trim(raw) != ""))
     reason = (
         F.when(F.col("_text") == "", "empty")
+        .when(F.col("_text") == "null", _NO_RECORD)
         .when(json[_CORRUPT].isNotNull() | ~F.col("_utf8"), "corrupt")
         .when(unknown, "unknown_field")
         .when(sale.SalesAmount.isNull(), "bad_amount")
@@ -58,7 +60,7 @@ def decode_sales(df: DataFrame, value: str = "value", unknown_fields: str = "ign
 
     keep = [F.col(c) for c in df.columns if c != value]
     utf8 = F.coalesce(F.is_valid_utf8(body.cast("string")), F.lit(True)).alias("_utf8")
-    parsed = df.select(*keep, text.alias("_text"), utf8).where(F.col("_text") != "null")
+    parsed = df.select(*keep, text.alias("_text"), utf8)
     parsed = parsed.withColumn(
         "_json", F.from_json("_text", _RAW_FIELDS, {"columnNameOfCorruptRecord": _CORRUPT})
     )
@@ -66,7 +68,8 @@ def decode_sales(df: DataFrame, value: str = "value", unknown_fields: str = "ign
     # inline() keeps later filters on the result above the parser. Pushed below it, a filter on
     # `reason` would parse every message once more per field it looks at.
     row = F.struct("_sale.*", F.col("_text").alias("value"), reason.alias("reason"))
-    return parsed.select(*keep, F.inline(F.array(row)))
+    decoded = parsed.select(*keep, F.inline(F.array(row)))
+    return decoded.where(~F.col("reason").eqNullSafe(_NO_RECORD))
 
 
 def good_sales(decoded: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 # 1/10,000 of all rows, and the list has a fixed bound for the driver and for broadcasting.
 HOT_KEY_LIMIT = 10_000
 RANGE_LIMIT = 20_000
+# Expected sample rows per range: a key at the threshold is estimated to within about 15 percent.
+SAMPLES_PER_RANGE = 200
 # Per-range tables up to this many rows are broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -57,34 +59,37 @@ def _position(df: DataFrame, arrival: Sequence[str]) -> Column:
 
 
 def find_hot_keys(df: DataFrame, key: str, arrival: Sequence[str], rows_per_range: int) -> HotKeys:
-    """Look for keys with more than ``rows_per_range`` rows and choose their range boundaries.
+    """Estimate which keys have more than ``rows_per_range`` rows, and choose their boundaries.
 
-    One pre-aggregated count of the key column, and only if there are hot keys a thin sample of
-    their arrival positions. The sample places boundaries, nothing else: results do not depend on
-    it, since every row is then assigned to its range.
+    One pass over the key and arrival columns keeps a thin sample. The sample only balances the
+    work: every row is assigned to its range afterwards and no result depends on the estimate.
     """
     spark = df.sparkSession
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    found = (
-        counts.where(F.col(key).isNotNull() & (F.col("_rows") > rows_per_range))
-        .orderBy(F.desc("_rows"), key)
-        .limit(HOT_KEY_LIMIT)
-        .collect()
-    )
-    if not found:
-        return HotKeys(None, 0, ())
-    schema = T.StructType([T.StructField(key, df.schema[key].dataType)])
-    keys = spark.createDataFrame([(row[key],) for row in found], schema)
-    rows = sum(row["_rows"] for row in found)
-    ranges = min(RANGE_LIMIT, math.ceil(rows / rows_per_range))
-    positions = (
-        df.join(F.broadcast(keys), key, "left_semi")
-        .select(_position(df, arrival).alias(_POSITION))
-        .sample(fraction=min(1.0, 100 * ranges / rows), seed=0)
-    )
-    cuts = [i / ranges for i in range(1, ranges)]
-    found_cuts = positions.approxQuantile(_POSITION, cuts, 0.1 / ranges) if cuts else []
-    return HotKeys(keys, len(found), tuple(sorted(set(found_cuts))))
+    fraction = min(1.0, SAMPLES_PER_RANGE / rows_per_range)
+    sample = df.select(key, _position(df, arrival).alias(_POSITION))
+    if fraction < 1.0:
+        sample = sample.sample(fraction=fraction, seed=0)
+    sample = sample.where(F.col(key).isNotNull()).persist()
+    try:
+        found = (
+            sample.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+            .where(F.col("_rows") > rows_per_range * fraction)
+            .orderBy(F.desc("_rows"), key)
+            .limit(HOT_KEY_LIMIT)
+            .collect()
+        )
+        if not found:
+            return HotKeys(None, 0, ())
+        schema = T.StructType([T.StructField(key, df.schema[key].dataType)])
+        keys = spark.createDataFrame([(row[key],) for row in found], schema)
+        rows = sum(row["_rows"] for row in found) / fraction
+        ranges = min(RANGE_LIMIT, math.ceil(rows / rows_per_range))
+        cuts = [i / ranges for i in range(1, ranges)]
+        positions = sample.join(F.broadcast(keys), key, "left_semi")
+        boundaries = positions.approxQuantile(_POSITION, cuts, 0.1 / ranges) if cuts else []
+    finally:
+        sample.unpersist()
+    return HotKeys(keys, len(found), tuple(sorted(set(boundaries))))
 
 
 def with_ranges(df: DataFrame, key: str, arrival: Sequence[str], hot: HotKeys) -> DataFrame:

@@ -9,6 +9,8 @@ from salesflow.operators.windows import DELAY, SIZE, interval
 
 # Batches per group of the two-step running maximum below.
 GROUP = 4096
+# Batch numbers spanning less than this are at most as many rows of 16 bytes to broadcast.
+BROADCAST_BATCHES = 1_000_000
 
 
 def _peak_before(per_batch: DataFrame, batch: str, peak: str) -> DataFrame:
@@ -17,7 +19,7 @@ def _peak_before(per_batch: DataFrame, batch: str, peak: str) -> DataFrame:
     Batches are grouped by number. The maximum over earlier groups runs over the short group table;
     inside a group each group is its own window partition. No task sees the whole batch table.
     """
-    per_batch = per_batch.withColumn("_group", F.floor(F.col(batch) / GROUP))
+    per_batch = per_batch.withColumn("_group", F.expr(f"`{batch}` div {GROUP}"))
     groups = per_batch.groupBy("_group").agg(F.max(peak).alias("_group_peak"))
     groups = groups.select(
         "_group",
@@ -29,7 +31,8 @@ def _peak_before(per_batch: DataFrame, batch: str, peak: str) -> DataFrame:
         Window.unboundedPreceding, -1
     )
     in_group = per_batch.withColumn("_in_group", F.max(peak).over(inside))
-    joined = in_group.join(groups, "_group")
+    # A left join adds no null filter to one side only, so both sides share one aggregation.
+    joined = in_group.join(groups, "_group", "left")
     return joined.select(batch, F.greatest("_in_group", "_earlier_groups").alias("_clock"))
 
 
@@ -45,11 +48,15 @@ def mark_late(
 
     ``batch`` numbers the arrival batches. A row is late if its window ends at or before the
     highest event time of all earlier batches minus ``delay``. The per-batch maxima are aggregated
-    map-side and joined back; whether that table is broadcast is decided by its actual size, and
-    if it is not, adaptive execution splits a batch that holds much of the data.
+    map-side and joined back: broadcast if the span of batch numbers bounds their count, so that the
+    rows are not shuffled at all; else by a shuffle in which adaptive execution splits a batch that
+    holds much of the data.
     """
+    first, last = df.agg(F.min(batch), F.max(batch)).first()
+    small = first is not None and last - first < BROADCAST_BATCHES
     peaks = df.groupBy(batch).agg(F.max(time).alias("_peak"))
     clocks = _peak_before(peaks, batch, "_peak")
+    clocks = F.broadcast(clocks) if small else clocks
     end = F.window(time, size).end
     is_late = F.coalesce(end <= F.col("_clock") - interval(delay), F.lit(False))
     return df.join(clocks, batch, "left").withColumn(late, is_late).drop("_clock")

@@ -39,10 +39,28 @@ class KeyedState:
 
 @dataclass(frozen=True)
 class _Gate:
-    passed: DataFrame
+    """Rows before the gate, the maximum each (key, range) inherits, and how to apply both."""
+
+    rows: DataFrame
+    inherited: DataFrame | None
+    bound: int | None
     hot: HotKeys
+    key: str
+    time: str
     order: WindowSpec
 
+    def passed(self, rows: DataFrame) -> DataFrame:
+        """The rows later than what their range inherits and than all before them in it."""
+        time = F.col(self.time)
+        if self.inherited is not None:
+            # Most rows of an unordered hot key end here, ahead of the shuffle if this is a
+            # broadcast join.
+            rows = join_per_range(rows, self.inherited, self.key, self.bound)
+            rows = rows.where(F.col("_peak").isNull() | (time > F.col("_peak"))).drop("_peak")
+        rows = rows.withColumn("_earlier", F.max(time).over(_before(self.order)))
+        rows = rows.where(F.col("_earlier").isNull() | (time > F.col("_earlier")))
+        return rows.drop("_earlier")
+
 
 def _before(order: WindowSpec) -> WindowSpec:
     return order.rowsBetween(Window.unboundedPreceding, -1)
@@ -60,29 +78,21 @@ def _gate(
     rows_per_range: int | None,
     state: DataFrame | None,
 ) -> _Gate:
-    """Rows that pass, with ``_hot`` and ``_range``. ``state`` has key, last_time and total."""
+    """Prepare the gate; ``state`` has key, last_time and total."""
     hot = HotKeys(None, 0, ())
     if rows_per_range is not None:
         hot = find_hot_keys(df, key, arrival, rows_per_range)
     checked = df.withColumn(key, _known(key, "key")).withColumn(time, _known(time, "time"))
     rows = with_ranges(checked, key, arrival, hot)
     order = Window.partitionBy(key, RANGE).orderBy(*arrival)
-
-    carried = None
+    inherited = None
     if hot.keys is not None:
         peaks = rows.where(HOT).groupBy(key, RANGE).agg(F.max(time).alias("_peak"))
-        carried = _carry(peaks, "_peak", F.max, key, hot, state, "last_time")
+        inherited = _carry(peaks, "_peak", F.max, key, hot, state, "last_time")
     elif state is not None:
-        carried = state.select(key, F.lit(0).alias(RANGE), F.col("last_time").alias("_peak"))
-    if carried is not None:
-        bound = hot.range_rows if state is None else None
-        rows = join_per_range(rows, carried, key, bound)
-        rows = rows.where(F.col("_peak").isNull() | (F.col(time) > F.col("_peak"))).drop("_peak")
-
-    earlier = F.max(time).over(_before(order))
-    passed = rows.withColumn("_earlier", earlier)
-    passed = passed.where(F.col("_earlier").isNull() | (F.col(time) > F.col("_earlier")))
-    return _Gate(passed.drop("_earlier"), hot, order)
+        inherited = state.select(key, F.lit(0).alias(RANGE), F.col("last_time").alias("_peak"))
+    bound = hot.range_rows if state is None else None
+    return _Gate(rows, inherited, bound, hot, key, time, order)
 
 
 def _carry(
@@ -140,7 +150,7 @@ def monotone_gate(
     """
     columns = arrival_columns(arrival)
     gate = _gate(df, key, time, columns, rows_per_range, _state_columns(state, state_names, key))
-    return gate.passed.select(*df.columns)
+    return gate.passed(gate.rows).select(*df.columns)
 
 
 def dedupe_running_total(
@@ -161,17 +171,19 @@ def dedupe_running_total(
     gate = _gate(df, key, time, columns, rows_per_range, known)
     value = F.coalesce(F.col(amount), F.lit(0)).cast("bigint")
     so_far = gate.order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = gate.passed.withColumn("_sum", F.sum(value).over(so_far))
+    rows = gate.passed(gate.rows).withColumn("_sum", F.sum(value).over(so_far))
 
-    carried = None
+    inherited = None
     if gate.hot.keys is not None:
-        sums = gate.passed.where(HOT).groupBy(key, RANGE).agg(F.sum(value).alias("_base"))
-        carried = _carry(sums, "_base", F.sum, key, gate.hot, known, "total")
+        # A second pass of the gate over four columns of the hot keys' rows.
+        hot_rows = gate.passed(gate.rows.where(HOT))
+        sums = hot_rows.groupBy(key, RANGE).agg(F.sum(value).alias("_base"))
+        inherited = _carry(sums, "_base", F.sum, key, gate.hot, known, "total")
     elif known is not None:
-        carried = known.select(key, F.lit(0).alias(RANGE), F.col("total").alias("_base"))
+        inherited = known.select(key, F.lit(0).alias(RANGE), F.col("total").alias("_base"))
     grand = F.col("_sum")
-    if carried is not None:
-        rows = join_per_range(rows, carried, key, gate.hot.range_rows if known is None else None)
+    if inherited is not None:
+        rows = join_per_range(rows, inherited, key, gate.bound)
         grand = grand + F.coalesce(F.col("_base"), F.lit(0))
     kept = [c for c in df.columns if c != total]
     return rows.select(*kept, narrow(grand, overflow).alias(total))

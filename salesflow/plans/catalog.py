@@ -140,9 +140,7 @@ def event_time_allowed_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _marked_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    delay = F.col("arrival") * 7919 % 7200
-    arrived = F.unix_seconds("EventProcessingTime") + delay
-    batch = F.floor(arrived / 21600)
+    batch = F.expr("(unix_seconds(EventProcessingTime) + arrival * 7919 % 7200) div 21600")
     return mark_late(_events(spark, sf_dir).withColumn("arrival_batch", batch), "arrival_batch")
 
 

@@ -87,9 +87,10 @@ def test_longer_delay(spark):
     assert spark.sql(f"SELECT interval {text} = interval 30 seconds").first()[0]
 
 
-@pytest.mark.parametrize("group", [1, 2, 4096])
-def test_late_marks_equal_a_loop(spark, group, monkeypatch):
+@pytest.mark.parametrize("group,broadcast", [(1, 0), (2, 100), (4096, 100)])
+def test_late_marks_equal_a_loop(spark, group, broadcast, monkeypatch):
     monkeypatch.setattr(lateness, "GROUP", group)
+    monkeypatch.setattr(lateness, "BROADCAST_BATCHES", broadcast)
     rows = [
         (batch, "A" if i % 3 else "B", (batch * 37 + i * 53) % 300 + batch * 9)
         for batch in (0, 1, 2, 5, 6, 9) for i in range(12)
