@@ -109,10 +109,13 @@ def with_ranges(df: DataFrame, key: str, arrival: Sequence[str], hot: HotKeys) -
 
 
 def join_per_range(rows: DataFrame, table: DataFrame, key: str, bound: int | None) -> DataFrame:
-    """Left-join a per-(key, range) table: broadcast below the size bound, else co-partitioned.
+    """Left-join a per-(key, range) table of at most ``bound`` rows, or of unknown size if None.
 
-    The shuffled form partitions both sides by (key, range), which the windows that follow reuse.
+    A small table is broadcast. Otherwise both sides are partitioned by (key, range), which the
+    windows that follow reuse. The hash form saves sorting the rows for the join; its bound keeps
+    one partition's share in memory. A table of unknown size gets the join that can spill.
     """
-    small = bound is not None and bound <= BROADCAST_ROWS
-    table = F.broadcast(table) if small else table.hint("shuffle_hash")
+    if bound is None:
+        return rows.join(table, [key, RANGE], "left")
+    table = F.broadcast(table) if bound <= BROADCAST_ROWS else table.hint("shuffle_hash")
     return rows.join(table, [key, RANGE], "left")

@@ -37,9 +37,14 @@ class Job(NamedTuple):
     quarantine: StreamingQuery | None = None
 
     def await_termination(self) -> None:
-        for query in self:
-            if query is not None:
-                query.awaitTermination()
+        """Wait for both; if one fails, stop the other and raise."""
+        running = [query for query in self if query is not None]
+        try:
+            while running:
+                running = [query for query in running if not query.awaitTermination(1)]
+        except Exception:
+            self.stop()
+            raise
 
     def stop(self) -> None:
         for query in self:

@@ -128,7 +128,7 @@ ORACLE = {
     "product_state_snapshot": _snapshot(_orders()),
     "product_state_snapshot_skewed": _snapshot(_orders("o_orderpriority")),
     "event_time_totals": _windows("30 SECONDS"),
-    "event_time_totals_hourly": _windows("1 HOUR"),
+    "event_time_totals_hourly": _windows("1 HOUR", narrow=_WRAP),
     "event_time_totals_wrapped": _windows(
         "365 DAYS", _orders("o_orderpriority", 100), narrow=_WRAP
     ),
@@ -154,5 +154,8 @@ ORACLE = {
            max(EventProcessingTime) AS last_sale
     FROM ({_orders()}) GROUP BY ProductName""",
     "stream_running_total": _running(_orders()),
+    "stream_processing_time_totals": f"""
+    SELECT ProductName, {_WRAP.format("sum(amount)")} AS amount
+    FROM ({_EVENTS}) GROUP BY ProductName""",
     "stream_event_time_totals": _windows("30 SECONDS", wait="10 SECONDS"),
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -19,3 +21,21 @@ def late_rows_dropped(query: StreamingQuery) -> int:
 
 def input_rows(query: StreamingQuery) -> int:
     return sum(progress.numInputRows for progress in query.recentProgress)
+
+
+def wait_for_timers(query: StreamingQuery, limit_seconds: float = 3600) -> None:
+    """Wait until a batch without input has left no state: all windows have been emitted.
+
+    A query with processing-time timers runs batches without input for ever, so there is no point
+    at which Spark itself calls it done.
+    """
+    limit = time.monotonic() + limit_seconds
+    while query.isActive:
+        last = query.lastProgress
+        if last and last.numInputRows == 0 and not any(o.numRowsTotal for o in last.stateOperators):
+            return
+        if time.monotonic() > limit:
+            raise TimeoutError(f"state is not empty after {limit_seconds} seconds")
+        time.sleep(0.2)
+    if query.exception() is not None:
+        raise query.exception()

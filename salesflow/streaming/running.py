@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from salesflow.operators.hot_keys import BROADCAST_ROWS
 from salesflow.operators.running import ROWS_PER_RANGE, dedupe_running_total, latest_state
 from salesflow.schema import RUNNING_TOTAL, check_schema
 from salesflow.streaming.sinks import BATCH, Target, append_batch, append_each_batch
@@ -39,21 +40,37 @@ def _folder(root: str, batch_id: int, snapshot_every: int) -> str:
 
 
 def state_after(
-    spark: SparkSession, root: str, batch_id: int, snapshot_every: int = SNAPSHOT_EVERY
+    spark: SparkSession,
+    root: str,
+    batch_id: int,
+    snapshot_every: int = SNAPSHOT_EVERY,
+    only: DataFrame | None = None,
 ) -> DataFrame | None:
-    """Last time and total per key after ``batch_id``: a snapshot and the changes since."""
+    """Last time and total per key after ``batch_id``: a snapshot and the changes since.
+
+    ``only`` narrows it to a few keys, before the state is shuffled.
+    """
     if batch_id < 0:
         return None
     first = batch_id - batch_id % snapshot_every
     folders = [_folder(root, b, snapshot_every) for b in range(first, batch_id + 1)]
     rows = spark.read.schema(STATE).parquet(*folders).where(F.col(BATCH).between(first, batch_id))
+    if only is not None:
+        rows = rows.join(F.broadcast(only), KEY, "left_semi")
     return latest_state(rows, KEY, "last_time", "total")
 
 
+def _few_keys(batch: DataFrame) -> DataFrame | None:
+    """The distinct keys of a micro-batch if they are few enough to broadcast."""
+    keys = batch.select(KEY).distinct()
+    return keys if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else None
+
+
 def _write_state(
-    changed: DataFrame, before: DataFrame | None, root: str, batch_id: int, snapshot_every: int
+    spark: SparkSession, changed: DataFrame, root: str, batch_id: int, snapshot_every: int
 ) -> None:
-    if before is not None and batch_id % snapshot_every == 0:
+    if batch_id > 0 and batch_id % snapshot_every == 0:
+        before = state_after(spark, root, batch_id - 1, snapshot_every)
         changed = latest_state(changed.unionByName(before), KEY, "last_time", "total")
     rows = changed.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
     rows = rows.select(*STATE.fieldNames())
@@ -80,13 +97,15 @@ def running_totals_step(
         spark = batch.sparkSession
         if cache:
             batch = batch.persist()
-        before = state_after(spark, root, batch_id - 1, snapshot_every)
+        before = None
+        if batch_id > 0:
+            before = state_after(spark, root, batch_id - 1, snapshot_every, _few_keys(batch))
         totals = dedupe_running_total(
             batch, KEY, TIME, AMOUNT, arrival, TOTAL, overflow, rows_per_range, before
         ).select(*RUNNING_TOTAL.fieldNames())
         appended = append_batch(check_schema(totals, RUNNING_TOTAL), batch_id, target)
         changed = latest_state(appended, KEY, TIME, TOTAL)
-        _write_state(changed, before, root, batch_id, snapshot_every)
+        _write_state(spark, changed, root, batch_id, snapshot_every)
         appended.unpersist()
         if cache:
             batch.unpersist()

@@ -69,3 +69,33 @@ def test_work_dir(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = work_dir(spark, "a"), work_dir(spark, "a")
     assert one.startswith(f"{root}/a-") and one != two
+
+
+def test_job_arguments(tmp_path):
+    import json
+
+    import run_job
+
+    (tmp_path / "connection.json").write_text(json.dumps(CONFIG))
+    args = run_job.arguments(
+        ["running-totals", "--config", str(tmp_path / "connection.json"), "--block", "home",
+         "--block", "consumer", "--topic", "sales", "--table", "/t", "--checkpoint", "/c",
+         "--max-per-batch", "5"]
+    )
+    options = run_job.reader_options(args)
+    assert options["subscribe"] == "sales" and options["maxOffsetsPerTrigger"] == "5"
+    assert options["kafka.bootstrap.servers"] == "broker:9093"
+    to = run_job.target(args)
+    assert (to.path, to.checkpoint, to.format, to.every) == ("/t", "/c", "delta", "10 seconds")
+    assert set(run_job.JOBS) == {
+        "land", "running-totals", "processing-time-totals", "event-time-totals"
+    }
+
+
+def test_topic_needs_its_connector(spark):
+    """The connector is not part of Spark's own jars; without it the source says so."""
+    from salesflow.sources.topic import read_topic
+
+    options = topic_options({"kafka.bootstrap.servers": "b:1"}, "sales")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_topic(spark, options)
