@@ -48,6 +48,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--every", default="10 seconds")
     parser.add_argument("--available-now", action="store_true")
     parser.add_argument("--quarantine", help="table for refused messages; without it they fail")
+    parser.add_argument("--files", type=int, help="files per commit, for window totals")
     parser.add_argument("--unknown-fields", default="ignore", choices=["ignore", "reject"])
     parser.add_argument("--overflow", choices=["error", "wrap"])
     return parser.parse_args(argv)
@@ -63,7 +64,8 @@ def reader_options(args: argparse.Namespace) -> dict[str, str]:
 
 def target(args: argparse.Namespace) -> Target:
     return Target(
-        args.table, args.checkpoint, args.format, args.every, args.available_now, args.quarantine
+        args.table, args.checkpoint, args.format, args.every, args.available_now, args.quarantine,
+        args.files,
     )
 
 

@@ -82,7 +82,8 @@ def _gate(
     hot = HotKeys(None, 0, ())
     if rows_per_range is not None:
         hot = find_hot_keys(df, key, arrival, rows_per_range)
-    checked = df.withColumn(key, _known(key, "key")).withColumn(time, _known(time, "time"))
+    roles = {key: "key", time: "time"} | {column: "arrival" for column in arrival}
+    checked = df.withColumns({column: _known(column, role) for column, role in roles.items()})
     rows = with_ranges(checked, key, arrival, hot)
     order = Window.partitionBy(key, RANGE).orderBy(*arrival)
     inherited = None

@@ -6,6 +6,7 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from salesflow.operators import hot_keys
 from salesflow.operators.running import (
@@ -153,15 +154,16 @@ def test_overflow(spark):
         dedupe_running_total(df, arrival=ARRIVAL, overflow="ignore")
 
 
-@pytest.mark.parametrize("column,role", [("ProductName", "key"), ("EventProcessingTime", "time")])
-def test_null_key_or_time_fails(spark, column, role):
-    df = frame(spark, [("a", "A", 1, 1)]).selectExpr(
-        *[f"cast(null as {'string' if role == 'key' else 'timestamp'}) as {c}" if c == column
-          else c for c in ["SalesId", "ProductName", "EventProcessingTime", "SalesAmount",
-                           "offset", "partition"]]
-    )
+@pytest.mark.parametrize("rows_per_range", [None, 1])
+@pytest.mark.parametrize(
+    "column,role", [("ProductName", "key"), ("EventProcessingTime", "time"), ("offset", "arrival")]
+)
+def test_a_null_fails(spark, column, role, rows_per_range):
+    df = frame(spark, [("a", "A", 1, 1), ("b", "A", 2, 1), ("c", "A", 3, 1)])
+    broken = df.withColumn(column, F.when(F.col("SalesId") != "c", F.col(column)))
+    totals = dedupe_running_total(broken, arrival=ARRIVAL, rows_per_range=rows_per_range)
     with pytest.raises(Exception, match=f"null {role} in column {column}"):
-        dedupe_running_total(df, arrival=ARRIVAL).collect()
+        totals.collect()
 
 
 def test_arrival_may_be_a_time(spark):

@@ -15,6 +15,7 @@ from salesflow.plans.tables import as_messages, events_as_sales, orders_as_sales
 from salesflow.schema import QUARANTINE, RUNNING_TOTAL, SALE, WINDOW_TOTAL
 from salesflow.sources.replay import recorded, replay
 from salesflow.streaming.progress import input_rows, late_rows_dropped
+from salesflow.streaming import running
 from salesflow.streaming.running import state_after, state_root
 from salesflow.streaming.sinks import Target, append_stream, print_sales, read_table
 
@@ -90,6 +91,41 @@ def test_running_totals_repeated_batch(spark, tmp_path):
                 commit.unlink()
 
 
+@pytest.mark.parametrize("snapshot_every", [2, 50])
+def test_running_totals_lost_before_the_state(spark, tmp_path, monkeypatch, snapshot_every):
+    """A batch that wrote its rows but not its state runs again, and leaves nothing twice."""
+    write_files(tmp_path / "in", FILES)
+    to = target(tmp_path)
+    write_state = running._write_state
+
+    def fail_once(session, changed, root, batch_id, every):
+        if batch_id == 4:
+            monkeypatch.setattr(running, "_write_state", write_state)
+            raise RuntimeError("lost")
+        write_state(session, changed, root, batch_id, every)
+
+    monkeypatch.setattr(running, "_write_state", fail_once)
+
+    def run():
+        jobs.running_totals(
+            messages(spark, tmp_path / "in"), to, arrival="arrival", snapshot_every=snapshot_every
+        ).await_termination()
+
+    with pytest.raises(StreamingQueryException, match="lost"):
+        run()
+    run()
+    assert totals(spark, to) == TOTALS
+
+
+def test_files_per_commit(spark, tmp_path):
+    write_files(tmp_path / "in", FILES)
+    to = target(tmp_path, files=1)
+    jobs.event_time_totals(messages(spark, tmp_path / "in"), to).await_termination()
+    assert windows(read_table(spark, to.path, WINDOW_TOTAL)) == WINDOWS
+    commits = len(list((tmp_path / "out-checkpoint" / "commits").glob("[0-9]*")))
+    assert len(list((tmp_path / "out").glob("*.parquet"))) <= commits
+
+
 def test_event_time_totals(spark, tmp_path):
     write_files(tmp_path / "in", FILES)
     to = target(tmp_path)
