@@ -50,7 +50,9 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--quarantine", help="table for refused messages; without it they fail")
     parser.add_argument("--files", type=int, help="files per commit, for window totals")
     parser.add_argument("--unknown-fields", default="ignore", choices=["ignore", "reject"])
-    parser.add_argument("--overflow", choices=["error", "wrap"])
+    parser.add_argument("--overflow", choices=["error", "wrap"], help="not for land")
+    parser.add_argument("--id", choices=["random", "deterministic"], help="for window totals")
+    parser.add_argument("--lateness", help="keeps event-time windows open longer")
     return parser.parse_args(argv)
 
 
@@ -69,12 +71,15 @@ def target(args: argparse.Namespace) -> Target:
     )
 
 
+def job_options(args: argparse.Namespace) -> dict[str, str]:
+    """The options given; a job refuses those that are not its own."""
+    names = ("unknown_fields", "overflow", "id", "lateness")
+    return {name: getattr(args, name) for name in names if getattr(args, name) is not None}
+
+
 def start(spark: SparkSession, args: argparse.Namespace) -> jobs.Job:
-    options = {"unknown_fields": args.unknown_fields}
-    if args.overflow and args.job != "land":
-        options["overflow"] = args.overflow
     messages = read_topic(configure(spark), reader_options(args))
-    return JOBS[args.job](messages, target(args), **options)
+    return JOBS[args.job](messages, target(args), **job_options(args))
 
 
 if __name__ == "__main__":

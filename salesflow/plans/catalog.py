@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from salesflow.functions.amounts import narrow
 from salesflow.functions.ids import sale_line
 from salesflow.operators.decode import decode_sales, good_sales, sale_rows
-from salesflow.operators.lateness import count_late, mark_late
+from salesflow.operators.lateness import count_late, mark_late, on_time_totals
 from salesflow.operators.running import dedupe_running_total, key_state, monotone_gate
 from salesflow.operators.windows import closed_totals, tumbling_totals
 from salesflow.plans import jobs
@@ -144,17 +144,22 @@ def event_time_allowed_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closed_totals(_events(spark, sf_dir), lateness="36 hours", id="deterministic")
 
 
-def _marked_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _delayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that arrive up to two hours late, in batches of six hours."""
     batch = F.expr("(unix_seconds(EventProcessingTime) + arrival * 7919 % 7200) div 21600")
-    return mark_late(_events(spark, sf_dir).withColumn("arrival_batch", batch), "arrival_batch")
+    return _events(spark, sf_dir).withColumn("arrival_batch", batch)
 
 
 def late_data_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_late(_marked_late(spark, sf_dir))
+    return count_late(mark_late(_delayed(spark, sf_dir), "arrival_batch"))
 
 
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _marked_late(spark, sf_dir).select("SalesId", "late")
+    return mark_late(_delayed(spark, sf_dir), "arrival_batch").select("SalesId", "late")
+
+
+def event_time_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return on_time_totals(_delayed(spark, sf_dir), "arrival_batch", id="deterministic")
 
 
 def processing_time_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +189,7 @@ def table_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = _target(spark, "running")
     messages = as_messages(orders_as_sales(table_stream(spark, sf_dir, "orders")))
-    jobs.running_totals(messages, target, arrival="arrival", cache=False).await_termination()
+    jobs.running_totals(messages, target, arrival="arrival").await_termination()
     return read_table(spark, target.path, RUNNING_TOTAL)
 
 
@@ -228,6 +233,7 @@ QUERIES = {
     "event_time_totals_emitted": event_time_totals_emitted,
     "event_time_closed_windows": event_time_closed_windows,
     "event_time_allowed_lateness": event_time_allowed_lateness,
+    "event_time_late_dropped": event_time_late_dropped,
     "late_data_audit": late_data_audit,
     "late_rows": late_rows,
     "processing_time_totals": processing_time_totals,

@@ -83,7 +83,7 @@ _LATE = f"""
             ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clock
         FROM peaks),
     marked AS (
-        SELECT SalesId, ProductName,
+        SELECT SalesId, ProductName, EventProcessingTime, amount,
                coalesce(time_bucket(INTERVAL 30 SECONDS, EventProcessingTime) + INTERVAL 30 SECONDS
                         <= clock - INTERVAL 10 SECONDS, false) AS late
         FROM batched JOIN clocks USING (batch))"""
@@ -139,6 +139,9 @@ ORACLE = {
     ),
     "event_time_closed_windows": _windows("30 SECONDS", wait="10 SECONDS"),
     "event_time_allowed_lateness": _windows("30 SECONDS", wait="129610 SECONDS"),
+    "event_time_late_dropped": _windows(
+        "30 SECONDS", f"{_LATE} SELECT * FROM marked WHERE NOT late"
+    ),
     "late_data_audit": f"""{_LATE}
     SELECT ProductName, count(*) FILTER (WHERE late) AS late_rows,
            count(*) FILTER (WHERE NOT late) AS on_time_rows

@@ -87,6 +87,7 @@ def test_job_arguments(tmp_path):
     assert options["kafka.bootstrap.servers"] == "broker:9093"
     to = run_job.target(args)
     assert (to.path, to.checkpoint, to.format, to.every) == ("/t", "/c", "delta", "10 seconds")
+    assert run_job.job_options(args) == {"unknown_fields": "ignore"}
     assert set(run_job.JOBS) == {
         "land", "running-totals", "processing-time-totals", "event-time-totals"
     }

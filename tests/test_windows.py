@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesflow.operators import lateness
-from salesflow.operators.lateness import count_late, mark_late
+from salesflow.operators.lateness import count_late, mark_late, on_time_totals
 from salesflow.operators.windows import closed_totals, longer_delay, tumbling_totals
 from salesflow.plans import jobs
 from salesflow.schema import SALE, WINDOW_TOTAL, check_schema
@@ -87,9 +87,9 @@ def test_longer_delay(spark):
     assert spark.sql(f"SELECT interval {text} = interval 30 seconds").first()[0]
 
 
-@pytest.mark.parametrize("group,broadcast", [(1, 0), (2, 100), (4096, 100)])
-def test_late_marks_equal_a_loop(spark, group, broadcast, monkeypatch):
-    monkeypatch.setattr(lateness, "GROUP", group)
+@pytest.mark.parametrize("broadcast", [0, 100])
+@pytest.mark.parametrize("first", [0, 1_000_003])
+def test_late_marks_equal_a_loop(spark, broadcast, first, monkeypatch):
     monkeypatch.setattr(lateness, "BROADCAST_BATCHES", broadcast)
     rows = [
         (batch, "A" if i % 3 else "B", (batch * 37 + i * 53) % 300 + batch * 9)
@@ -102,15 +102,17 @@ def test_late_marks_equal_a_loop(spark, group, broadcast, monkeypatch):
             expected.append((batch, key, seconds, clock is not None and end <= clock - 10))
         clock = max([r[2] for r in rows if r[0] == batch] + [clock or 0])
     df = spark.createDataFrame(
-        [(b, k, START + dt.timedelta(seconds=s), s) for b, k, s in rows],
+        [(first + b, k, START + dt.timedelta(seconds=s), s) for b, k, s in rows],
         "batch bigint, ProductName string, EventProcessingTime timestamp, seconds int",
     )
     marked = mark_late(df, "batch")
-    found = marked.select("batch", "ProductName", "seconds", "late").collect()
+    found = marked.select(F.col("batch") - first, "ProductName", "seconds", "late").collect()
     assert sorted(map(tuple, found)) == sorted(expected)
     late = sum(r[3] for r in expected)
     counts = count_late(marked).agg(F.sum("late_rows"), F.sum("on_time_rows")).first()
     assert tuple(counts) == (late, len(rows) - late) and 0 < late < len(rows)
+    totals = on_time_totals(df, "batch", amount="seconds").agg(F.sum("SalesAmount")).first()[0]
+    assert totals == sum(r[2] for r in expected if not r[3])
 
 
 def put_sales(path, rows):
