@@ -28,15 +28,6 @@ from salesflow.operators.hot_keys import (
 ROWS_PER_RANGE = 4_000_000
 
 
-@dataclass(frozen=True)
-class KeyedState:
-    """Column names of a state table: one row per key with its last passed time and its total."""
-
-    key: str
-    last_time: str = "last_time"
-    total: str = "total"
-
-
 @dataclass(frozen=True)
 class _Gate:
     """Rows before the gate, the maximum each (key, range) inherits, and how to apply both."""
@@ -83,8 +74,8 @@ def _gate(
     arrival: Sequence[str],
     rows_per_range: int | None,
     state: DataFrame | None,
+    state_rows: int | None,
 ) -> _Gate:
-    """Prepare the gate; ``state`` has key, last_time and total."""
     hot = HotKeys(None, 0, ())
     if rows_per_range is not None:
         hot = find_hot_keys(df, key, arrival, rows_per_range)
@@ -97,7 +88,9 @@ def _gate(
         inherited = _carry(peaks, "_peak", F.max, key, hot, state, "last_time")
     elif state is not None:
         inherited = state.select(key, F.lit(0).alias(RANGE), F.col("last_time").alias("_peak"))
-    bound = hot.range_rows if state is None else None
+    bound = hot.range_rows
+    if state is not None:
+        bound = None if state_rows is None else bound + state_rows
     return _Gate(rows, inherited, bound, hot, key, time, order)
 
 
@@ -128,17 +121,6 @@ def _carry(
     return table
 
 
-def _state_columns(state: DataFrame | None, names: KeyedState | None, key: str) -> DataFrame | None:
-    if state is None:
-        return None
-    names = names or KeyedState(key)
-    return state.select(
-        F.col(names.key).alias(key),
-        F.col(names.last_time).alias("last_time"),
-        F.col(names.total).cast("bigint").alias("total"),
-    )
-
-
 def monotone_gate(
     df: DataFrame,
     key: str = "ProductName",
@@ -146,16 +128,19 @@ def monotone_gate(
     arrival: str | Sequence[str] = "arrival",
     rows_per_range: int | None = ROWS_PER_RANGE,
     state: DataFrame | None = None,
-    state_names: KeyedState | None = None,
+    state_rows: int | None = None,
 ) -> DataFrame:
     """The rows of ``df`` whose time moves their key's clock forward, in arrival order.
 
     ``arrival`` must order the rows of a key uniquely; its first column must be nearly unique, as
     ranges are cut on it. Keys with more than ``rows_per_range`` rows are cut into arrival ranges
-    (see ``hot_keys``); ``None`` leaves every key whole. ``state`` continues from earlier data.
+    (see ``hot_keys``); ``None`` leaves every key whole.
+
+    ``state``, as ``key_state`` gives it, continues from earlier data; ``state_rows`` is an upper
+    bound on its rows, if known. ``df`` is read several times, each time fewer columns: land or
+    persist it first if it is costly to compute.
     """
-    columns = arrival_columns(arrival)
-    gate = _gate(df, key, time, columns, rows_per_range, _state_columns(state, state_names, key))
+    gate = _gate(df, key, time, arrival_columns(arrival), rows_per_range, state, state_rows)
     return gate.passed(gate.rows).select(*df.columns)
 
 
@@ -169,12 +154,10 @@ def dedupe_running_total(
     overflow: str = "error",
     rows_per_range: int | None = ROWS_PER_RANGE,
     state: DataFrame | None = None,
-    state_names: KeyedState | None = None,
+    state_rows: int | None = None,
 ) -> DataFrame:
     """``monotone_gate`` plus, in column ``total``, the key's total up to and with each row."""
-    columns = arrival_columns(arrival)
-    known = _state_columns(state, state_names, key)
-    gate = _gate(df, key, time, columns, rows_per_range, known)
+    gate = _gate(df, key, time, arrival_columns(arrival), rows_per_range, state, state_rows)
     value = F.coalesce(F.col(amount), F.lit(0)).cast("bigint")
     so_far = gate.order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = gate.passed(gate.rows).withColumn("_sum", F.sum(value).over(so_far))
@@ -184,9 +167,9 @@ def dedupe_running_total(
         # A second pass of the gate over four columns of the hot keys' rows.
         hot_rows = gate.passed(gate.rows.where(HOT))
         sums = hot_rows.groupBy(key, RANGE).agg(F.sum(value).alias("_base"))
-        inherited = _carry(sums, "_base", F.sum, key, gate.hot, known, "total")
-    elif known is not None:
-        inherited = known.select(key, F.lit(0).alias(RANGE), F.col("total").alias("_base"))
+        inherited = _carry(sums, "_base", F.sum, key, gate.hot, state, "total")
+    elif state is not None:
+        inherited = state.select(key, F.lit(0).alias(RANGE), F.col("total").alias("_base"))
     grand = F.col("_sum")
     if inherited is not None:
         rows = join_per_range(rows, inherited, key, gate.bound)

@@ -23,7 +23,7 @@ def input_rows(query: StreamingQuery) -> int:
     return sum(progress.numInputRows for progress in query.recentProgress)
 
 
-def wait_for_timers(query: StreamingQuery, limit_seconds: float = 3600) -> None:
+def wait_for_timers(query: StreamingQuery, limit_seconds: float = 6 * 3600) -> None:
     """Wait until a batch without input has left no state: all windows have been emitted.
 
     A query with processing-time timers runs batches without input for ever, so there is no point

@@ -60,10 +60,11 @@ def state_after(
     return latest_state(rows, KEY, "last_time", "total")
 
 
-def _few_keys(batch: DataFrame) -> DataFrame | None:
-    """The distinct keys of a micro-batch if they are few enough to broadcast."""
+def _few_keys(batch: DataFrame) -> tuple[DataFrame | None, int | None]:
+    """The distinct keys of a micro-batch and their number, if they are few enough to broadcast."""
     keys = batch.select(KEY).distinct()
-    return keys if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else None
+    count = keys.count()
+    return (keys, count) if count <= BROADCAST_ROWS else (None, None)
 
 
 def _write_state(
@@ -97,11 +98,12 @@ def running_totals_step(
         spark = batch.sparkSession
         if cache:
             batch = batch.persist()
-        before = None
+        before = rows = None
         if batch_id > 0:
-            before = state_after(spark, root, batch_id - 1, snapshot_every, _few_keys(batch))
+            keys, rows = _few_keys(batch)
+            before = state_after(spark, root, batch_id - 1, snapshot_every, keys)
         totals = dedupe_running_total(
-            batch, KEY, TIME, AMOUNT, arrival, TOTAL, overflow, rows_per_range, before
+            batch, KEY, TIME, AMOUNT, arrival, TOTAL, overflow, rows_per_range, before, rows
         ).select(*RUNNING_TOTAL.fieldNames())
         appended = append_batch(check_schema(totals, RUNNING_TOTAL), batch_id, target)
         changed = latest_state(appended, KEY, TIME, TOTAL)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from salesflow.operators import hot_keys
 from salesflow.operators.running import (
-    KeyedState,
     dedupe_running_total,
     key_state,
     latest_state,
@@ -92,16 +91,15 @@ def test_both_joins(spark, bound, monkeypatch):
 
 
 @pytest.mark.parametrize("rows_per_range", [None, 5])
-@pytest.mark.parametrize("cut", [1, 37, 200])
-def test_continues_from_state(spark, rows_per_range, cut):
+@pytest.mark.parametrize("cut,state_rows", [(1, None), (37, 7), (200, None), (200, 10**9)])
+def test_continues_from_state(spark, rows_per_range, cut, state_rows):
     rows = random_rows(11, 240, 0.3)
     expected, expected_state = fold(rows)
     options = dict(arrival=ARRIVAL, rows_per_range=rows_per_range)
     first = dedupe_running_total(frame(spark, rows[:cut]), **options)
-    state = latest_state(first).withColumnRenamed("ProductName", "product")
-    rest = dedupe_running_total(
-        frame(spark, rows[cut:], cut), state=state, state_names=KeyedState("product"), **options
-    )
+    state = latest_state(first)
+    later = frame(spark, rows[cut:], cut)
+    rest = dedupe_running_total(later, state=state, state_rows=state_rows, **options)
     assert sorted(result(first) + result(rest)) == expected
 
 
