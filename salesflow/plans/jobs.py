@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -23,15 +23,15 @@ from salesflow.operators.windows import (
     tumbling_totals,
     with_event_time,
 )
-from salesflow.schema import QUARANTINE, SALE, WINDOW_TOTAL
+from salesflow.schema import QUARANTINE, SALE, WINDOW_TOTAL, check_schema
 from salesflow.sources.topic import TOPIC_ARRIVAL
 from salesflow.streaming.arrival import WINDOW_MILLIS, stream_arrival_totals
-from salesflow.streaming.running import stream_running_totals
-from salesflow.streaming.sinks import Target, append_stream
+from salesflow.streaming.running import running_totals_step, stream_running_totals
+from salesflow.streaming.sinks import Target, append_batch, append_each_batch, append_stream
 
 
 class Job(NamedTuple):
-    """The query that fills the table, and the one that keeps refused messages, if any."""
+    """The query that fills the table, and the one that keeps refused messages if it is separate."""
 
     main: StreamingQuery
     quarantine: StreamingQuery | None = None
@@ -52,9 +52,30 @@ class Job(NamedTuple):
                 query.stop()
 
 
-def _sales(
+def _both_tables(
+    decoded: DataFrame, target: Target, handle: Callable[[DataFrame, int], None]
+) -> Job:
+    """Per micro-batch, append the refused messages and ``handle`` the sales, from one decoding."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            append_batch(quarantined(batch), batch_id, target.for_quarantine()).unpersist()
+            handle(good_sales(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+    return Job(append_each_batch(decoded, target, step))
+
+
+def _sales_beside_quarantine(
     messages: DataFrame, target: Target, unknown_fields: str
 ) -> tuple[DataFrame, StreamingQuery | None]:
+    """The sales, and a second query over the messages for the refused ones.
+
+    For jobs whose state Spark keeps: what such a query refuses before its state cannot be written
+    from within it.
+    """
     decoded = decode_sales(messages, unknown_fields=unknown_fields)
     if target.quarantine is None:
         return strict_sales(decoded), None
@@ -64,8 +85,14 @@ def _sales(
 
 def land_sales(messages: DataFrame, target: Target, unknown_fields: str = "ignore") -> Job:
     """Decode the messages and append the sales unchanged."""
-    sales, refused = _sales(messages, target, unknown_fields)
-    return Job(append_stream(sale_rows(sales), target, SALE), refused)
+    decoded = decode_sales(messages, unknown_fields=unknown_fields)
+    if target.quarantine is None:
+        return Job(append_stream(sale_rows(strict_sales(decoded)), target, SALE))
+
+    def land(sales: DataFrame, batch_id: int) -> None:
+        append_batch(check_schema(sale_rows(sales), SALE), batch_id, target).unpersist()
+
+    return _both_tables(decoded, target, land)
 
 
 def running_totals(
@@ -76,8 +103,11 @@ def running_totals(
     **options,
 ) -> Job:
     """Append the sales that move their product's clock forward, with the running total."""
-    sales, refused = _sales(messages, target, unknown_fields)
-    return Job(stream_running_totals(sales, target, arrival, **options), refused)
+    decoded = decode_sales(messages, unknown_fields=unknown_fields)
+    if target.quarantine is None:
+        return Job(stream_running_totals(strict_sales(decoded), target, arrival, **options))
+    step = running_totals_step(target, arrival, **{**options, "cache": False})
+    return _both_tables(decoded, target, step)
 
 
 def processing_time_totals(
@@ -87,8 +117,13 @@ def processing_time_totals(
     unknown_fields: str = "ignore",
     **options: str,
 ) -> Job:
-    """Append the total per product and 30 seconds of arrival time."""
-    sales, refused = _sales(messages, target, unknown_fields)
+    """Append the total per product and 30 seconds of arrival time.
+
+    Windows close by the clock, so the job runs until it is stopped.
+    """
+    if target.available_now:
+        raise ValueError("arrival windows close by the clock: run the job with `every`")
+    sales, refused = _sales_beside_quarantine(messages, target, unknown_fields)
     totals = stream_arrival_totals(sales, size_millis=size_millis, **options)
     return Job(append_stream(totals, target, WINDOW_TOTAL), refused)
 
@@ -106,7 +141,7 @@ def event_time_totals(
 
     ``lateness`` keeps windows open longer: one later row with the late sales in it.
     """
-    sales, refused = _sales(messages, target, unknown_fields)
+    sales, refused = _sales_beside_quarantine(messages, target, unknown_fields)
     timed = with_event_time(sales, "EventProcessingTime", longer_delay(delay, lateness))
     totals = tumbling_totals(timed, size=size, **options)
     return Job(append_stream(totals, target, WINDOW_TOTAL), refused)

@@ -94,10 +94,7 @@ def running_totals_step(
     """The work for one micro-batch. A repeated batch id rewrites the same rows and state."""
     root = state_root(target)
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if cache:
-            batch = batch.persist()
+    def append(spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
         before = rows = None
         if batch_id > 0:
             keys, rows = _few_keys(batch)
@@ -106,10 +103,20 @@ def running_totals_step(
             batch, KEY, TIME, AMOUNT, arrival, TOTAL, overflow, rows_per_range, before, rows
         ).select(*RUNNING_TOTAL.fieldNames())
         appended = append_batch(check_schema(totals, RUNNING_TOTAL), batch_id, target)
-        changed = latest_state(appended, KEY, TIME, TOTAL)
-        _write_state(spark, changed, root, batch_id, snapshot_every)
-        appended.unpersist()
-        if cache:
+        try:
+            changed = latest_state(appended, KEY, TIME, TOTAL)
+            _write_state(spark, changed, root, batch_id, snapshot_every)
+        finally:
+            appended.unpersist()
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        if not cache:
+            append(batch.sparkSession, batch, batch_id)
+            return
+        batch = batch.persist()
+        try:
+            append(batch.sparkSession, batch, batch_id)
+        finally:
             batch.unpersist()
 
     return step

@@ -14,7 +14,7 @@ from salesflow.plans import jobs
 from salesflow.plans.tables import as_messages, events_as_sales, orders_as_sales, table
 from salesflow.schema import QUARANTINE, RUNNING_TOTAL, SALE, WINDOW_TOTAL
 from salesflow.sources.replay import recorded, replay
-from salesflow.streaming.progress import input_rows, late_rows_dropped
+from salesflow.streaming.progress import input_rows, late_rows_dropped, wait_for_timers
 from salesflow.streaming import running
 from salesflow.streaming.running import state_after, state_root
 from salesflow.streaming.sinks import Target, append_stream, print_sales, read_table
@@ -224,20 +224,76 @@ def bad_lines(folder):
             out.write(json.dumps({"value": value, "arrival": arrival}) + "\n")
 
 
-@pytest.mark.parametrize("start", [jobs.land_sales, jobs.event_time_totals])
+def running_by_arrival(source, to):
+    return jobs.running_totals(source, to, arrival="arrival")
+
+
+JOBS = [jobs.land_sales, running_by_arrival, jobs.event_time_totals]
+
+
+@pytest.mark.parametrize("start", JOBS)
 def test_first_bad_message_fails_without_quarantine(spark, tmp_path, start):
     bad_lines(tmp_path / "in")
     with pytest.raises(StreamingQueryException, match="malformed sales message"):
         start(messages(spark, tmp_path / "in"), target(tmp_path)).await_termination()
 
 
-def test_quarantine(spark, tmp_path):
+@pytest.mark.parametrize("start", JOBS)
+def test_quarantine(spark, tmp_path, start):
     bad_lines(tmp_path / "in")
     to = target(tmp_path, quarantine=str(tmp_path / "bad"))
-    jobs.land_sales(messages(spark, tmp_path / "in"), to).await_termination()
-    assert read_table(spark, to.path, SALE).count() == 1
-    refused = read_table(spark, to.quarantine, QUARANTINE).collect()
-    assert sorted((r.value, r.reason) for r in refused) == [("", "empty"), ("not json", "corrupt")]
+    for _ in range(2):  # the second run finds nothing new
+        start(messages(spark, tmp_path / "in"), to).await_termination()
+        refused = read_table(spark, to.quarantine, QUARANTINE).collect()
+        assert sorted((r.value, r.reason) for r in refused) == [
+            ("", "empty"), ("not json", "corrupt")
+        ]
+    if start is not jobs.event_time_totals:  # its window is still open
+        schema = SALE if start is jobs.land_sales else RUNNING_TOTAL
+        assert [r.SalesId for r in read_table(spark, to.path, schema).collect()] == ["a"]
+
+
+def test_arrival_totals_beside_quarantine(spark, tmp_path):
+    bad_lines(tmp_path / "in")
+    to = Target(
+        str(tmp_path / "out"), str(tmp_path / "checkpoint"), every="500 milliseconds",
+        quarantine=str(tmp_path / "bad"),
+    )
+    job = jobs.processing_time_totals(messages(spark, tmp_path / "in"), to, size_millis=1000)
+    try:
+        wait_for_timers(job.main, 60)
+        job.quarantine.processAllAvailable()
+    finally:
+        job.stop()
+    assert read_table(spark, to.quarantine, QUARANTINE).count() == 2
+    rows = read_table(spark, to.path, WINDOW_TOTAL).collect()
+    assert [(r.ProductName, r.SalesAmount) for r in rows] == [("A", 0)]
+
+
+def test_arrival_totals_have_no_end(spark, tmp_path):
+    write_files(tmp_path / "in", FILES)
+    with pytest.raises(ValueError, match="close by the clock"):
+        jobs.processing_time_totals(messages(spark, tmp_path / "in"), target(tmp_path))
+
+
+def test_running_totals_beside_quarantine(spark, tmp_path):
+    write_files(tmp_path / "in", FILES)
+    to = target(tmp_path, quarantine=str(tmp_path / "bad"))
+    running_by_arrival(messages(spark, tmp_path / "in"), to).await_termination()
+    assert totals(spark, to) == TOTALS
+    assert read_table(spark, to.quarantine, QUARANTINE).isEmpty()
+
+
+def test_a_failing_quarantine_stops_the_job(spark, tmp_path):
+    write_files(tmp_path / "in", FILES)
+    (tmp_path / "bad").write_text("a file where the table should be")
+    to = Target(
+        str(tmp_path / "out"), str(tmp_path / "checkpoint"), every="1 second",
+        quarantine=str(tmp_path / "bad"),
+    )
+    with pytest.raises(Exception):
+        jobs.event_time_totals(messages(spark, tmp_path / "in"), to).await_termination()
+    assert not spark.streams.active
 
 
 def test_sink_refuses_other_columns(spark, tmp_path):
