@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from salesflow.functions.amounts import narrow
+from salesflow.functions.guards import without_nulls
 from salesflow.operators.hot_keys import (
     HOT,
     RANGE,
@@ -57,16 +58,6 @@ def _before(order: WindowSpec) -> WindowSpec:
     return order.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _without_nulls(df: DataFrame, roles: dict[str, str]) -> DataFrame:
-    """``df``, failing on a null in these columns. As a filter, it leaves the columns themselves
-    alone, so that a condition on the key still reaches the scan."""
-    for column, role in roles.items():
-        message = F.lit(f"null {role} in column {column}")
-        known = F.when(F.col(column).isNotNull(), F.lit(True)).otherwise(F.raise_error(message))
-        df = df.where(known)
-    return df
-
-
 def _gate(
     df: DataFrame,
     key: str,
@@ -80,7 +71,7 @@ def _gate(
     if rows_per_range is not None:
         hot = find_hot_keys(df, key, arrival, rows_per_range)
     roles = {key: "key", time: "time"} | {column: "arrival" for column in arrival}
-    rows = with_ranges(_without_nulls(df, roles), key, arrival, hot)
+    rows = with_ranges(without_nulls(df, roles), key, arrival, hot)
     order = Window.partitionBy(key, RANGE).orderBy(*arrival)
     inherited = None
     if hot.keys is not None:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.functions.amounts import narrow
+from salesflow.functions.guards import known, without_nulls
 from salesflow.functions.ids import window_id
 from salesflow.schema import WINDOW_TOTAL
 
@@ -28,7 +29,8 @@ def with_event_time(df: DataFrame, time: str, delay: str = DELAY) -> DataFrame:
 
     Watermarks need the zoned type, so a zone-less time is read in the session zone (UTC).
     """
-    return df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
+    zoned = known(time, "time").cast("timestamp")
+    return df.withColumn(time, zoned).withWatermark(time, delay)
 
 
 def tumbling_totals(
@@ -51,6 +53,9 @@ def tumbling_totals(
     """
     if stamp not in ("bounds", "emitted"):
         raise ValueError(f"stamp must be 'bounds' or 'emitted', not {stamp!r}")
+    df = without_nulls(df, {key: "key"})
+    if not df.isStreaming:
+        df = df.withColumn(time, known(time, "time"))
     value = F.coalesce(F.col(amount), F.lit(0)).cast("bigint")
     sums = df.groupBy(F.col(key), F.window(time, size).alias("_window")).agg(
         F.sum(value).alias("_sum")

@@ -177,6 +177,23 @@ def test_arrival_may_be_a_time(spark):
         dedupe_running_total(df, arrival="SalesId", rows_per_range=10)
 
 
+@pytest.mark.parametrize("rows_per_range", [None, 10])
+def test_other_columns_and_a_numeric_key(spark, rows_per_range):
+    rows = random_rows(19, 150, 0.3)
+    df = frame(spark, rows).selectExpr(
+        "SalesId as id", "ascii(ProductName) as user", "EventProcessingTime as ts",
+        "SalesAmount as n", "offset * 2 + partition as position",
+    )
+    totals = dedupe_running_total(
+        df, key="user", time="ts", amount="n", arrival="position", total="sum_n",
+        rows_per_range=rows_per_range,
+    )
+    assert totals.columns == [*df.columns, "sum_n"]
+    expected = [(sale_id, ord(key[0]), total) for sale_id, key, total in fold(rows)[0]]
+    found = totals.select("id", "user", "sum_n").collect()
+    assert sorted(map(tuple, found)) == sorted(expected)
+
+
 def test_a_hot_key_is_spread(spark):
     """No (key, range) group of a hot key is much larger than asked for."""
     rows = [(str(i), "hot" if i % 3 else "cold", i, 1) for i in range(3000)]

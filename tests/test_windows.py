@@ -66,6 +66,35 @@ def test_overflow_raises_without_ansi(spark):
         spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
+@pytest.mark.parametrize("column,role", [("ProductName", "key"), ("EventProcessingTime", "time")])
+def test_a_null_fails(spark, column, role):
+    df = sales(spark, ("A", 0, 1), ("B", 100, 2))
+    broken = df.withColumn(column, F.when(F.col("SalesAmount") < 2, F.col(column)))
+    message = f"null {role} in column {column}"
+    for totals in (tumbling_totals, closed_totals):
+        with pytest.raises(Exception, match=message):
+            totals(broken).collect()
+    if role == "time":
+        with pytest.raises(Exception, match=message):
+            mark_late(broken.withColumn("batch", F.lit(1)), "batch").collect()
+
+
+def test_a_null_amount_counts_as_nothing(spark):
+    df = sales(spark, ("A", 0, None), ("B", 0, None), ("B", 0, 2))
+    rows = tumbling_totals(df).collect()
+    assert sorted((r.ProductName, r.SalesAmount) for r in rows) == [("A", 0), ("B", 2)]
+
+
+def test_other_columns(spark):
+    """Any keyed event table will do, zone-less times included."""
+    df = sales(spark, ("7", 0, 1), ("7", 29, 2)).selectExpr(
+        "cast(ProductName as bigint) as user", "cast(EventProcessingTime as timestamp_ntz) as ts",
+        "SalesAmount as n",
+    )
+    rows = tumbling_totals(df, key="user", time="ts", amount="n", size="1 minute").collect()
+    assert [(r.ProductName, r.SalesAmount) for r in rows] == [(7, 3)]
+
+
 def test_emitted_stamp(spark):
     row = tumbling_totals(sales(spark, ("A", 0, 1)), stamp="emitted").first()
     assert row.WindowStartTime == START + dt.timedelta(seconds=30)
