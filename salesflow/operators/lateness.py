@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.functions.guards import known
+from salesflow.functions.guards import known, without_nulls
 from salesflow.operators.windows import DELAY, SIZE, interval, tumbling_totals
 
 # Batch numbers spanning less than this are at most as many rows of 16 bytes to broadcast.
@@ -41,13 +41,13 @@ def mark_late(
 ) -> DataFrame:
     """Add a boolean column: did the row arrive after its window had closed?
 
-    ``batch`` numbers the arrival batches. A row is late if its window ends at or before the
+    ``batch`` numbers the arrival batches with integers. A row is late if its window ends at or before the
     highest event time of all earlier batches minus ``delay``. The per-batch maxima are aggregated
     map-side and joined back: broadcast if the span of batch numbers bounds their count, so that the
     rows are not shuffled at all; else by a shuffle in which adaptive execution splits a batch that
     holds much of the data.
     """
-    df = df.withColumn(time, known(time, "time"))
+    df = without_nulls(df, {batch: "batch"}).withColumn(time, known(time, "time"))
     first, last = df.agg(F.min(batch), F.max(batch)).first()
     span = 1 if first is None else last - first + 1
     peaks = df.groupBy(batch).agg(F.max(time).alias("_peak"))

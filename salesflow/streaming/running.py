@@ -35,8 +35,9 @@ STATE = T.StructType(
 
 def _folder(root: str, batch_id: int, snapshot_every: int) -> str:
     # Folders are reused after two snapshot periods, so the state does not grow with time. The one
-    # being written is never among those its batch reads, which makes a repeated batch safe.
-    return f"{root}/slot={batch_id % (2 * snapshot_every)}"
+    # being written is never among those its batch reads, which makes a repeated batch safe. A
+    # restart with another period finds no folder and fails, rather than read half a state.
+    return f"{root}/every={snapshot_every}/slot={batch_id % (2 * snapshot_every)}"
 
 
 def state_after(

@@ -164,6 +164,17 @@ def test_a_null_fails(spark, column, role, rows_per_range):
         totals.collect()
 
 
+@pytest.mark.parametrize("rows_per_range", [None, 10])
+def test_a_leading_arrival_column_with_many_ties(spark, rows_per_range):
+    """Ranges cannot cut inside a tie, so there are fewer of them; the result stays the same."""
+    rows = random_rows(23, 200, 0.3)
+    in_order = rows[0::2] + rows[1::2]
+    totals = dedupe_running_total(
+        frame(spark, rows), arrival=("partition", "offset"), rows_per_range=rows_per_range
+    )
+    assert result(totals) == fold(in_order)[0]
+
+
 def test_arrival_may_be_a_time(spark):
     rows = random_rows(17, 200, 0.3)
     df = frame(spark, rows).selectExpr(

@@ -73,8 +73,25 @@ def test_running_totals_state_layouts(spark, tmp_path, snapshot_every, rows_per_
         snapshot_every=snapshot_every, rows_per_range=rows_per_range,
     ).await_termination()
     assert totals(spark, to) == TOTALS
-    slots = len(list((tmp_path / "out-checkpoint" / "running_totals").iterdir()))
-    assert slots <= 2 * snapshot_every
+    root = tmp_path / "out-checkpoint" / "running_totals" / f"every={snapshot_every}"
+    assert len(list(root.iterdir())) <= 2 * snapshot_every
+
+
+def test_running_totals_refuse_another_period(spark, tmp_path):
+    write_files(tmp_path / "in", FILES[:3])
+    to = target(tmp_path)
+
+    def run(every):
+        jobs.running_totals(
+            messages(spark, tmp_path / "in"), to, arrival="arrival", snapshot_every=every
+        ).await_termination()
+
+    run(3)
+    write_files(tmp_path / "in", FILES[3:], first=3)
+    with pytest.raises(StreamingQueryException, match="PATH_NOT_FOUND"):
+        run(4)
+    run(3)
+    assert totals(spark, to) == TOTALS
 
 
 def test_running_totals_repeated_batch(spark, tmp_path):
