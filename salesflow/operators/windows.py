@@ -10,6 +10,7 @@ from salesflow.functions.guards import known, without_nulls
 from salesflow.functions.ids import window_id
 from salesflow.schema import WINDOW_TOTAL
 
+# The window size of both window jobs and the out-of-orderness bound.
 SIZE = "30 seconds"
 DELAY = "10 seconds"
 NO_LATENESS = "0 seconds"

@@ -175,17 +175,19 @@ def test_a_leading_arrival_column_with_many_ties(spark, rows_per_range):
     assert result(totals) == fold(in_order)[0]
 
 
-def test_arrival_may_be_a_time(spark):
+def test_arrival_may_be_a_time_or_any_number(spark):
     rows = random_rows(17, 200, 0.3)
     df = frame(spark, rows).selectExpr(
         "*", "timestamp_micros(offset * 2 + partition) as arrived",
         "cast(timestamp_micros(offset * 2 + partition) as timestamp_ntz) as arrived_ntz",
+        "cast(timestamp_micros(offset * 2 + partition) as string) as text",
+        "1152921504606846976 + 40 * (offset * 2 + partition) as beyond_doubles",
     )
-    for arrival in ("arrived", "arrived_ntz"):
+    for arrival in ("arrived", "arrived_ntz", "beyond_doubles"):
         totals = dedupe_running_total(df, arrival=arrival, rows_per_range=10)
         assert result(totals) == fold(rows)[0]
     with pytest.raises(TypeError, match="must be numeric or a time"):
-        dedupe_running_total(df, arrival="SalesId", rows_per_range=10)
+        dedupe_running_total(df, arrival="text", rows_per_range=10)
 
 
 @pytest.mark.parametrize("rows_per_range", [None, 10])

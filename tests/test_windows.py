@@ -154,8 +154,21 @@ def put_sales(path, rows):
             out.write(json.dumps({"value": json.dumps(sale)}) + "\n")
 
 
-def test_wall_clock_windows_close_without_input(spark, tmp_path):
-    """Totals per window of arrival come out once, after the window's time, with no new messages."""
+@pytest.fixture
+def chunk_rows(spark, request):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 10000], indirect=True)
+def test_wall_clock_windows_close_without_input(spark, tmp_path, chunk_rows):
+    """Totals per window of arrival come out once, after the window's time, with no new messages.
+
+    They do not depend on how many rows the Python workers are sent at a time.
+    """
     folder = tmp_path / "in"
     folder.mkdir()
     put_sales(folder / "0.json", [("A", 1), ("A", 2), ("B", 4)])
