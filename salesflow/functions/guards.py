@@ -1,4 +1,7 @@
-"""Nulls that must stop a query. Spark would group a null key and drop a null time without a word."""
+"""What must stop a query.
+
+Spark would group a null key and drop a null time without a word.
+"""
 
 from __future__ import annotations
 
@@ -26,3 +29,9 @@ def without_nulls(df: DataFrame, roles: dict[str, str]) -> DataFrame:
         failed = F.raise_error(_message(column, role))
         df = df.where(F.when(F.col(column).isNotNull(), F.lit(True)).otherwise(failed))
     return df
+
+
+def batch_only(df: DataFrame, instead: str) -> None:
+    """Refuse a streaming DataFrame and name what to use for it."""
+    if df.isStreaming:
+        raise ValueError(f"this operator takes batch data; on a stream use {instead}")

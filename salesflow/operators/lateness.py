@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.functions.guards import known, without_nulls
+from salesflow.functions.guards import batch_only, known, without_nulls
 from salesflow.operators.windows import DELAY, SIZE, interval, tumbling_totals
 
 # Batch numbers spanning less than this are at most as many rows of 16 bytes to broadcast.
@@ -47,6 +47,7 @@ def mark_late(
     rows are not shuffled at all; else by a shuffle in which adaptive execution splits a batch that
     holds much of the data.
     """
+    batch_only(df, "with_event_time and progress.late_rows_dropped")
     df = without_nulls(df, {batch: "batch"}).withColumn(time, known(time, "time"))
     first, last = df.agg(F.min(batch), F.max(batch)).first()
     span = 1 if first is None else last - first + 1

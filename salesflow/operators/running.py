@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from salesflow.functions.amounts import narrow
-from salesflow.functions.guards import without_nulls
+from salesflow.functions.guards import batch_only, without_nulls
 from salesflow.operators.hot_keys import (
     HOT,
     RANGE,
@@ -67,6 +67,7 @@ def _gate(
     state: DataFrame | None,
     state_rows: int | None,
 ) -> _Gate:
+    batch_only(df, "streaming.running.stream_running_totals")
     hot = HotKeys(None, 0, ())
     if rows_per_range is not None:
         hot = find_hot_keys(df, key, arrival, rows_per_range)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.functions.amounts import narrow
-from salesflow.functions.guards import known, without_nulls
+from salesflow.functions.guards import batch_only, known, without_nulls
 from salesflow.functions.ids import window_id
 from salesflow.schema import WINDOW_TOTAL
 
@@ -99,6 +99,7 @@ def closed_totals(
     Those are the windows that end at or before the last event time minus the delay. ``lateness``
     holds windows open that much longer.
     """
+    batch_only(df, "with_event_time and tumbling_totals")
     wait = interval(delay) + interval(lateness)
     clock = df.select((F.max(time) - wait).alias("clock")).scalar()
     totals = tumbling_totals(df, key, time, amount, size, **options)

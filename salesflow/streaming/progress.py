@@ -33,9 +33,17 @@ def wait_for_timers(query: StreamingQuery, limit_seconds: float = 6 * 3600) -> N
     while query.isActive:
         last = query.lastProgress
         if last and last.numInputRows == 0 and not any(o.numRowsTotal for o in last.stateOperators):
+            _wait_between_batches(query)
             return
         if time.monotonic() > limit:
             raise TimeoutError(f"state is not empty after {limit_seconds} seconds")
         time.sleep(0.2)
     if query.exception() is not None:
         raise query.exception()
+
+
+def _wait_between_batches(query: StreamingQuery, limit_seconds: float = 5) -> None:
+    """Give a stop that follows the chance not to interrupt a batch."""
+    limit = time.monotonic() + limit_seconds
+    while query.status["isTriggerActive"] and time.monotonic() < limit:
+        time.sleep(0.01)

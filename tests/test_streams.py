@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from golden import FILES, MESSAGE, TOTALS, WINDOWS, at, write_files
 from salesflow.operators.decode import decode_sales, good_sales
+from salesflow.operators.lateness import mark_late
 from salesflow.operators.running import dedupe_running_total
 from salesflow.operators.windows import closed_totals, tumbling_totals
 from salesflow.plans import jobs
@@ -319,6 +320,17 @@ def test_sink_refuses_other_columns(spark, tmp_path):
         append_stream(messages(spark, tmp_path / "in"), target(tmp_path), SALE)
 
 
+def test_batch_operators_name_their_streaming_form(spark, tmp_path):
+    write_files(tmp_path / "in", FILES[:1])
+    sales = good_sales(decode_sales(messages(spark, tmp_path / "in")))
+    with pytest.raises(ValueError, match="stream_running_totals"):
+        dedupe_running_total(sales)
+    with pytest.raises(ValueError, match="tumbling_totals"):
+        closed_totals(sales)
+    with pytest.raises(ValueError, match="late_rows_dropped"):
+        mark_late(sales, "arrival")
+
+
 def test_console(spark, tmp_path):
     write_files(tmp_path / "in", FILES[:1])
     sales = good_sales(decode_sales(messages(spark, tmp_path / "in")))
