@@ -85,7 +85,9 @@ def quarantined(decoded: DataFrame) -> DataFrame:
 def strict_sales(decoded: DataFrame) -> DataFrame:
     """The decoded sales; the first refused message fails the query."""
     message = F.concat(F.lit("malformed sales message: "), F.col("reason"))
-    ok = F.when(F.col("reason").isNull(), F.lit(True)).otherwise(F.raise_error(message))
+    # The literal null is named here too: Spark may test this filter before the one that skips it.
+    fine = F.col("reason").isNull() | (F.col("reason") == _NO_RECORD)
+    ok = F.when(fine, F.lit(True)).otherwise(F.raise_error(message))
     return decoded.where(ok).drop("value", "reason")
 
 

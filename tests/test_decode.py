@@ -130,6 +130,7 @@ def test_other_columns_are_kept(spark):
 
 def test_strict(spark):
     assert strict_sales(decode(spark, sale())).count() == 1
+    assert strict_sales(decode(spark, "null")).collect() == []
     with pytest.raises(Exception, match="malformed sales message: bad_time"):
         strict_sales(decode(spark, sale(SalesDateTime='"x"'))).collect()
 
