@@ -107,9 +107,8 @@ def op6_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     """Learnt from the labelled documents that are not held out."""
-    labels = table(spark, sf_dir, "labels").where(_crc32("doc_id") % 3 != 1).select("doc_id", "toxic")
-    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return toxicity.fit(texts.join(labels, "doc_id"))
+    labels = table(spark, sf_dir, "labels").where(_crc32("doc_id") % 3 != 1)
+    return toxicity.fit(table(spark, sf_dir, "documents"), labels)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

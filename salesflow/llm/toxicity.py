@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from salesflow.llm import words as w
 from salesflow.llm.common import arrow_map, ship
 
-SAMPLE_DOCS = 20_000
+SAMPLE_DOCS = 12_000
 STEMS = (4, 5, 6)
 MIN_Z = 5.0
+BUCKET_Z = 2.5
 EPOCHS = 300
 RATE = 0.1
 L2 = 3e-5
@@ -82,10 +83,10 @@ def _noisy_or(p: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     return -np.expm1(np.bincount(row, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=rows))
 
 
-def _telling(positive: np.ndarray, all_: np.ndarray, rate: float) -> np.ndarray:
+def _telling(positive: np.ndarray, all_: np.ndarray, rate: float, z: float = MIN_Z) -> np.ndarray:
     """Whether that many toxic documents among those with a feature are far beyond chance."""
     spread = np.sqrt(np.maximum(all_ * rate * (1 - rate), 1e-12))
-    return (all_ > 0) & (positive - all_ * rate >= MIN_Z * spread) & (positive >= 3)
+    return (all_ > 0) & (positive - all_ * rate >= z * spread) & (positive >= 3)
 
 
 def _documents(feature: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +110,8 @@ def train(texts: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray) -> Mode
             some = bucket[label[at + owner] == k].astype(np.int64)
             counts[k] += np.bincount(some, minlength=BUCKETS).astype(np.int32)
         at += len(offsets) - 1
-    good = counts[1] >= 3
+    good = _telling(counts[1], counts.sum(axis=0), rate, BUCKET_Z)
+    del counts
     parts, at, sentences = [], 0, 0
     for data, offsets in texts:
         feature, sentence, row, _ = features(data, offsets)
@@ -157,16 +159,20 @@ def _train_batches(batches: Iterator) -> Iterator:
     yield pa.RecordBatch.from_pylist([columns])
 
 
-def fit(labelled: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> Model:
+def fit(
+    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", sample_docs: int = SAMPLE_DOCS
+) -> Model:
     """A model learnt from at most ``sample_docs`` labelled documents, those of least id hash.
 
-    The sample, not the input, bounds the one task that trains and the features that it returns.
-    Rows with a null label are left out. Without both labels the model knows no word and scores
-    every document near 0.
+    The sample, not the input, bounds the labels that are broadcast, the one task that trains and
+    the features that it returns. Rows with a null label or id are left out, and labels without a
+    document teach nothing. Without both labels the model knows no word and scores every document
+    near 0.
     """
-    rows = labelled.where(F.col(label).isNotNull()).select(
-        F.col(text).alias("text"), F.col(label).cast("long").alias("label"), F.xxhash64(F.col(id)).alias("h"), F.col(id).alias("id")
-    )
+    known = labels.where(F.col(label).isNotNull() & F.col(id).isNotNull())
+    known = known.select(F.col(id).alias("id"), F.col(label).cast("long").alias("label"), F.xxhash64(F.col(id)).alias("h"))
+    known = known.orderBy("h", "id", "label").limit(sample_docs)
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id")
     sample = rows.orderBy("h", "id", "text").limit(sample_docs).select("text", "label")
     keys, weights, bias = arrow_map(sample.coalesce(1), _train_batches, "keys binary, weights binary, bias double").first()
     return Model(np.frombuffer(keys, dtype=np.uint64), np.frombuffer(weights, dtype=np.float64), bias)
