@@ -71,23 +71,29 @@ def _batches(types: list, names: list, rows: Iterator, weigh: Callable) -> Itera
         yield out()
 
 
-def _encode_rows(ranks, pattern: str, keys: int) -> Callable:
-    """Encode the text after ``keys`` key columns."""
+def _decoded(table: list[bytes], ids: bytes | None) -> bytes:
+    return b"".join(map(table.__getitem__, np.frombuffer(ids or b"", dtype="<u4").tolist()))
+
+
+def _encode_rows(ranks, pattern: str, keys: int, decoded: bool = False) -> Callable:
+    """Encode the text after ``keys`` key columns; with ``decoded``, decode the ids too."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        encoding, _ = _encoding(ranks.value, pattern)
+        encoding, table = _encoding(ranks.value, pattern)
 
         def rows(batch):
             for *key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                yield *key, _ids(encoding, text or "")
+                ids = _ids(encoding, text or "")
+                yield (*key, ids, _decoded(table, ids)) if decoded else (*key, ids)
 
         for batch in batches:
             for part in range(0, max(len(batch), 1), 1000):
                 some = batch.slice(part, 1000)
-                types = [c.type for c in some.columns[:keys]] + [pa.binary()]
-                yield from _batches(types, some.schema.names[:keys] + ["ids"], rows(some), lambda row: len(row[-1]))
+                types = [c.type for c in some.columns[:keys]] + [pa.binary()] * (1 + decoded)
+                names = some.schema.names[:keys] + ["ids", "decoded"][: 1 + decoded]
+                yield from _batches(types, names, rows(some), lambda row: 2 * len(row[-1]))
 
     return run
 
@@ -147,16 +153,23 @@ def _pieces(batches: Iterator) -> Iterator:
         yield from _batches(types, ["key", "k", "text"], rows(batch), lambda row: 4 * len(row[-1]))
 
 
-def _join_pieces(batches: Iterator) -> Iterator:
-    import pyarrow as pa
+def _join_pieces(ranks, pattern: str, decoded: bool) -> Callable:
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    def rows(batch):
-        for key, pieces in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            yield key, b"".join(piece["ids"] for piece in pieces)
+        _, table = _encoding(ranks.value, pattern)
 
-    for batch in batches:
-        for at in range(len(batch)):
-            yield from _batches([pa.int64(), pa.binary()], ["key", "ids"], rows(batch.slice(at, 1)), lambda row: len(row[-1]))
+        def rows(batch):
+            for key, pieces in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids = b"".join(piece["ids"] for piece in pieces)
+                yield (key, ids, _decoded(table, ids)) if decoded else (key, ids)
+
+        types, names = [pa.int64()] + [pa.binary()] * (1 + decoded), ["key", "ids", "decoded"][: 2 + decoded]
+        for batch in batches:
+            for at in range(len(batch)):
+                yield from _batches(types, names, rows(batch.slice(at, 1)), lambda row: len(row[-1]))
+
+    return run
 
 
 def stitched_pieces(texts: DataFrame, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
@@ -179,9 +192,11 @@ def stitched_pieces(texts: DataFrame, pattern: str, chunk: int = CHUNK, overlap:
 
 
 def encode(
-    docs: DataFrame, ranks: bytes, pattern: str, id: str = "doc_id", text: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP
-) -> DataFrame:
-    """One row per document: id, ``n_tokens``, and ``ids`` as little-endian unsigned 32-bit integers.
+    docs: DataFrame, ranks: bytes, pattern: str, id: str = "doc_id", text: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP,
+    decoded: bool = False,
+) -> DataFrame:
+    """One row per document: id, ``n_tokens``, and ``ids`` as little-endian unsigned 32-bit integers;
+    with ``decoded``, also the bytes that the ids decode to, made in the same pass.
 
     Every match of ``pattern`` is encoded by itself, without special tokens. A null text is empty;
     an empty text has no ids. Repeated rows each give a row, null ids included; other columns are
@@ -195,13 +210,16 @@ def encode(
     shared = spark.sparkContext.broadcast(ranks)
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    short = arrow_map(rows.where(F.length("text") <= chunk), _encode_rows(shared, pattern, 1), f"id {kind}, ids binary")
+    out = ["ids", "decoded"][: 1 + decoded]
+    binary = ", ".join(f"{name} binary" for name in out)
+    short = arrow_map(rows.where(F.length("text") <= chunk), _encode_rows(shared, pattern, 1, decoded), f"id {kind}, {binary}")
     long = written(rows.where(F.length("text") > chunk).withColumn("key", F.monotonically_increasing_id()), "bpe-long")
     pieces = stitched_pieces(long.select("key", "text"), pattern, chunk, overlap).repartition("key", "k")
     pieces = arrow_map(pieces, _encode_rows(shared, pattern, 2), "key long, k int, ids binary")
     whole = pieces.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("pieces"))
-    whole = arrow_map(whole, _join_pieces, "key long, ids binary").join(long.select("key", "id"), "key").select("id", "ids")
-    return short.unionByName(whole).select(F.col("id").alias(id), (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+    whole = arrow_map(whole, _join_pieces(shared, pattern, decoded), f"key long, {binary}")
+    whole = whole.join(long.select("key", "id"), "key").select("id", *out)
+    return short.unionByName(whole).select(F.col("id").alias(id), (F.length("ids") / 4).cast("long").alias("n_tokens"), *out)
 
 
 def _decode_rows(ranks, pattern: str) -> Callable:
@@ -212,8 +230,7 @@ def _decode_rows(ranks, pattern: str) -> Callable:
 
         def rows(batch):
             for *kept, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = np.frombuffer(ids or b"", dtype="<u4").tolist()
-                yield *kept, ids, b"".join(map(table.__getitem__, found))
+                yield *kept, ids, _decoded(table, ids)
 
         for batch in batches:
             for part in range(0, max(len(batch), 1), 1000):

@@ -42,10 +42,33 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def _released(function: Callable) -> Callable:
+    """The function, after which an idle worker holds no freed memory."""
+
+    def run(batches):
+        yield from function(batches)
+        import ctypes
+
+        import pyarrow as pa
+
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package importable on the workers."""
-    ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """``mapInArrow`` with this package importable on the workers, and batches of up to BATCH_BYTES: the
+    session's bound is lowered to that, so that memory does not follow the length of texts."""
+    spark = df.sparkSession
+    ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(_released(function), schema)
 
 
 def store(uri: str):

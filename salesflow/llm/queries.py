@@ -28,8 +28,7 @@ def _ranks() -> bytes:
 
 def token_digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the bytes they decode to."""
-    ranks, pattern = _ranks(), public_tokenizers.PATTERN
-    out = bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern)
+    out = bpe.encode(docs, _ranks(), public_tokenizers.PATTERN, decoded=True)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

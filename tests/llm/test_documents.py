@@ -1,0 +1,228 @@
+import itertools
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from salesflow.llm import graph, jaccard, line_spread, mixing, quality, toxicity
+from salesflow.llm import words as w
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shingle_set(text):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else ({tuple(words)} if words else set())
+
+
+def brute_components(rows):
+    sets = {i: shingle_set(t) for i, t in rows}
+    label = {i: i for i in sets}
+    for a, b in itertools.combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both) and label[a] != label[b]:
+            low, high = sorted((label[a], label[b]))
+            label = {k: low if v == high else v for k, v in label.items()}
+    return {i: (len(sets[i]), label[i]) for i in sets}
+
+
+def near_copies(seed, groups=12):
+    rng = np.random.default_rng(seed)
+    passage = [f"p{i}" for i in range(30)]
+    out = []
+    for _ in range(groups):
+        base = [f"w{x}" for x in rng.integers(0, 3000, int(rng.integers(1, 90)))]
+        for _ in range(int(rng.integers(1, 9))):
+            copy = [f"e{rng.integers(10**6)}" if rng.random() < 0.02 else x for x in base]
+            if rng.random() < 0.4:
+                copy = copy + passage
+            out.append(" ".join(copy))
+    return list(enumerate([*out, "", None, "One two", "one TWO", "a b c d e", "A b\tc\nd e"]))
+
+
+@pytest.mark.parametrize("seed, settings", [(1, {}), (2, {"cell_shingles": 60, "pivots": 2}), (3, {"cell_shingles": 200, "pivots": 5})])
+def test_components_equal_brute_force(spark, seed, settings):
+    rows = near_copies(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("clash")).repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similarity_components(docs, **settings).collect()}
+    assert got == brute_components(rows)
+
+
+def test_components_of_odd_rows(spark):
+    text = "a b c d e f g"
+    rows = [(5, text), (5, text), (None, text), (None, "x y"), (2, text), (9, None)]
+    got = sorted(map(str, jaccard.similarity_components(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id").collect()))
+    want = [(5, 3, 2), (5, 3, 2), (None, 3, 2), (None, 1, None), (2, 3, 2), (9, 0, 9)]
+    assert got == sorted(f"Row(doc_id={a}, n_shingles={b}, component_id={c})" for a, b, c in want)
+    assert jaccard.similarity_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_possible_sets_are_never_lost():
+    rng = np.random.default_rng(5)
+    for size in (40, 1_500, 5_000):
+        base = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        cut = base[rng.random(len(base)) < 0.9]
+        assert jaccard.linked(np.int64(len(cut)), np.int64(len(base)), np.int64(len(cut)))
+        label = jaccard._possible(np.array([len(base), len(cut)]), [jaccard._classes(base), jaccard._classes(cut)])
+        assert label[0] == label[1]
+        other = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        label = jaccard._possible(np.array([len(base), len(other)]), [jaccard._classes(base), jaccard._classes(other)])
+        assert label[0] != label[1]
+
+
+def test_components_of_a_graph(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (300, 300)]
+    got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 0, 200: 200, 201: 200}
+
+
+def test_budget_fit_is_as_good_as_brute_force():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        size = np.unique(rng.integers(1, 30, 4))
+        count = rng.integers(1, 4, len(size))
+        budget = int(rng.integers(0, (size * count).sum() + 2))
+        taken = mixing.fit_counts(size, count, budget)
+        assert (taken >= 0).all() and (taken <= count).all()
+        sums = {int((size * np.array(x)).sum()) for x in itertools.product(*[range(c + 1) for c in count])}
+        share = np.minimum(count, count * budget // int((size * count).sum()))
+        reachable = {s for s in sums if s <= budget}
+        assert int((size * taken).sum()) <= budget
+        # what the proportional share leaves is met as well as the documents left allow
+        left = [range(int(s), int(c) + 1) for s, c in zip(share, count, strict=True)]
+        best = max(int((size * np.array(x)).sum()) for x in itertools.product(*left) if int((size * np.array(x)).sum()) <= budget)
+        assert int((size * taken).sum()) == best <= max(reachable)
+    assert mixing.fit_counts(np.array([0, 3]), np.array([5, 10**6]), 1_000_001).tolist() == [0, 333_333]
+
+
+def water_fill(sizes, ratio=1.5, weights=(5, 2, 1)):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % 3] for i, s in enumerate(order)}
+    total, target, open_ = ratio * sum(sizes.values()), {}, set(order)
+    while open_:
+        rest = total - sum(target.values())
+        share = {s: rest * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = [s for s in open_ if share[s] >= 2 * sizes[s]]
+        if not over:
+            return {**target, **share}
+        target |= {s: 2.0 * sizes[s] for s in over}
+        open_ -= set(over)
+    return target
+
+
+def test_mix(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(["w"] * int(rng.integers(0, 40))), str(rng.choice(["a", "b", "c", "dé"])) if i % 9 else None, 1.0) for i in range(600)]
+    rows += [(1000, None, "empty", 1.0), (None, "two words", "a", 1.0), (3, rows[3][1], rows[3][2], 1.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, target double")
+    first, again = (sorted(map(tuple, mixing.mix(docs.repartition(n)).collect()), key=str) for n in (3, 7))
+    assert first == again and len(first) == len(rows)
+    sizes = Counter()
+    for _, text, source, _ in rows:
+        sizes[source] += len(WORD.findall(text or ""))
+    targets = water_fill(sizes)
+    taken = Counter()
+    for _, source, size, source_size, target, copies, words in first:
+        assert source_size == sizes[source] and target == pytest.approx(targets[source])
+        assert 0 <= copies <= 2 and words == copies * size
+        taken[source] += words
+    assert all(abs(taken[s] - targets[s]) <= 1 for s in sizes)
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_spread_lines(spark):
+    nav = "Home | About"
+    rows = [(i, f"own {i}.\nmore of {i}.\n  {nav}\t\n", f"s{i}", "x") for i in range(8)]
+    rows += [(20, nav, "s1", "x"), (21, None, "s1", "x"), (22, "", None, "x"), (23, f"{nav}\na.\nb.", None, "x"), (None, f"{nav}\nq.\nr.", "s9", "x")]
+    rows += [(24, "rare line.\nz.\ny.", f"s{i}", "x") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, key string")
+    got = {(r.doc_id, r.text, r.n_lines, r.n_spread, r.n_removed) for r in line_spread.remove_spread_lines(docs, min_sites=8).collect()}
+    want = {(i, f"own {i}.\nmore of {i}.\n", 3, 1, 1) for i in range(8)}
+    want |= {(20, nav, 1, 1, 0), (21, None, 0, 0, 0), (22, "", 0, 0, 0), (23, "a.\nb.", 3, 1, 1), (None, f"{nav}\nq.\nr.", 3, 0, 0)}
+    assert got == want | {(24, "rare line.\nz.\ny.", 3, 0, 0)}
+    assert line_spread.remove_spread_lines(docs.limit(0)).count() == 0
+    plan = line_spread.remove_spread_lines(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "MapInArrow" not in plan
+
+
+def plain_quality(text):
+    text = text or ""
+    words = WORD.findall(text)
+    wins = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    seen, cover = Counter(wins), set()
+    for i, win in enumerate(wins):
+        if seen[win] > 1:
+            cover |= set(range(i, i + 5))
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    failed = len(words) < 10 or 100 * len(cover) > 20 * len(words)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(cover), failed
+
+
+def test_quality_measures(spark, testdata):
+    odd = [None, "", " \n\t", "a", "x y z\nx y z\n x y z", "one two three four five " * 30, "é" * 50 + " ü.", "\n\n\n", "a\x1cb c d"]
+    docs = spark.read.parquet(str(testdata / "sf0.001/documents.parquet")).select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(-i, t) for i, t in enumerate(odd)] + [(-1, "")], "doc_id long, text string"))
+    judged = quality.clean(docs.withColumn("kept", F.lit("clash"))).withColumnRenamed("doc_id", "id")
+    texts = {(r.doc_id, r.text) for r in docs.collect()}
+    got = {(r.id, *plain) for r in judged.collect() for plain in [(r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)]}
+    assert got == {(i, *plain_quality(t)) for i, t in texts}
+    assert quality.clean(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "line, fails",
+    [
+        ("A plain sentence of words, ended well.", False), ("home | news | sport | about", True), ("no sentence end here", True),
+        ("BUY THIS THING TODAY NOW.", True), ("wow!! so!! nice!!", True), ("Licensed under the terms of nobody.", True),
+        ("a%%% b$$$ c###.", True), ("well well well well.", True), ("", False),
+    ],
+)
+def test_line_rules(line, fails):
+    data = np.frombuffer(line.encode(), dtype=np.uint8)
+    _, bad, _ = quality.judge(data, np.array([0, len(data)]), quality.Rules())
+    assert bad.tolist() == [fails]
+
+
+def test_lost_text_rejects_and_cleaning_removes(spark):
+    good = "These are quite ordinary words in a sentence, and more of them follow."
+    rows = [(1, f"{good}\nhome | news | sport | about"), (2, f"{good}\n" + "menu | " * 40)]
+    got = {r.doc_id: (r.kept, r.cleaned) for r in quality.clean(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (True, good), 2: (False, good)}
+
+
+def test_toxicity(spark, testdata):
+    docs = spark.read.parquet(str(testdata / "sf0.1/documents.parquet"))
+    labels = spark.read.parquet(str(testdata / "sf0.1/labels.parquet"))
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = toxicity.fit(docs, labels.where(~held))
+    scored = toxicity.score(docs.withColumn("score", F.lit("clash")), model).join(labels.where(held), "doc_id")
+    hits = {(r.toxic, r.p): r["count"] for r in scored.groupBy("toxic", (F.col("score") >= 0.7).alias("p")).count().collect()}
+    caught, missed = hits[1, True], hits.get((1, False), 0)
+    assert caught / (caught + missed) > 0.8 and hits.get((0, True), 0) / hits[0, False] < 0.01
+    found = scored.where("toxic = 1 AND score >= 0.7").select(F.size("offending").alias("n")).collect()
+    assert sum(r.n >= 1 for r in found) >= 0.9 * len(found)  # several weak sentences may make a document toxic
+
+
+def test_toxicity_of_odd_rows(spark):
+    rows = [(i, "you absolute rotter. fine words here" if i % 2 else "good words only. fine words here") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic")).union(spark.createDataFrame([(1, None), (None, 1), (999, 1)], "doc_id long, toxic long"))
+    model = toxicity.fit(docs, labels)
+    odd = spark.createDataFrame([(1, None), (1, ""), (2, " . !\n"), (None, "A ROTTER came. nothing else"), (3, "fine words " * 5000)], "doc_id long, text string")
+    got = sorted((str(r.doc_id), round(r.score), r.offending) for r in toxicity.score(odd, model).collect())
+    assert got == [("1", 0, []), ("1", 0, []), ("2", 0, []), ("3", 0, []), ("None", 1, ["A ROTTER came"])]
+    blank = toxicity.fit(docs.limit(0), labels)
+    assert {round(r.score, 1) for r in toxicity.score(docs, blank).collect()} == {0.0}
+
+
+def test_long_rows_do_not_mix_with_others():
+    import pyarrow as pa
+
+    texts = ["a b", "", None, "x" * 3000 + " y", "c", "d e f"]
+    out = []
+    for _, data, offsets in w.slices(pa.array(texts), limit=100):
+        starts, ends, row = w.words(data, offsets)
+        out += [[bytes(data[a:b]).decode() for a, b, r in zip(starts, ends, row, strict=True) if r == i] for i in range(len(offsets) - 1)]
+    assert out == [WORD.findall(t or "") for t in texts]
