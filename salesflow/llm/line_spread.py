@@ -10,35 +10,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.llm.common import written
+
 MIN_SITES = 6
 LOG2_REGISTERS = 12
 MAX_SHARE = 0.5
 
 
 def line_key(line: Column) -> Column:
-    """128 bits of a line without the spaces around it; null for a line without a word."""
-    bare = F.regexp_replace(line, "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$", "")
-    return F.when(bare != "", F.unhex(F.md5(bare)))
+    """64 bits of a line without the spaces around it; null for a line without a word."""
+    bare = F.btrim(line, F.lit(" \t\n\v\f\r"))
+    return F.when(bare != "", F.xxhash64(bare))
 
 
 def _lines(docs: DataFrame, id: str, text: str, site: str) -> DataFrame:
+    """(id, site, key) of the lines with a word, written once: the text is read for them only here."""
     split = F.explode(F.split(F.col(text), "\n", -1)).alias("line")
     lines = docs.select(F.col(id).alias("id"), F.col(site).cast("string").alias("site"), split)
-    return lines.select("id", "site", line_key(F.col("line")).alias("key")).where("key IS NOT NULL")
+    return written(lines.select("id", "site", line_key(F.col("line")).alias("key")).where("key IS NOT NULL"), "spread-lines")
 
 
-def spread_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """(key, sites) of the lines on at least ``min_sites`` sites; ``sites`` is exact within three
-    standard errors of the threshold, else estimated. A null site is no site."""
-    lines = _lines(docs, id, text, site)
+def _spread(lines: DataFrame, min_sites: int) -> DataFrame:
     error = 1.04 / 2 ** (LOG2_REGISTERS / 2)
     band = max(1.0, 3 * error * min_sites)
     sketched = lines.groupBy("key").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LOG2_REGISTERS)).alias("sites"))
-    near = sketched.where(F.col("sites").between(min_sites - band, min_sites + band)).select("key")
+    sketched = written(sketched.where(F.col("sites") >= min_sites - band), "spread-sketches")
+    near = sketched.where(F.col("sites") <= min_sites + band).select("key")
     exact = lines.join(near, "key", "left_semi").select("key", "site").distinct().groupBy("key").agg(F.count("site").alias("sites"))
     return sketched.where(F.col("sites") > min_sites + band).unionByName(exact.where(F.col("sites") >= min_sites))
 
 
+def spread_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+    """(key, sites) of the lines on at least ``min_sites`` sites; ``sites`` is exact within three
+    standard errors of the threshold, else estimated. A null site is no site."""
+    return _spread(_lines(docs, id, text, site), min_sites)
+
+
 def remove_spread_lines(
     docs: DataFrame, id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES, max_share: float = MAX_SHARE
 ) -> DataFrame:
@@ -52,20 +59,18 @@ def remove_spread_lines(
     cleaned of no line. All other columns are kept; ``n_lines``, ``n_spread`` and ``n_removed`` of
     the input are replaced.
     """
-    spread = spread_lines(docs, id, text, site, min_sites).select("key")
-    bad = _lines(docs, id, text, site).join(spread, "key", "left_semi")
+    lines = _lines(docs, id, text, site)
+    bad = lines.join(_spread(lines, min_sites).select("key"), "key", "left_semi")
     bad = bad.groupBy(F.col("id").alias("__id")).agg(F.collect_set("key").alias("__bad"))
     own = [c for c in docs.columns if c not in ("n_lines", "n_spread", "n_removed")]
     rows = docs.select(*own).join(bad, F.col(id) == F.col("__id"), "left")
     split = F.split(F.col(text), "\n", -1)
-    no_key = F.array().cast("array<binary>")
-    parted = rows.withColumn("__lines", F.transform(split, lambda x: F.struct(x.alias("line"), line_key(x).alias("key"))))
-    parted = parted.withColumn("__bad", F.coalesce("__bad", no_key))
-    real = F.coalesce(F.size(F.filter("__lines", lambda x: x.key.isNotNull())), F.lit(0))
-    hit = F.coalesce(F.size(F.filter("__lines", lambda x: F.coalesce(F.array_contains(F.col("__bad"), x.key), F.lit(False)))), F.lit(0))
-    parted = parted.withColumns({"n_lines": F.greatest(real, F.lit(0)).cast("long"), "n_spread": F.greatest(hit, F.lit(0)).cast("long")})
+    real = F.coalesce(F.size(F.filter(split, lambda x: F.btrim(x, F.lit(" \t\n\v\f\r")) != "")), F.lit(0))
+    # Lines are looked up only in documents that have a spread line.
+    is_bad = lambda x: F.coalesce(F.array_contains(F.col("__bad"), line_key(x)), F.lit(False))
+    hit = F.when(F.col("__bad").isNull() | F.col(text).isNull(), 0).otherwise(F.size(F.filter(split, is_bad)))
+    rows = rows.withColumns({"n_lines": F.greatest(real, F.lit(0)).cast("long"), "n_spread": hit.cast("long")})
     cut = (F.col("n_spread") > 0) & (F.col("n_spread") <= max_share * F.col("n_lines"))
-    kept = F.filter("__lines", lambda x: ~F.coalesce(F.array_contains(F.col("__bad"), x.key), F.lit(False)))
-    cleaned = F.when(cut, F.array_join(F.transform(kept, lambda x: x.line), "\n")).otherwise(F.col(text))
-    out = parted.withColumn("n_removed", F.when(cut, F.col("n_spread")).otherwise(F.lit(0)).cast("long")).withColumn(text, cleaned)
-    return out.select(*own, "n_lines", "n_spread", "n_removed")
+    cleaned = F.when(cut, F.array_join(F.filter(split, lambda x: ~is_bad(x)), "\n")).otherwise(F.col(text))
+    rows = rows.withColumn("n_removed", F.when(cut, F.col("n_spread")).otherwise(F.lit(0)).cast("long"))
+    return rows.withColumn(text, cleaned).select(*own, "n_lines", "n_spread", "n_removed")

@@ -210,9 +210,9 @@ def test_toxicity_of_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic")).union(spark.createDataFrame([(1, None), (None, 1), (999, 1)], "doc_id long, toxic long"))
     model = toxicity.fit(docs, labels)
-    odd = spark.createDataFrame([(1, None), (1, ""), (2, " . !\n"), (None, "A ROTTER came. nothing else"), (3, "fine words " * 5000)], "doc_id long, text string")
+    odd = spark.createDataFrame([(1, None), (1, ""), (2, " . !\n"), (None, "YOU absolute ROTTER. nothing else"), (3, "fine words " * 5000)], "doc_id long, text string")
     got = sorted((str(r.doc_id), round(r.score), r.offending) for r in toxicity.score(odd, model).collect())
-    assert got == [("1", 0, []), ("1", 0, []), ("2", 0, []), ("3", 0, []), ("None", 1, ["A ROTTER came"])]
+    assert got == [("1", 0, []), ("1", 0, []), ("2", 0, []), ("3", 0, []), ("None", 1, ["YOU absolute ROTTER"])]
     blank = toxicity.fit(docs.limit(0), labels)
     assert {round(r.score, 1) for r in toxicity.score(docs, blank).collect()} == {0.0}
 
