@@ -174,7 +174,8 @@ def fit(
     known = known.orderBy("h", "id", "label").limit(sample_docs)
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id")
     sample = rows.orderBy("h", "id", "text").limit(sample_docs).select("text", "label")
-    keys, weights, bias = arrow_map(sample.coalesce(1), _train_batches, "keys binary, weights binary, bias double").first()
+    learnt = arrow_map(sample.coalesce(1), _train_batches, "keys binary, weights binary, bias double").first()
+    keys, weights, bias = learnt or (b"", b"", START_BIAS)  # without rows there may be no task
     return Model(np.frombuffer(keys, dtype=np.uint64), np.frombuffer(weights, dtype=np.float64), bias)
 
 
