@@ -12,9 +12,13 @@ FIRST_MILLI, LAST_MILLI = -62135596800000, 253402300799999
 def amount(raw: Column) -> Column:
     """Int from a JSON number or numeric text; fractions truncate, null and blank count as 0.
 
-    Null only for a text that is no number or does not fit.
+    Null only for a text that is no number or does not fit. The fraction is cut off the text, since
+    a decimal cast would round it first; numbers with an exponent are read as doubles.
     """
-    number = raw.try_cast("decimal(38,10)").try_cast("int")
+    plain = raw.rlike(r"^\s*[+-]?\d+(\.\d*)?\s*$")
+    whole = F.regexp_extract(raw, r"^\s*([+-]?\d+)", 1).try_cast("decimal(38,0)").try_cast("int")
+    other = raw.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$")
+    number = F.when(plain, whole).when(other, raw.try_cast("double").try_cast("int"))
     return F.when(raw.isNull() | (F.trim(raw) == ""), F.lit(0)).otherwise(number)
 
 

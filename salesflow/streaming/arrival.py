@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesflow.functions.guards import without_nulls
 from salesflow.operators.windows import window_rows
 
 WINDOW_MILLIS = 30_000
@@ -81,6 +82,7 @@ def stream_arrival_totals(
     Needs the RocksDB state store (see ``session.configure``). For recorded arrival times use
     ``tumbling_totals`` on that column.
     """
+    sales = without_nulls(sales, {key: "key"})
     key_type = sales.schema[key].dataType
     partial = T.StructType([T.StructField(key, key_type), T.StructField("amount", T.LongType())])
     closed = T.StructType(

@@ -56,6 +56,8 @@ def test_times(spark, raw, expected):
     [
         ('"7"', 7), ("7.9", 7), ("-7.9", -7), ("1e2", 100), ("null", 0), (None, 0), ('""', 0),
         ("2147483647", 2147483647), ("-2147483648", -2147483648),
+        ("29.999999999999996", 29), ("-29.999999999999996", -29), ("2147483647.9", 2147483647),
+        ("2.9999999999999996e1", 29), ('".5"', 0), ('" 8.99 "', 8),
     ],
 )
 def test_amounts(spark, raw, expected):
@@ -90,6 +92,13 @@ def test_amounts(spark, raw, expected):
         (sale(SalesDateTime='""'), "null_time"),
         (sale(EventProcessingTime=None), "null_time"),
         ('{"productname":"p"}', "null_key"),
+        (sale(ProductName='{"x":1}'), "bad_field"),
+        (sale(ProductName='["p"]'), "bad_field"),
+        (sale(SalesId='{"x":{"y":[]}}'), "bad_field"),
+        ("{'SalesId':'s'}", "corrupt"),
+        ("\n", "empty"),
+        (sale(SalesAmount='"NaN"'), "bad_amount"),
+        (sale(SalesAmount='"1d"'), "bad_amount"),
     ],
 )
 def test_refused(spark, value, reason):
@@ -103,6 +112,12 @@ def test_refused(spark, value, reason):
 def test_json_null_is_no_record(spark):
     assert decode(spark, "null").isEmpty()
     assert decode(spark, " null ").isEmpty()
+    assert decode(spark, "\tnull\r\n").isEmpty()
+
+
+@pytest.mark.parametrize("value", ["\ufeff" + sale(), "\n\t" + sale() + "\r\n", sale(ProductName='"{x}"'), sale(ProductName='"[p]"')])
+def test_accepted(spark, value):
+    assert decode(spark, value).first().reason is None
 
 
 def test_unknown_fields(spark):
