@@ -60,7 +60,8 @@ def _both_tables(
     def step(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            append_batch(quarantined(batch), batch_id, target.for_quarantine()).unpersist()
+            refused = target.for_quarantine()
+            append_batch(quarantined(batch), batch_id, refused, target.checkpoint).unpersist()
             handle(good_sales(batch), batch_id)
         finally:
             batch.unpersist()
@@ -86,12 +87,12 @@ def _sales_beside_quarantine(
 def land_sales(messages: DataFrame, target: Target, unknown_fields: str = "ignore") -> Job:
     """Decode the messages and append the sales unchanged."""
     decoded = decode_sales(messages, unknown_fields=unknown_fields)
-    if target.quarantine is None:
-        return Job(append_stream(sale_rows(strict_sales(decoded)), target, SALE))
 
     def land(sales: DataFrame, batch_id: int) -> None:
         append_batch(check_schema(sale_rows(sales), SALE), batch_id, target).unpersist()
 
+    if target.quarantine is None:  # the same layout, so that a quarantine can come and go
+        return Job(append_each_batch(decoded, target, lambda batch, batch_id: land(strict_sales(batch), batch_id)))
     return _both_tables(decoded, target, land)
 
 

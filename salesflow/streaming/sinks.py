@@ -13,6 +13,8 @@ from salesflow.functions.ids import sale_line
 from salesflow.schema import check_schema
 
 BATCH = "batch_id"
+WRITER = "writer"
+FILE_LOG = "_spark_metadata"
 
 
 @dataclass(frozen=True)
@@ -44,9 +46,23 @@ def _writer(df: DataFrame, target: Target) -> DataStreamWriter:
     return writer.trigger(processingTime=target.every)
 
 
+def _refuse(spark: SparkSession, target: Target, other: str) -> None:
+    """Fail if the table holds files of the other layout, which readers would hide or mix up."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target.path}/{other}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    if target.format != "delta" and found is not None and len(found):
+        raise ValueError(f"{target.path} was written in another layout ({other}); use a new table path")
+
+
+def _writer_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark drew for a checkpoint when it was made; a new checkpoint at the same path has another."""
+    return spark.read.json(f"{checkpoint}/metadata").first().id
+
+
 def append_stream(df: DataFrame, target: Target, table: StructType) -> StreamingQuery:
     """Append a stream to its table, exactly once per checkpoint, after checking the columns."""
     check_schema(df, table)
+    _refuse(df.sparkSession, target, f"{WRITER}=*")
     if target.files is not None:
         df = df.repartition(target.files)
     return _writer(df, target).format(target.format).option("path", target.path).start()
@@ -54,24 +70,31 @@ def append_stream(df: DataFrame, target: Target, table: StructType) -> Streaming
 
 def append_each_batch(df: DataFrame, target: Target, handle) -> StreamingQuery:
     """Run ``handle(batch, batch_id)`` per micro-batch; it must be repeatable for one batch id."""
+    for other in (FILE_LOG, f"{BATCH}=*"):
+        _refuse(df.sparkSession, target, other)
     return _writer(df, target).foreachBatch(handle).start()
 
 
-def append_batch(df: DataFrame, batch_id: int, target: Target) -> DataFrame:
+def append_batch(df: DataFrame, batch_id: int, target: Target, checkpoint: str | None = None) -> DataFrame:
     """Append one micro-batch so that a repeated batch id leaves the table unchanged.
 
-    Delta tables remember the batch id per application. For plain files the batch is a folder of
-    the table, which a repeat overwrites. Returns the appended rows, not to be computed again.
+    Batch ids count per checkpoint, so they are kept under the checkpoint's own id: a new
+    checkpoint on an old table appends. Delta tables remember both. For plain files the batch is a
+    folder of the table, which a repeat overwrites. ``checkpoint`` is that of the running query,
+    if not the target's. Returns the appended rows, not to be computed again.
     """
+    writer = _writer_id(df.sparkSession, checkpoint or target.checkpoint)
+    if target.files is not None:
+        df = df.repartition(target.files)
     if target.format == "delta":
         df = df.persist()
         (
             df.write.format("delta").mode("append")
-            .option("txnAppId", target.checkpoint).option("txnVersion", batch_id)
+            .option("txnAppId", writer).option("txnVersion", batch_id)
             .save(target.path)
         )
         return df
-    folder = f"{target.path}/{BATCH}={batch_id}"
+    folder = f"{target.path}/{WRITER}={writer}/{BATCH}={batch_id}"
     df.write.format(target.format).mode("overwrite").save(folder)
     return df.sparkSession.read.schema(df.schema).format(target.format).load(folder)
 

@@ -17,6 +17,7 @@ from salesflow.schema import QUARANTINE, RUNNING_TOTAL, SALE, WINDOW_TOTAL
 from salesflow.sources.replay import recorded, replay
 from salesflow.streaming.progress import input_rows, late_rows_dropped, wait_for_timers
 from salesflow.streaming import running
+from salesflow.streaming.arrival import stream_arrival_totals
 from salesflow.streaming.running import state_after, state_root
 from salesflow.streaming.sinks import Target, append_stream, print_sales, read_table
 
@@ -350,3 +351,41 @@ def test_recorded_reads_the_same_files(spark, tmp_path):
     ]
     rows = dedupe_running_total(sales).select("SalesId", "ProductName", "TotalSalesAmount")
     assert sorted(map(tuple, rows.collect())) == TOTALS
+
+
+def _land(spark, folder, rows, quarantine, checkpoint):
+    (folder / "in").mkdir(exist_ok=True)
+    (folder / "in" / f"{rows[0]}.json").write_text("\n".join(
+        f'{{"SalesId":"{i}","ProductName":"p","SalesDateTime":1000,"SalesAmount":1,"EventProcessingTime":1000}}' for i in rows
+    ))
+    stream = spark.readStream.schema("value string").text(str(folder / "in"))
+    refused = str(folder / "refused") if quarantine else None
+    to = Target(str(folder / "table"), str(folder / checkpoint), available_now=True, quarantine=refused)
+    jobs.land_sales(stream, to).await_termination()
+    return sorted(int(r.SalesId) for r in read_table(spark, to.path, SALE).collect())
+
+
+@pytest.mark.parametrize("order", [(False, True), (True, False)])
+def test_quarantine_comes_and_goes(spark, tmp_path, order):
+    assert _land(spark, tmp_path, [1, 2, 3], order[0], "c") == [1, 2, 3]
+    assert _land(spark, tmp_path, [4, 5, 6], order[1], "c") == [1, 2, 3, 4, 5, 6]
+
+
+def test_new_checkpoint_appends(spark, tmp_path):
+    assert _land(spark, tmp_path, [1, 2], False, "c1") == [1, 2]
+    assert _land(spark, tmp_path, [3], False, "c2") == [1, 1, 2, 2, 3]  # it begins from the start
+
+
+def test_other_layout_is_refused(spark, tmp_path):
+    spark.createDataFrame([("x",)], "value string").write.parquet(str(tmp_path / "table" / "batch_id=0"))
+    with pytest.raises(ValueError, match="another layout"):
+        _land(spark, tmp_path, [1], False, "c")
+
+
+def test_null_keys_fail_in_arrival_windows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"ProductName":null,"SalesAmount":3}\n{"ProductName":"a","SalesAmount":4}')
+    sales = spark.readStream.schema("ProductName string, SalesAmount int").json(str(tmp_path / "in"))
+    query = stream_arrival_totals(sales).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="null key"):
+        query.awaitTermination()
