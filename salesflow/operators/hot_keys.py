@@ -7,41 +7,44 @@ the unit of work. What a range needs to know of the ranges before it is a small
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# At most this many keys are split. They are the largest ones, so any further key holds less than
-# 1/10,000 of all rows, and the list has a fixed bound for the driver and for broadcasting.
-HOT_KEY_LIMIT = 10_000
-RANGE_LIMIT = 20_000
+from salesflow.session import work_dir
+
 # Expected sample rows per range: a key at the threshold is estimated to within about 15 percent.
 SAMPLES_PER_RANGE = 200
 # Per-range tables up to this many rows are broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 200_000
+# The table of hot keys and their cuts is broadcast up to this size, and joined by shuffle beyond.
+BROADCAST_BYTES = 64 << 20
 
 RANGE = "_range"
 HOT = "_hot"
+_CUTS = "_cuts"
 _POSITION = "_position"
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hot keys (a DataFrame of at most HOT_KEY_LIMIT rows) and the range boundaries."""
+    """A written table of the hot keys and their sorted cuts, its size, and all ranges together."""
 
     keys: DataFrame | None
-    count: int
-    boundaries: tuple[float, ...]
+    bytes: int
+    range_rows: int
+    most_cuts: int
+
+    def table(self, *columns: str) -> DataFrame:
+        """Some columns of the table, marked for broadcasting if the whole is small enough."""
+        table = self.keys.select(*columns)
+        return F.broadcast(table) if self.bytes <= BROADCAST_BYTES else table
 
-    @property
-    def range_rows(self) -> int:
-        """Upper bound on the rows of a per-(hot key, range) table."""
-        return self.count * (len(self.boundaries) + 2)
+
+NO_HOT_KEYS = HotKeys(None, 0, 0, 0)
 
 
 def arrival_columns(arrival: str | Sequence[str]) -> list[str]:
@@ -59,10 +62,13 @@ def _position(df: DataFrame, arrival: Sequence[str]) -> Column:
 
 
 def find_hot_keys(df: DataFrame, key: str, arrival: Sequence[str], rows_per_range: int) -> HotKeys:
-    """Estimate which keys have more than ``rows_per_range`` rows, and choose their boundaries.
+    """Estimate which keys have more than ``rows_per_range`` rows, and cut each by its own rows.
 
-    One pass over the key and arrival columns keeps a thin sample. The sample only balances the
-    work: every row is assigned to its range afterwards and no result depends on the estimate.
+    Runs Spark jobs at once: one pass over the key and arrival columns keeps a thin sample, which
+    is sorted by key and position over all tasks; every so many sample rows of the sorted order are
+    a cut. Hot keys and cuts stay a table in the work folder and only its size comes to the driver.
+    The sample only balances the work: every row is assigned to its range afterwards and no result
+    depends on the estimate.
     """
     spark = df.sparkSession
     fraction = min(1.0, SAMPLES_PER_RANGE / rows_per_range)
@@ -71,41 +77,49 @@ def find_hot_keys(df: DataFrame, key: str, arrival: Sequence[str], rows_per_rang
         sample = sample.sample(fraction=fraction, seed=0)
     sample = sample.where(F.col(key).isNotNull()).persist()
     try:
-        found = (
-            sample.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-            .where(F.col("_rows") > rows_per_range * fraction)
-            .orderBy(F.desc("_rows"), key)
-            .limit(HOT_KEY_LIMIT)
-            .collect()
-        )
-        if not found:
-            return HotKeys(None, 0, ())
-        schema = T.StructType([T.StructField(key, df.schema[key].dataType)])
-        keys = spark.createDataFrame([(row[key],) for row in found], schema)
-        rows = sum(row["_rows"] for row in found) / fraction
-        ranges = min(RANGE_LIMIT, math.ceil(rows / rows_per_range))
-        cuts = [i / ranges for i in range(1, ranges)]
-        positions = sample.join(F.broadcast(keys), key, "left_semi")
-        boundaries = positions.approxQuantile(_POSITION, cuts, 0.1 / ranges) if cuts else []
+        per_range = max(1, round(rows_per_range * fraction))
+        sizes = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+        hot = sizes.where(F.col("_rows") > rows_per_range * fraction).select(key)
+        # Numbered within its partition, each partition's first row included, so that no stretch
+        # of a key's rows longer than per_range is without a cut.
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        ordered = sample.join(hot, key, "left_semi").orderBy(key, _POSITION).withColumn("_place", place)
+        cuts = ordered.where(F.col("_place") % per_range == 0).groupBy(key).agg(F.array_sort(F.collect_set(_POSITION)).alias(_CUTS))
+        path = work_dir(spark, "hot-keys")
+        # A hot key has no cut if all its sample rows lie between two of the sorted order.
+        table = hot.join(cuts, key, "left").select(key, F.coalesce(_CUTS, F.array().cast("array<double>")).alias(_CUTS))
+        table.write.parquet(path)
     finally:
         sample.unpersist()
-    return HotKeys(keys, len(found), tuple(sorted(set(boundaries))))
+    keys = spark.read.schema(table.schema).parquet(path)
+    length = F.octet_length(F.col(key).cast("string")) + 8 * F.size(_CUTS) + 64
+    count, size, ranges, most = keys.agg(
+        F.count(F.lit(1)), F.sum(length), F.sum(F.size(_CUTS) + 1), F.max(F.size(_CUTS))
+    ).first()
+    return HotKeys(keys, size, ranges, most) if count else NO_HOT_KEYS
+
+
+def _cuts_up_to(position: Column, most: int) -> Column:
+    """How many of the sorted cuts are not beyond ``position``, by steps of halved length."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(most.bit_length()))])
+    cuts = F.col(_CUTS)
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda passed, step: F.when(F.get(cuts, passed + step - 1) <= position, passed + step).otherwise(passed),
+    )
 
 
 def with_ranges(df: DataFrame, key: str, arrival: Sequence[str], hot: HotKeys) -> DataFrame:
     """Add ``_hot`` and ``_range``; range numbers follow arrival order, and are 0 for other keys."""
     if hot.keys is None:
         return df.withColumn(HOT, F.lit(False)).withColumn(RANGE, F.lit(0))
-    marked = df.join(F.broadcast(hot.keys.withColumn(HOT, F.lit(True))), key, "left")
-    marked = marked.withColumn(HOT, F.coalesce(HOT, F.lit(False)))
-    if not hot.boundaries:
-        return marked.withColumn(RANGE, F.lit(0))
-    finder = Bucketizer(
-        splits=[-math.inf, *hot.boundaries, math.inf], inputCol=_POSITION, outputCol="_bucket"
-    )
-    found = finder.transform(marked.withColumn(_POSITION, _position(df, arrival)))
-    number = F.when(F.col(HOT), F.col("_bucket").cast("int")).otherwise(0)
-    return found.withColumn(RANGE, number).drop(_POSITION, "_bucket")
+    marked = df.join(hot.table(key, _CUTS), key, "left")
+    marked = marked.withColumn(HOT, F.col(_CUTS).isNotNull())
+    if not hot.most_cuts:
+        return marked.withColumn(RANGE, F.lit(0)).drop(_CUTS)
+    number = F.when(F.col(HOT), _cuts_up_to(_position(df, arrival), hot.most_cuts)).otherwise(0)
+    return marked.withColumn(RANGE, number).drop(_CUTS)
 
 
 def join_per_range(rows: DataFrame, table: DataFrame, key: str, bound: int | None) -> DataFrame:

@@ -18,6 +18,7 @@ from salesflow.functions.amounts import narrow
 from salesflow.functions.guards import batch_only, without_nulls
 from salesflow.operators.hot_keys import (
     HOT,
+    NO_HOT_KEYS,
     RANGE,
     HotKeys,
     arrival_columns,
@@ -68,7 +69,7 @@ def _gate(
     state_rows: int | None,
 ) -> _Gate:
     batch_only(df, "streaming.running.stream_running_totals")
-    hot = HotKeys(None, 0, ())
+    hot = NO_HOT_KEYS
     if rows_per_range is not None:
         hot = find_hot_keys(df, key, arrival, rows_per_range)
     roles = {key: "key", time: "time"} | {column: "arrival" for column in arrival}
@@ -103,8 +104,8 @@ def _carry(
     others = None
     if state is not None:
         seeds = state.select(key, F.col(state_column).alias(column))
-        hot_seeds = seeds.join(F.broadcast(hot.keys), key, "left_semi")
-        others = seeds.join(F.broadcast(hot.keys), key, "left_anti")
+        hot_seeds = seeds.join(hot.table(key), key, "left_semi")
+        others = seeds.join(hot.table(key), key, "left_anti")
         per_range = per_range.unionByName(hot_seeds.withColumn(RANGE, F.lit(-1)))
     inherited = combine(column).over(_before(Window.partitionBy(key).orderBy(RANGE)))
     table = per_range.select(key, RANGE, inherited.alias(column))
@@ -130,7 +131,8 @@ def monotone_gate(
 
     ``state``, as ``key_state`` gives it, continues from earlier data; ``state_rows`` is an upper
     bound on its rows, if known. ``df`` is read several times, each time fewer columns: land or
-    persist it first if it is costly to compute.
+    persist it first if it is costly to compute. The search for hot keys runs Spark jobs when this
+    is called, ahead of any action; ``rows_per_range=None`` runs none.
     """
     gate = _gate(df, key, time, arrival_columns(arrival), rows_per_range, state, state_rows)
     return gate.passed(gate.rows).select(*df.columns)

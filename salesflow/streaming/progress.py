@@ -2,25 +2,81 @@
 
 from __future__ import annotations
 
+import threading
 import time
+from collections import defaultdict
 
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+
+class _Counters(StreamingQueryListener):
+    """Adds up the progress reports of every run, from its first micro-batch on."""
+
+    def __init__(self) -> None:
+        self.late = defaultdict(int)
+        self.read = defaultdict(int)
+        self.last: dict[str, str] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        run = str(progress.runId)
+        self.late[run] += sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+        self.read[run] += progress.numInputRows
+        self.last[run] = progress.timestamp
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+
+_counters: dict[str, _Counters] = {}
+_lock = threading.Lock()
+
+
+def watch(spark: SparkSession) -> None:
+    """Count the streams that start from now on. The sinks call it; other streams' owners must."""
+    with _lock:
+        application = spark.sparkContext.applicationId
+        if application not in _counters:
+            _counters[application] = _Counters()
+            spark.streams.addListener(_counters[application])
+
+
+def _counted(query: StreamingQuery, limit_seconds: float = 10) -> tuple[_Counters, str]:
+    """The counters, once they hold the latest report: reports reach them a little later."""
+    run = str(query.runId)
+    counters = _counters.get(SparkSession.active().sparkContext.applicationId)
+    if counters is None:
+        raise ValueError("call watch(spark) before the stream starts")
+    limit = time.monotonic() + limit_seconds
+    while time.monotonic() < limit:
+        last = query.lastProgress
+        if not last or counters.last.get(run, "") >= last.timestamp:
+            if query.isActive or run in counters.ended:
+                return counters, run
+        time.sleep(0.02)
+    raise TimeoutError(f"the last report of {run} has not arrived after {limit_seconds} seconds")
 
 
 def late_rows_dropped(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark, over the progress reports Spark still holds.
+    """Rows dropped behind the watermark since the query's start.
 
     Counted after partial aggregation: late rows of one key and window in one task count once.
     """
-    return sum(
-        operator.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
-    )
+    counters, run = _counted(query)
+    return counters.late[run]
 
 
 def input_rows(query: StreamingQuery) -> int:
-    return sum(progress.numInputRows for progress in query.recentProgress)
+    counters, run = _counted(query)
+    return counters.read[run]
 
 
 def wait_for_timers(query: StreamingQuery, limit_seconds: float = 6 * 3600) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from salesflow.functions.ids import sale_line
 from salesflow.schema import check_schema
+from salesflow.streaming.progress import watch
 
 BATCH = "batch_id"
 WRITER = "writer"
@@ -40,6 +41,7 @@ class Target:
 
 
 def _writer(df: DataFrame, target: Target) -> DataStreamWriter:
+    watch(df.sparkSession)
     writer = df.writeStream.outputMode("append").option("checkpointLocation", target.checkpoint)
     if target.available_now:
         return writer.trigger(availableNow=True)

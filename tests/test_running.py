@@ -103,12 +103,21 @@ def test_continues_from_state(spark, rows_per_range, cut, state_rows):
     assert sorted(result(first) + result(rest)) == expected
 
 
-def test_more_hot_keys_than_the_limit(spark, monkeypatch):
-    """Keys beyond the limit stay whole; the result does not change."""
-    monkeypatch.setattr(hot_keys, "HOT_KEY_LIMIT", 2)
-    rows = random_rows(13, 300, 0.3)
-    totals = dedupe_running_total(frame(spark, rows), arrival=ARRIVAL, rows_per_range=3)
-    assert result(totals) == fold(rows)[0]
+@pytest.mark.parametrize("bound", [0, 64 << 20])
+def test_very_many_hot_keys_are_all_split(spark, monkeypatch, bound):
+    """12,000 hot keys, each cut by its own rows, with their table broadcast or shuffled."""
+    monkeypatch.setattr(hot_keys, "BROADCAST_BYTES", bound)
+    df = spark.range(120_000).selectExpr(
+        "cast(id as string) as SalesId", "cast(id % 12000 as string) as ProductName",
+        "timestamp_seconds(id * 7919 % 1000) as EventProcessingTime", "1 as SalesAmount", "id as arrival",
+    )
+    hot = hot_keys.find_hot_keys(df, "ProductName", ["arrival"], 4)
+    assert hot.keys.count() == 12_000
+    sizes = hot_keys.with_ranges(df, "ProductName", ["arrival"], hot).groupBy("ProductName", "_range").count()
+    most, groups = sizes.agg(F.max("count"), F.count("*")).first()
+    assert most <= 4 and 30_000 <= groups <= hot.range_rows
+    split, whole = (dedupe_running_total(df, rows_per_range=n) for n in (4, None))
+    assert split.exceptAll(whole).isEmpty() and whole.exceptAll(split).isEmpty()
 
 
 @settings(
