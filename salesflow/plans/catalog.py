@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesflow.functions.amounts import narrow
 from salesflow.functions.ids import sale_line
-from salesflow.operators.decode import decode_sales, good_sales, sale_rows
+from salesflow.operators.decode import decode_sales, good_sales, sale_rows, strict_sales
 from salesflow.operators.lateness import count_late, mark_late, on_time_totals
 from salesflow.operators.running import dedupe_running_total, key_state, monotone_gate
 from salesflow.operators.windows import closed_totals, tumbling_totals
 from salesflow.plans import jobs
 from salesflow.plans.tables import (
     as_messages,
+    as_topic,
     events_as_sales,
     orders_as_mixed_messages,
     orders_as_sales,
@@ -25,8 +27,10 @@ from salesflow.plans.tables import (
     table,
     table_stream,
 )
-from salesflow.schema import RUNNING_TOTAL, SALE, WINDOW_TOTAL, check_schema
+from salesflow.schema import RUNNING_TOTAL, SALE, WINDOW_TOTAL, check_schema, totals_table
 from salesflow.session import configure, work_dir
+from salesflow.sources.replay import replay
+from salesflow.sources.topic import TOPIC_ARRIVAL, value_only
 from salesflow.streaming.progress import wait_for_timers
 from salesflow.streaming.sinks import Target, read_table
 
@@ -99,6 +103,20 @@ def running_total_wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def running_total_bigint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sales = _orders(spark, sf_dir, key="o_orderpriority", scale=4000)
+    totals = dedupe_running_total(sales, rows_per_range=HOT_ROWS, overflow="bigint")
+    return check_schema(
+        totals.select(*RUNNING_TOTAL.fieldNames()), totals_table(RUNNING_TOTAL, "bigint")
+    )
+
+
+def running_total_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a topic's rows, totalled in the order of offsets and partitions."""
+    sales = strict_sales(decode_sales(value_only(as_topic(as_messages(_orders(spark, sf_dir))))))
+    return _totals_table(dedupe_running_total(sales, arrival=TOPIC_ARRIVAL))
+
+
 def running_total_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events come in time order, so every row passes: the case with the most rows to total."""
     sales = _events(spark, sf_dir)
@@ -194,17 +212,26 @@ def stream_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_processing_time_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wall-clock windows differ from run to run; what they add up to per product does not."""
+    """Wall-clock windows differ from run to run. What they add up to per product does not, and all
+    have the asked length, are aligned to it, and occur once, each with an id of its own."""
     target = replace(_target(spark, "arrival"), available_now=False, every="500 milliseconds")
     messages = as_messages(events_as_sales(table_stream(spark, sf_dir, "events")))
-    job = jobs.processing_time_totals(messages, target, size_millis=2000, overflow="wrap")
+    size = 2000
+    job = jobs.processing_time_totals(messages, target, size_millis=size, overflow="wrap")
     try:
         wait_for_timers(job.main)
     finally:
         job.stop()
     windows = read_table(spark, target.path, WINDOW_TOTAL)
     amount = narrow(F.sum("SalesAmount"), "wrap")
-    return windows.groupBy("ProductName").agg(amount.alias("amount"))
+    start, end = F.unix_millis("WindowStartTime"), F.unix_millis("WindowEndTime")
+    once, ids = F.count_distinct("WindowStartTime"), F.count_distinct("SalesId")
+    return windows.groupBy("ProductName").agg(
+        amount.alias("amount"),
+        F.bool_and((end - start == size) & (start % size == 0)).alias("aligned"),
+        (once == F.count(F.lit(1))).alias("windows_once"),
+        (ids == F.count(F.lit(1))).alias("ids_once"),
+    )
 
 
 def stream_event_time_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,6 +241,65 @@ def stream_event_time_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, target.path, WINDOW_TOTAL)
 
 
+def _in_runs(
+    spark: SparkSession, messages: DataFrame, parts: Sequence[Column], folder: str,
+    start: Callable[[DataFrame], jobs.Job],
+) -> None:
+    """Write one part of the messages after another; after each, start the job again from its
+    checkpoint and let it end."""
+    for number, part in enumerate(parts):
+        messages.where(part).write.parquet(f"{folder}/part{number}")
+        start(replay(spark, f"{folder}/*", messages.schema)).await_termination()
+
+
+def _fourths(messages: DataFrame) -> list[Column]:
+    """Four equal stretches of the arrival numbers."""
+    low, high = messages.agg(F.min("arrival"), F.max("arrival")).first()
+    if low is None:
+        return [F.lit(True)]
+    cuts = [low + (high - low) * i // 4 for i in range(1, 4)]
+    arrival = F.col("arrival")
+    pairs = zip([None, *cuts], [*cuts, None])
+    return [
+        (F.lit(True) if a is None else arrival > a) & (F.lit(True) if b is None else arrival <= b)
+        for a, b in pairs
+    ]
+
+
+def stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running totals in four runs, each going on from the state the one before left."""
+    target = _target(spark, "resumed")
+    messages = as_messages(_orders(spark, sf_dir))
+    _in_runs(
+        spark, messages, _fourths(messages), work_dir(spark, "resumed-in"),
+        lambda part: jobs.running_totals(part, target, arrival="arrival"),
+    )
+    return read_table(spark, target.path, RUNNING_TOTAL)
+
+
+def stream_event_time_totals_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-time windows over several data batches, some open from one run to the next."""
+    target = _target(spark, "window-batches")
+    messages = as_messages(_events(spark, sf_dir))
+    _in_runs(
+        spark, messages, _fourths(messages), work_dir(spark, "window-batches-in"),
+        lambda part: jobs.event_time_totals(part, target, id="deterministic"),
+    )
+    return read_table(spark, target.path, WINDOW_TOTAL)
+
+
+def stream_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 50th event comes after all others: it counts only if its window is still open."""
+    target = _target(spark, "late")
+    messages = as_messages(_events(spark, sf_dir))
+    held = F.pmod("arrival", F.lit(50)) == 0
+    _in_runs(
+        spark, messages, [~held, held], work_dir(spark, "late-in"),
+        lambda part: jobs.event_time_totals(part, target, id="deterministic"),
+    )
+    return read_table(spark, target.path, WINDOW_TOTAL)
+
+
 QUERIES = {
     "land_sales": land_sales,
     "sales_lines": sales_lines,
@@ -225,6 +311,8 @@ QUERIES = {
     "dedupe_running_total_skewed": running_total_skewed,
     "dedupe_running_total_wrapped": running_total_wrapped,
     "dedupe_running_total_in_order": running_total_in_order,
+    "dedupe_running_total_bigint": running_total_bigint,
+    "dedupe_running_total_topic": running_total_topic,
     "product_state_snapshot": state_snapshot,
     "product_state_snapshot_skewed": state_snapshot_skewed,
     "event_time_totals": event_time_totals,
@@ -241,6 +329,9 @@ QUERIES = {
     "stream_running_total": stream_running_total,
     "stream_processing_time_totals": stream_processing_time_totals,
     "stream_event_time_totals": stream_event_time_totals,
+    "stream_resumed": stream_resumed,
+    "stream_event_time_totals_batches": stream_event_time_totals_batches,
+    "stream_late_dropped": stream_late_dropped,
 }
 
 

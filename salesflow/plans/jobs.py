@@ -23,7 +23,7 @@ from salesflow.operators.windows import (
     tumbling_totals,
     with_event_time,
 )
-from salesflow.schema import QUARANTINE, SALE, WINDOW_TOTAL, check_schema
+from salesflow.schema import QUARANTINE, SALE, WINDOW_TOTAL, check_schema, totals_table
 from salesflow.sources.topic import TOPIC_ARRIVAL
 from salesflow.streaming.arrival import WINDOW_MILLIS, stream_arrival_totals
 from salesflow.streaming.running import running_totals_step, stream_running_totals
@@ -126,7 +126,8 @@ def processing_time_totals(
         raise ValueError("arrival windows close by the clock: run the job with `every`")
     sales, refused = _sales_beside_quarantine(messages, target, unknown_fields)
     totals = stream_arrival_totals(sales, size_millis=size_millis, **options)
-    return Job(append_stream(totals, target, WINDOW_TOTAL), refused)
+    table = totals_table(WINDOW_TOTAL, options.get("overflow", "error"))
+    return Job(append_stream(totals, target, table), refused)
 
 
 def event_time_totals(
@@ -145,4 +146,5 @@ def event_time_totals(
     sales, refused = _sales_beside_quarantine(messages, target, unknown_fields)
     timed = with_event_time(sales, "EventProcessingTime", longer_delay(delay, lateness))
     totals = tumbling_totals(timed, size=size, **options)
-    return Job(append_stream(totals, target, WINDOW_TOTAL), refused)
+    table = totals_table(WINDOW_TOTAL, options.get("overflow", "error"))
+    return Job(append_stream(totals, target, table), refused)

@@ -20,21 +20,21 @@ _WRAP = "CAST(({0} + 2147483648) % 4294967296 - 2147483648 AS INTEGER)"
 _INT = "CAST({0} AS INTEGER)"
 
 
-def _passed(sales: str) -> str:
+def _passed(sales: str, order: str = "arrival") -> str:
     return f"""
     WITH sales AS ({sales}),
     clocked AS (
         SELECT *, max(EventProcessingTime) OVER (
-            PARTITION BY ProductName ORDER BY arrival
+            PARTITION BY ProductName ORDER BY {order}
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clock
         FROM sales),
     passed AS (SELECT * FROM clocked WHERE clock IS NULL OR EventProcessingTime > clock)"""
 
 
-def _running(sales: str, narrow: str = _INT) -> str:
-    total = """sum(amount) OVER (PARTITION BY ProductName ORDER BY arrival
+def _running(sales: str, narrow: str = _INT, order: str = "arrival") -> str:
+    total = f"""sum(amount) OVER (PARTITION BY ProductName ORDER BY {order}
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
-    return f"""{_passed(sales)}
+    return f"""{_passed(sales, order)}
     SELECT SalesId, ProductName, SalesDateTime, {narrow.format(total)} AS TotalSalesAmount,
            EventProcessingTime
     FROM passed"""
@@ -88,6 +88,16 @@ _LATE = f"""
                         <= clock - INTERVAL 10 SECONDS, false) AS late
         FROM batched JOIN clocks USING (batch))"""
 
+_HELD_BACK = f"""
+    WITH events_in AS ({_EVENTS}),
+    clock AS (
+        SELECT max(EventProcessingTime) - INTERVAL 10 SECONDS AS late
+        FROM events_in WHERE arrival % 50 <> 0)
+    SELECT events_in.* FROM events_in, clock
+    WHERE arrival % 50 <> 0
+          OR time_bucket(INTERVAL 30 SECONDS, EventProcessingTime, TIMESTAMP '1970-01-01')
+             + INTERVAL 30 SECONDS > late"""
+
 ORACLE = {
     "land_sales": f"""
     SELECT SalesId, ProductName, SalesDateTime, amount AS SalesAmount, EventProcessingTime
@@ -125,6 +135,10 @@ ORACLE = {
     "dedupe_running_total_skewed": _running(_orders("o_orderpriority")),
     "dedupe_running_total_wrapped": _running(_orders("o_orderpriority", 4000), _WRAP),
     "dedupe_running_total_in_order": _running(_EVENTS, _WRAP),
+    "dedupe_running_total_bigint": _running(
+        _orders("o_orderpriority", 4000), "CAST({0} AS BIGINT)"
+    ),
+    "dedupe_running_total_topic": _running(_orders(), order="arrival // 8, 7 - arrival % 8"),
     "product_state_snapshot": _snapshot(_orders()),
     "product_state_snapshot_skewed": _snapshot(_orders("o_orderpriority")),
     "event_time_totals": _windows("30 SECONDS"),
@@ -158,7 +172,11 @@ ORACLE = {
     FROM ({_orders()}) GROUP BY ProductName""",
     "stream_running_total": _running(_orders()),
     "stream_processing_time_totals": f"""
-    SELECT ProductName, {_WRAP.format("sum(amount)")} AS amount
+    SELECT ProductName, {_WRAP.format("sum(amount)")} AS amount, true AS aligned,
+           true AS windows_once, true AS ids_once
     FROM ({_EVENTS}) GROUP BY ProductName""",
     "stream_event_time_totals": _windows("30 SECONDS", wait="10 SECONDS"),
+    "stream_resumed": _running(_orders()),
+    "stream_event_time_totals_batches": _windows("30 SECONDS", wait="10 SECONDS"),
+    "stream_late_dropped": _windows("30 SECONDS", _HELD_BACK, wait="10 SECONDS"),
 }

@@ -76,6 +76,18 @@ def as_messages(sales: DataFrame) -> DataFrame:
     return sales.select(value.alias("value"), "arrival")
 
 
+def as_topic(messages: DataFrame) -> DataFrame:
+    """Messages with the columns of a topic, spread over eight partitions against their order."""
+    arrival = F.col("arrival")
+    return messages.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        (7 - F.pmod(arrival, F.lit(8))).cast("int").alias("partition"),
+        F.floor(arrival / 8).cast("bigint").alias("offset"),
+        F.lit(0).cast("timestamp").alias("timestamp"),
+    )
+
+
 def orders_as_mixed_messages(orders: DataFrame) -> DataFrame:
     """Every order as a message, in turn with ISO times, with epoch milliseconds and an
     untruncated amount, and with quoted milliseconds and amount."""

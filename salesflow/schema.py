@@ -33,6 +33,15 @@ WINDOW_TOTAL = _table(
     ("WindowEndTime", T.TimestampType()),
 )
 
+
+def totals_table(table: T.StructType, overflow: str) -> T.StructType:
+    """The table with the type that totals have under ``overflow``: 64 bits for ``"bigint"``."""
+    if overflow != "bigint":
+        return table
+    wide = T.LongType()
+    return T.StructType([T.StructField(f.name, wide if f.dataType == T.IntegerType() else f.dataType) for f in table.fields])
+
+
 QUARANTINE = _table(("value", T.StringType()), ("reason", T.StringType()))
 
 

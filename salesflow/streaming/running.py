@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from salesflow.operators.hot_keys import BROADCAST_ROWS
 from salesflow.operators.running import ROWS_PER_RANGE, dedupe_running_total, latest_state
-from salesflow.schema import RUNNING_TOTAL, check_schema
+from salesflow.schema import RUNNING_TOTAL, check_schema, totals_table
 from salesflow.streaming.sinks import BATCH, Target, append_batch, append_each_batch
 
 # Every so many micro-batches the whole state is written; the ones between write changed keys only.
@@ -27,7 +27,7 @@ STATE = T.StructType(
     [
         T.StructField(KEY, T.StringType()),
         T.StructField("last_time", T.TimestampType()),
-        T.StructField("total", T.IntegerType()),
+        T.StructField("total", T.LongType()),
         T.StructField(BATCH, T.LongType()),
     ]
 )
@@ -75,7 +75,7 @@ def _write_state(
         before = state_after(spark, root, batch_id - 1, snapshot_every)
         changed = latest_state(changed.unionByName(before), KEY, "last_time", "total")
     rows = changed.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-    rows = rows.select(*STATE.fieldNames())
+    rows = rows.withColumn("total", F.col("total").cast("bigint")).select(*STATE.fieldNames())
     rows.write.mode("overwrite").parquet(_folder(root, batch_id, snapshot_every))
 
 
@@ -103,7 +103,7 @@ def running_totals_step(
         totals = dedupe_running_total(
             batch, KEY, TIME, AMOUNT, arrival, TOTAL, overflow, rows_per_range, before, rows
         ).select(*RUNNING_TOTAL.fieldNames())
-        appended = append_batch(check_schema(totals, RUNNING_TOTAL), batch_id, target)
+        appended = append_batch(check_schema(totals, totals_table(RUNNING_TOTAL, overflow)), batch_id, target)
         try:
             changed = latest_state(appended, KEY, TIME, TOTAL)
             _write_state(spark, changed, root, batch_id, snapshot_every)

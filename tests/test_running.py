@@ -157,6 +157,8 @@ def test_overflow(spark):
         dedupe_running_total(df, arrival=ARRIVAL).collect()
     wrapped = dedupe_running_total(df, arrival=ARRIVAL, overflow="wrap")
     assert result(wrapped) == [("a", "A", 2147483647), ("b", "A", -2147483648)]
+    wide = dedupe_running_total(df, arrival=ARRIVAL, overflow="bigint")
+    assert result(wide) == [("a", "A", 2147483647), ("b", "A", 2147483648)]
     with pytest.raises(ValueError):
         dedupe_running_total(df, arrival=ARRIVAL, overflow="ignore")
 
