@@ -8,8 +8,9 @@ key inherits.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +20,13 @@ from salesflow.operators.running import ROWS_PER_RANGE, dedupe_running_total, la
 from salesflow.schema import RUNNING_TOTAL, check_schema, totals_table
 from salesflow.streaming.sinks import BATCH, Target, append_batch, append_each_batch
 
+BUCKET = "bucket"
+# State files are sorted by a hash bucket of the key and cut into small pages, so that a micro-batch reads
+# only the pages its keys can be in: those of at most so many ranges that cover its buckets.
+STATE_BUCKETS = 1 << 16
+PAGE_ROWS = 4096
+BUCKET_RANGES = 256
+
 # Every so many micro-batches the whole state is written; the ones between write changed keys only.
 SNAPSHOT_EVERY = 50
 
@@ -29,6 +37,7 @@ STATE = T.StructType(
         T.StructField("last_time", T.TimestampType()),
         T.StructField("total", T.LongType()),
         T.StructField(BATCH, T.LongType()),
+        T.StructField(BUCKET, T.IntegerType()),
     ]
 )
 
@@ -36,8 +45,24 @@ STATE = T.StructType(
 def _folder(root: str, batch_id: int, snapshot_every: int) -> str:
     # Folders are reused after two snapshot periods, so the state does not grow with time. The one
     # being written is never among those its batch reads, which makes a repeated batch safe. A
-    # restart with another period finds no folder and fails, rather than read half a state.
-    return f"{root}/every={snapshot_every}/slot={batch_id % (2 * snapshot_every)}"
+    # restart with another period finds no folder and fails, rather than read half a state. So does
+    # one on a state of other buckets, or of none.
+    return f"{root}/buckets={STATE_BUCKETS}/every={snapshot_every}/slot={batch_id % (2 * snapshot_every)}"
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64(KEY), F.lit(STATE_BUCKETS)).cast("int")
+
+
+def _covering(buckets: Sequence[int]) -> Column:
+    """A condition for the buckets, as ranges that leave out the widest gaps between them."""
+    values = sorted(buckets)
+    gaps = sorted(range(1, len(values)), key=lambda i: values[i - 1] - values[i])[: BUCKET_RANGES - 1]
+    cuts = [0, *sorted(gaps), len(values)]
+    terms = [F.col(BUCKET).between(values[a], values[b - 1]) for a, b in zip(cuts, cuts[1:]) if a < b]
+    while len(terms) > 1:  # a balanced tree: the scan takes it apart recursively
+        terms = [terms[i] | terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0] if terms else F.lit(False)
 
 
 def state_after(
@@ -46,37 +71,52 @@ def state_after(
     batch_id: int,
     snapshot_every: int = SNAPSHOT_EVERY,
     only: DataFrame | None = None,
+    touched: Sequence[int] | None = None,
 ) -> DataFrame | None:
     """Last time and total per key after ``batch_id``: a snapshot and the changes since.
 
-    ``only`` narrows it to a few keys, before the state is shuffled.
+    ``touched`` has the buckets to read; ``only`` narrows the state to a few keys, before it is
+    shuffled.
     """
     if batch_id < 0:
         return None
     first = batch_id - batch_id % snapshot_every
     folders = [_folder(root, b, snapshot_every) for b in range(first, batch_id + 1)]
     rows = spark.read.schema(STATE).parquet(*folders).where(F.col(BATCH).between(first, batch_id))
+    if touched is not None:
+        rows = rows.where(_covering(touched))
     if only is not None:
         rows = rows.join(F.broadcast(only), KEY, "left_semi")
     return latest_state(rows, KEY, "last_time", "total")
 
 
-def _few_keys(batch: DataFrame) -> tuple[DataFrame | None, int | None]:
-    """The distinct keys of a micro-batch and their number, if they are few enough to broadcast."""
+class Touched(NamedTuple):
+    """What a micro-batch touches: its buckets and, where they are few, its keys and their number."""
+
+    keys: DataFrame | None
+    count: int | None
+    buckets: list[int]
+
+
+def _touched(batch: DataFrame) -> Touched:
     keys = batch.select(KEY).distinct()
-    count = keys.count()
-    return (keys, count) if count <= BROADCAST_ROWS else (None, None)
+    count, buckets = keys.agg(F.count("*"), F.collect_set(_bucket())).first()
+    return Touched(keys, count, buckets) if count <= BROADCAST_ROWS else Touched(None, None, buckets)
 
 
 def _write_state(
     spark: SparkSession, changed: DataFrame, root: str, batch_id: int, snapshot_every: int
 ) -> None:
-    if batch_id > 0 and batch_id % snapshot_every == 0:
+    whole = batch_id > 0 and batch_id % snapshot_every == 0
+    if whole:
         before = state_after(spark, root, batch_id - 1, snapshot_every)
         changed = latest_state(changed.unionByName(before), KEY, "last_time", "total")
-    rows = changed.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    rows = changed.withColumn(BATCH, F.lit(batch_id).cast("bigint")).withColumn(BUCKET, _bucket())
     rows = rows.withColumn("total", F.col("total").cast("bigint")).select(*STATE.fieldNames())
-    rows.write.mode("overwrite").parquet(_folder(root, batch_id, snapshot_every))
+    if whole:
+        rows = rows.repartitionByRange(BUCKET)
+    rows = rows.sortWithinPartitions(BUCKET)
+    rows.write.mode("overwrite").option("parquet.page.row.count.limit", PAGE_ROWS).parquet(_folder(root, batch_id, snapshot_every))
 
 
 def state_root(target: Target) -> str:
@@ -98,8 +138,9 @@ def running_totals_step(
     def append(spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
         before = rows = None
         if batch_id > 0:
-            keys, rows = _few_keys(batch)
-            before = state_after(spark, root, batch_id - 1, snapshot_every, keys)
+            touched = _touched(batch)
+            rows = touched.count
+            before = state_after(spark, root, batch_id - 1, snapshot_every, touched.keys, touched.buckets)
         totals = dedupe_running_total(
             batch, KEY, TIME, AMOUNT, arrival, TOTAL, overflow, rows_per_range, before, rows
         ).select(*RUNNING_TOTAL.fieldNames())

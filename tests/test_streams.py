@@ -75,7 +75,8 @@ def test_running_totals_state_layouts(spark, tmp_path, snapshot_every, rows_per_
         snapshot_every=snapshot_every, rows_per_range=rows_per_range,
     ).await_termination()
     assert totals(spark, to) == TOTALS
-    root = tmp_path / "out-checkpoint" / "running_totals" / f"every={snapshot_every}"
+    buckets = f"buckets={running.STATE_BUCKETS}"
+    root = tmp_path / "out-checkpoint" / "running_totals" / buckets / f"every={snapshot_every}"
     assert len(list(root.iterdir())) <= 2 * snapshot_every
 
 
@@ -110,6 +111,47 @@ def test_running_totals_repeated_batch(spark, tmp_path):
                 commit.unlink()
 
 
+@pytest.mark.parametrize("few", [1, 15])
+def test_state_read_is_bounded_by_the_keys_asked_for(spark, tmp_path, few):
+    """Few keys against a state of 200,000 read only the pages that their buckets are in."""
+    rows = spark.range(200_000, numPartitions=4).select(
+        F.concat(F.lit("p"), "id").alias(running.KEY), F.timestamp_seconds("id").alias("last_time"),
+        (F.col("id") * 3).alias("total"),
+    )
+    root = str(tmp_path / "state")
+    running._write_state(spark, rows, root, 0, 50)
+    batch = rows.where(f"total % 6 = 0 AND total < {6 * few}").select(running.KEY)
+    touched = running._touched(batch)
+    assert touched.count == few >= len(touched.buckets)
+    found = state_after(spark, root, 0, only=touched.keys, touched=touched.buckets)
+    assert found.count() == few
+    assert sorted(r.total for r in found.collect()) == [6 * i for i in range(few)]
+
+    scanned = state_after(spark, root, 0, touched=touched.buckets)
+    scanned.collect()
+    nodes, read = [scanned._jdf.queryExecution().executedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().startswith("Scan"):
+            read += node.metrics().apply("numOutputRows").value()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            nodes.append(node.plan())
+        else:
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert 0 < read <= few * 4 * running.PAGE_ROWS  # four files, a page of each per bucket
+    assert read < 180_000
+
+
+@pytest.mark.parametrize("buckets", [[], [7], [0, 65535], list(range(0, 60_000, 7)), [1, 2, 3, 9_000]])
+def test_ranges_cover_all_buckets(spark, buckets):
+    every = spark.range(running.STATE_BUCKETS).select(F.col("id").cast("int").alias(running.BUCKET))
+    found = {r.bucket for r in every.where(running._covering(buckets)).collect()}
+    assert found >= set(buckets)
+    assert len(buckets) > running.BUCKET_RANGES or found == set(buckets)
+
+
 @pytest.mark.parametrize("snapshot_every", [2, 50])
 def test_running_totals_lost_before_the_state(spark, tmp_path, monkeypatch, snapshot_every):
     """A batch that wrote its rows but not its state runs again, and leaves nothing twice."""
