@@ -27,7 +27,7 @@ from salesflow.plans.tables import (
     table,
     table_stream,
 )
-from salesflow.schema import RUNNING_TOTAL, SALE, WINDOW_TOTAL, check_schema, totals_table
+from salesflow.schema import QUARANTINE, RUNNING_TOTAL, SALE, WINDOW_TOTAL, check_schema, totals_table
 from salesflow.session import configure, work_dir
 from salesflow.sources.replay import replay
 from salesflow.sources.topic import TOPIC_ARRIVAL, value_only
@@ -266,6 +266,26 @@ def _fourths(messages: DataFrame) -> list[Column]:
     ]
 
 
+def land_with_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing that is given a quarantine table halfway, before the first bad message: what both
+    tables hold after two runs from one checkpoint."""
+    target = _target(spark, "quarantine")
+    kept_apart = replace(target, quarantine=f"{target.path}-refused")
+    targets = iter([target, kept_apart])
+    messages = orders_with_bad_messages(table(spark, sf_dir, "orders"))
+    early = (F.pmod("arrival", F.lit(2)) == 0) & ~F.col("value").isin("not json", "")
+    _in_runs(
+        spark, messages, [early, ~early], work_dir(spark, "quarantine-in"),
+        lambda part: jobs.land_sales(part, next(targets)),
+    )
+    landed = read_table(spark, target.path, SALE).select("SalesId", "SalesAmount", F.lit("good").alias("reason"))
+    refused = read_table(spark, kept_apart.quarantine, QUARANTINE)
+    nothing = F.lit(None)
+    return landed.unionByName(
+        refused.select(nothing.cast("string").alias("SalesId"), nothing.cast("int").alias("SalesAmount"), "reason")
+    )
+
+
 def stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running totals in four runs, each going on from the state the one before left."""
     target = _target(spark, "resumed")
@@ -329,6 +349,7 @@ QUERIES = {
     "stream_running_total": stream_running_total,
     "stream_processing_time_totals": stream_processing_time_totals,
     "stream_event_time_totals": stream_event_time_totals,
+    "land_with_quarantine": land_with_quarantine,
     "stream_resumed": stream_resumed,
     "stream_event_time_totals_batches": stream_event_time_totals_batches,
     "stream_late_dropped": stream_late_dropped,

@@ -176,6 +176,13 @@ ORACLE = {
            true AS windows_once, true AS ids_once
     FROM ({_EVENTS}) GROUP BY ProductName""",
     "stream_event_time_totals": _windows("30 SECONDS", wait="10 SECONDS"),
+    "land_with_quarantine": f"""
+    SELECT CASE WHEN reason = 'good' THEN SalesId END AS SalesId,
+           CASE WHEN reason = 'good' THEN amount END AS SalesAmount, reason
+    FROM (SELECT *, CASE WHEN arrival % 97 = 0 THEN 'corrupt' WHEN arrival % 101 = 0 THEN 'empty'
+                         WHEN arrival % 103 = 0 THEN 'no record' ELSE 'good' END AS reason
+          FROM ({_orders()}))
+    WHERE reason <> 'no record'""",
     "stream_resumed": _running(_orders()),
     "stream_event_time_totals_batches": _windows("30 SECONDS", wait="10 SECONDS"),
     "stream_late_dropped": _windows("30 SECONDS", _HELD_BACK, wait="10 SECONDS"),
