@@ -24,7 +24,8 @@ COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BITS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 ESCAPE = 15
 READ_BLOCKS = 64
-UNITS_HELD = 200_000
+UNITS_HELD = 600_000
+SPACE = " \n\t\r"
 _FOOTER = struct.Struct("<qqqq8s")  # documents, blocks, offset of the document table, ids, magic
 
 
@@ -169,7 +170,9 @@ class Reader:
 
 class Encoder:
     """Ids by the tokenizers library. Texts are cut where a space or newline follows another character,
-    where a pre-token always begins, and equal parts are encoded once per worker."""
+    where a pre-token always begins, and equal parts are encoded once per worker. New parts are
+    encoded as one text and told apart by the bytes their ids stand for, unless they have no space in
+    front or nothing else: what such a part gives depends on its neighbours."""
 
     def __init__(self, raw: str):
         import re
@@ -181,11 +184,28 @@ class Encoder:
         self.parts = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
         self.odd = re.compile("[^\\S \\n\\t\\r]|[\x1c-\x1f]")  # other white space: such a text is encoded as one
         self.held: dict[str, bytes] = {}
+        tokens = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        self.width = np.asarray([len(t or "") for t in tokens], dtype=np.int64)  # a character is a byte in its tokens
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _hold(self, parts: list[str]) -> None:
+        joined = [p for p in parts if p[0] in SPACE and p[-1] not in SPACE]
+        alone = [p for p in parts if p[0] not in SPACE or p[-1] in SPACE]
+        if alone:
+            self.held.update(zip(alone, self._ids(alone), strict=True))
+        if joined:
+            data = self._ids(["".join(joined)])[0]
+            ends = np.cumsum(self.width[np.frombuffer(data, dtype="<u4")])
+            bounds = np.cumsum([len(p.encode()) for p in joined])
+            stops = np.searchsorted(ends, bounds)
+            if stops[-1] != len(ends) - 1 or (ends[stops] != bounds).any():
+                raise ValueError("token ids run over the end of a word")
+            stops = (4 * (stops + 1)).tolist()
+            self.held.update((p, data[a:z]) for p, a, z in zip(joined, [0, *stops], stops, strict=False))
+
     def __call__(self, text: str) -> np.ndarray:
         if self.odd.search(text):
             return np.frombuffer(self._ids([text])[0], dtype="<u4")
@@ -195,7 +215,7 @@ class Encoder:
             if len(self.held) > UNITS_HELD:
                 self.held.clear()
                 new = list(set(parts))
-            self.held.update(zip(new, self._ids(new), strict=True))
+            self._hold(new)
         return np.frombuffer(b"".join(map(self.held.__getitem__, parts)), dtype="<u4")
 
 
