@@ -50,6 +50,16 @@ def test_components_equal_brute_force(spark, seed, settings):
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize("loose", [2, 3])
+def test_components_of_cells_with_several_blocks(spark, loose):
+    # A chain of texts, each linked to the next only: one large cell, all but a few outside its main group.
+    words = [f"c{i}" for i in range(1_300)]
+    rows = [(i, " ".join(words[4 * i : 4 * i + 40])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = jaccard.similarity_components(docs, cell_shingles=6_000, pivots=1, loose_members=loose).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows)
+
+
 def test_components_of_odd_rows(spark):
     text = "a b c d e f g"
     rows = [(5, text), (5, text), (None, text), (None, "x y"), (2, text), (9, None)]
