@@ -11,7 +11,8 @@ A line fails if it is
 - ``punctuation``: no word of it ends a sentence or clause (``.!?;:,``, a closing quote or bracket, or
   a character beyond ASCII);
 - ``stutter``: at least half of its words equal the word before;
-- ``boilerplate``: one of the phrases below.
+- ``boilerplate``: it has one of the phrases below between word ends, and at most ``short_words`` words or
+  at least ``phrase_share`` of its words in phrases.
 
 Lines without a word are neither judged nor counted.
 """
@@ -50,6 +51,8 @@ class Rules:
     symbol_share: float = 0.1
     min_symbols: int = 3
     min_separators: int = 3
+    short_words: int = 20
+    phrase_share: float = 0.2
     max_loss: float = 0.5
 
 
@@ -62,6 +65,13 @@ def _mask(characters: bytes) -> np.ndarray:
 _SYMBOL, _END = _mask(SYMBOLS), _mask(SENTENCE_ENDS)
 _END[128:] = True
 _PHRASES = re.compile(b"|".join(re.escape(p.encode()) for p in BOILERPLATE), re.IGNORECASE)
+# The same between word ends: no ASCII letter or digit and no letter of two bytes, or of three below U+2000, beside it.
+_WHOLE_PHRASES = re.compile(
+    rb"(?<![0-9A-Za-z_])(?<![\xc3-\xdf][\x80-\xbf])(?<![\xe0\xe1][\x80-\xbf]{2})(?:"
+    + b"|".join(re.escape(p.encode()) + (rb"(?![0-9A-Za-z_\xc3-\xe1])" if p[-1].isalnum() else b"") for p in BOILERPLATE)
+    + b")",
+    re.IGNORECASE,
+)
 _FIRST_BYTE = np.ones(256, dtype=bool)
 _FIRST_BYTE[0x80:0xC0] = False
 
@@ -125,10 +135,12 @@ def judge(data: np.ndarray, offsets: np.ndarray, rules: Rules) -> tuple[dict, np
     bad |= (line_words >= 3) & (3 * marks >= line_words)
     bad |= n_closed == 0
     bad |= 2 * n_echoes >= np.maximum(line_words, 2)
-    for match in _PHRASES.finditer(data.tobytes()):
-        at = np.searchsorted(begin, match.start(), side="right") - 1
-        if match.end() <= end[at]:
-            bad[at] = True
+    raw, hit = data.tobytes(), set()
+    for match in _PHRASES.finditer(raw):  # a hit over a line's end may hide one behind it
+        hit.update((np.searchsorted(begin, [match.start(), match.end() - 1], side="right") - 1).tolist())
+    for at in hit:
+        held = sum(len(m[0].split()) for m in _WHOLE_PHRASES.finditer(raw[begin[at] : end[at]]))
+        bad[at] |= held > 0 and (line_words[at] <= rules.short_words or held >= rules.phrase_share * line_words[at])
     bad &= real
 
     lost = np.bincount(owner[bad], weights=chars[bad], minlength=rows).astype(np.int64)

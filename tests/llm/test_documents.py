@@ -195,6 +195,22 @@ def test_line_rules(line, fails):
     assert bad.tolist() == [fails]
 
 
+@pytest.mark.parametrize(
+    "line, fails",
+    [
+        ("The catalog in question, which is a blog in French.", False), ("Sign upon the dotted line, please.", False),
+        ("A line of many words, of which hardly any is furniture. " * 5 + "You can read more in the book.", False),
+        ("Please log in, then go on.", True), ("Read more… or share this.", True), ("élog in, a word.", False),
+        ("Copyright (c)2020 by nobody at all.", True), ("Click here, sign up, log in, read more. " * 4, True),
+    ],
+)
+def test_phrases_are_whole_and_a_large_part(line, fails):
+    rows = [b"x", line.encode(), b"x"]  # rows lie side by side: their ends are word ends
+    data, offsets = np.frombuffer(b"".join(rows), dtype=np.uint8), np.cumsum([0, *map(len, rows)])
+    _, bad, _ = quality.judge(data, offsets, quality.Rules())
+    assert bad.tolist()[1] == fails
+
+
 def test_lost_text_rejects_and_cleaning_removes(spark):
     good = "These are quite ordinary words in a sentence, and more of them follow."
     rows = [(1, f"{good}\nhome | news | sport | about"), (2, f"{good}\n" + "menu | " * 40)]
