@@ -7,6 +7,8 @@ estimate is near the threshold get an exact distinct count. Built-in functions o
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,14 +49,21 @@ def spread_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", site:
 
 
 def remove_spread_lines(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES, max_share: float = MAX_SHARE
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    site: str = "source",
+    min_sites: int = MIN_SITES,
+    max_share: float = MAX_SHARE,
+    copies: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The documents with ``text`` cleaned, ``n_lines`` (lines with a word), ``n_spread`` (those on
     at least ``min_sites`` sites) and ``n_removed``.
 
-    Spread lines are removed wherever they are, unless they hold more than ``max_share`` of the
-    document's lines: then the document is a copy, not a page with furniture, and stays whole for
-    a near-duplicate operator to judge. A null text stays null and has no lines, an empty one stays
+    Spread lines are removed wherever they are, unless they are more than ``max_share`` of the
+    document's lines: then the document may be a copy and stays whole for a near-duplicate operator to
+    judge. With ``copies`` it stays whole only if it is one: of (row, text) of all such documents,
+    written once, that function gives the ``row`` of each that has a copy among them. A null text stays null and has no lines, an empty one stays
     empty. Repeated rows each count their lines and give a row. A document with a null id is
     cleaned of no line. All other columns are kept; ``n_lines``, ``n_spread`` and ``n_removed`` of
     the input are replaced.
@@ -70,7 +79,13 @@ def remove_spread_lines(
     is_bad = lambda x: F.coalesce(F.array_contains(F.col("__bad"), line_key(x)), F.lit(False))
     hit = F.when(F.col("__bad").isNull() | F.col(text).isNull(), 0).otherwise(F.size(F.filter(split, is_bad)))
     rows = rows.withColumns({"n_lines": F.greatest(real, F.lit(0)).cast("long"), "n_spread": hit.cast("long")})
-    cut = (F.col("n_spread") > 0) & (F.col("n_spread") <= max_share * F.col("n_lines"))
+    mostly = F.col("n_spread") > max_share * F.col("n_lines")
+    cut = (F.col("n_spread") > 0) & ~mostly
+    if copies is not None:
+        doubted = written(rows.where(mostly).select(F.xxhash64(text).alias("row"), F.col(text).alias("text")), "spread-doubted")
+        whole = written(copies(doubted).select(F.col("row").alias("__copy")).distinct(), "spread-copies")
+        rows = rows.join(whole, F.when(mostly, F.xxhash64(text)) == F.col("__copy"), "left")
+        cut = (F.col("n_spread") > 0) & F.col("__copy").isNull() | cut
     cleaned = F.when(cut, F.array_join(F.filter(split, lambda x: ~is_bad(x)), "\n")).otherwise(F.col(text))
     rows = rows.withColumn("n_removed", F.when(cut, F.col("n_spread")).otherwise(F.lit(0)).cast("long"))
     return rows.withColumn(text, cleaned).select(*own, "n_lines", "n_spread", "n_removed")

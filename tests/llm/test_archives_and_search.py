@@ -119,6 +119,15 @@ def test_pipeline(spark, testdata):
         assert stage(spark, none, folder).count() == 0
 
 
+def test_mostly_spread_documents_stay_whole_only_as_copies(spark):
+    nav, copy = "Home and away, the front page.\nAll about us, in a few words.", "A shared passage, line one.\nA shared passage, line two."
+    own = [" ".join(f"own{i}w{j}" for j in range(30)) + "." for i in range(7)]
+    rows = [(i, f"{nav}\n{own[i]}", "en", f"s{i}", 0) for i in range(7)] + [(20 + i, copy, "en", f"s{i}", 0) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_spread_lines(spark, docs, "").collect()}
+    assert got == {i: (t, len(t)) for i, t in [*enumerate(own), *((20 + i, copy) for i in range(6))]}
+
+
 def test_pipeline_with_odd_rows(spark, testdata):
     folder = str(testdata / "sf0.001")
     text = "A sentence that is long enough to be a set of shingles."
