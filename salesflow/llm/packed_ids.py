@@ -172,17 +172,20 @@ class Encoder:
     """Ids by the tokenizers library. Texts are cut where a space or newline follows another character,
     where a pre-token always begins, and equal parts are encoded once per worker. New parts are
     encoded as one text and told apart by the bytes their ids stand for, unless they have no space in
-    front or nothing else: what such a part gives depends on its neighbours."""
+    front or nothing else: what such a part gives depends on its neighbours. With ``added`` the file's
+    added tokens are matched, as the library does by itself, and a text with one is encoded whole."""
 
-    def __init__(self, raw: str):
+    def __init__(self, raw: str, added: bool = False):
         import re
 
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(raw)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
         self.parts = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
         self.odd = re.compile("[^\\S \\n\\t\\r]|[\x1c-\x1f]")  # other white space: such a text is encoded as one
+        known = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.added = re.compile("|".join(map(re.escape, known))) if known else None
         self.held: dict[str, bytes] = {}
         tokens = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
         self.width = np.asarray([len(t or "") for t in tokens], dtype=np.int64)  # a character is a byte in its tokens
@@ -207,7 +210,7 @@ class Encoder:
             self.held.update((p, data[a:z]) for p, a, z in zip(joined, [0, *stops], stops, strict=False))
 
     def __call__(self, text: str) -> np.ndarray:
-        if self.odd.search(text):
+        if self.odd.search(text) or self.added and self.added.search(text):
             return np.frombuffer(self._ids([text])[0], dtype="<u4")
         parts = self.parts.findall(text)
         new = list(set(parts).difference(self.held))
@@ -222,7 +225,7 @@ class Encoder:
 _encoders: dict[int, Encoder] = {}
 
 
-def _write_files(folder: str, tokenizer, end_id: int) -> Callable:
+def _write_files(folder: str, tokenizer, end_id: int, added: bool) -> Callable:
     def run(batches: Iterator) -> Iterator:
         import os
 
@@ -230,8 +233,9 @@ def _write_files(folder: str, tokenizer, end_id: int) -> Callable:
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = _encoders.setdefault(hash(tokenizer.value), None) or Encoder(tokenizer.value)
-        _encoders[hash(tokenizer.value)] = encode
+        known = hash((tokenizer.value, added))
+        encode = _encoders.setdefault(known, None) or Encoder(tokenizer.value, added)
+        _encoders[known] = encode
         context, writer = TaskContext.get(), None
         files, root = store(folder)
         end = np.asarray([end_id], dtype=np.uint32)
@@ -252,13 +256,16 @@ def _write_files(folder: str, tokenizer, end_id: int) -> Callable:
     return run
 
 
-def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id: str = "doc_id", text: str = "text") -> DataFrame:
+def write_ids(
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int, id: str = "doc_id", text: str = "text", added: bool = False
+) -> DataFrame:
     """Write the ids of all documents below ``folder`` in ascending order of id (null first); returns
     (file, documents, ids, blocks), already computed. File names are in order too.
 
     Each document's ids end in ``end_id``; null and empty texts have only that. Rows of equal id are
     ordered by the hash of their text. Ids of documents are integers. Other columns are not read.
-    ``tokenizer`` is the content of a tokenizer file, broadcast to the workers. Range partitions are
+    ``tokenizer`` is the content of a tokenizer file, broadcast to the workers; its added tokens are
+    text like other text, or matched if ``added``. Range partitions are
     cut by id and text hash, so a repeated id is not one task.
     """
     spark = docs.sparkSession
@@ -267,7 +274,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id: str
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    made = arrow_map(rows, _write_files(folder, shared, end_id), "file string, documents long, ids long, blocks long")
+    made = arrow_map(rows, _write_files(folder, shared, end_id, added), "file string, documents long, ids long, blocks long")
     return written(made, "packed-manifest")
 
 

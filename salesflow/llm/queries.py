@@ -99,7 +99,7 @@ def op6_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "packed-ids")
     with open(public_tokenizers.path(TOKENIZER)) as file:
         tokenizer = file.read()
-    manifest = packed_ids.write_ids(table(spark, sf_dir, "documents"), folder, tokenizer, END_ID)
+    manifest = packed_ids.write_ids(table(spark, sf_dir, "documents"), folder, tokenizer, END_ID, added=True)
     read = packed_ids.read_ids(spark, folder, manifest)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from salesflow.llm import bpe, packed_ids, token_counts
-from salesflow.llm.queries import END_ID, RANKS, TOKENIZER
+from salesflow.llm.queries import END_ID, QUERIES, RANKS, TOKENIZER
 from salesflow.session import work_dir
 
 RAW = bpe.read_ranks(tokenizers_data.path(RANKS))
@@ -89,6 +89,22 @@ def test_packed_files_against_the_library(spark):
     assert packed_ids.read_ids(spark, folder, none).count() == 0
 
 
+def test_added_tokens_are_matched_as_the_library_does(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(str(tokenizers_data.path(TOKENIZER)))
+    texts = ["a <|endoftext|> b", "plain text", "x<|endoftext|>", "<|endoftext|><|endoftext|> ", "<|endof text|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in QUERIES["op6_packed_ids"](spark, str(tmp_path)).collect()}
+    want, start = {}, 0
+    for i, text in enumerate(texts):
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, END_ID], "<u4")
+        want[i] = (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert got == want and 50256 in library.encode(texts[0], add_special_tokens=False).ids
+
+
 def test_documents_longer_than_blocks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(packed_ids, "BLOCK", 50)
     from pyarrow import fs
