@@ -88,6 +88,18 @@ def test_recall_against_brute_force(spark, testdata):
     assert hits / (20 * len(want)) >= 0.9
 
 
+def test_recall_with_mixed_norms_and_one_long_vector(spark, testdata):
+    rng = np.random.default_rng(6)
+    rows = [(r.vec_id, np.array(r.embedding, dtype=np.float64)) for r in spark.read.parquet(str(testdata / "sf0.1/embeddings.parquet")).collect()]
+    rows = [(i, x * (100 if place == 7 else rng.uniform(0.7, 1.4))) for place, (i, x) in enumerate(rows)]
+    want = exact(rows)
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in rows], "vec_id long, embedding array<double>")
+    got = {}
+    for row in neighbours.nearest(table, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(row.query_id, set()).add(row.vec_id)
+    assert sum(len(got[q] & set(want[q])) for q in want) / (20 * len(want)) >= 0.9
+
+
 def test_equal_and_odd_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [1.0, 2.0, 0.5], 1) for i in range(60)] + [(100 + i, rng.standard_normal(3).tolist(), 1) for i in range(30)]
