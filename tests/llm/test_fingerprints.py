@@ -1,0 +1,128 @@
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from salesflow.llm import order_minhash as omh
+
+_signatures: dict[str, list[int]] = {}
+LOW = (1 << omh._PLACE_BITS) - 1
+
+
+@pytest.fixture(scope="module")
+def hashes(spark):
+    """The engine's 64-bit hash of strings and of pairs of (long, long) or (long, int)."""
+
+    def of(rows, schema):
+        names = [c.split()[0] for c in schema.split(", ")]
+        df = spark.createDataFrame(rows, schema).withColumn("h", F.xxhash64(*names))
+        return {tuple(r[:-1]): r.h for r in df.collect()}
+
+    return of
+
+
+def plain_signature(text, hashes):
+    """Every point's next two items among all items, found by sorting them all for each point."""
+    if text not in _signatures:
+        _signatures[text] = fresh_signature(text, hashes)
+    return _signatures[text]
+
+
+def fresh_signature(text, hashes):
+    units = re.findall(omh.UNIT, text)
+    if not units:
+        return []
+    u = hashes([(x,) for x in set(units)], "a string")
+    codes = [u[x,] for x in units]
+    runs = list(zip(codes, codes[1:], strict=False)) or [(codes[0], None)]
+    k = hashes(list(set(runs)), "a long, b long")
+    kmers = [k[r] for r in runs]
+    seen, raw = {}, []
+    for place, h in enumerate(kmers):
+        number = seen[h] = seen.get(h, -1) + 1
+        raw.append((h, number, place))
+    later = hashes(list({(h, n) for h, n, _ in raw if n}) or [(0, 1)], "a long, b int")
+    items = sorted(((h if not n else later[h, n]) & ~LOW | place, place) for h, n, place in raw)
+    pairs = []
+    for point in range(-omh.POINTS // 2, omh.POINTS // 2):
+        at = next((j for j, (x, _) in enumerate(items) if x >> omh._POINT_SHIFT >= point), 0)
+        pairs.append(sorted((items[at][1], items[(at + 1) % len(items)][1])))
+    two = [(kmers[a], kmers[b]) for a, b in pairs]
+    found = hashes(list(set(two)), "a long, b long")
+    return [found[x] for x in two]
+
+
+TEXTS = [
+    "one", "one two", "one two three", "a b a b a b a b a b", "x " * 500, " \n\t", "", None, "漢字かな交じり文と english", "y" * 300,
+    " ".join(f"w{i % 97} v{i % 13}" for i in range(900)), "\U0001f600 smile \U0001f600 smile", "tail space ",
+]
+
+
+def test_signatures_equal_brute_force(spark, hashes):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_chars, list(r.signature)) for r in omh.fingerprints(docs).collect()}
+    assert got == {i: (len(t or ""), plain_signature(t or "", hashes)) for i, t in enumerate(TEXTS)}
+
+
+def plain_rows(rows):
+    """id, length and edited text of each (id, text), the next being the next smaller id's."""
+    order = sorted(rows, key=lambda r: -r[0])
+    out = []
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        text, after = text or "", after or ""
+        half = len(text) // 2
+        out.append((i, len(text), text[: len(text) - half] + after[:half], after))
+    return out
+
+
+@pytest.mark.parametrize("cuts", [2, 256])
+def test_edits_and_neighbours(spark, hashes, cuts, monkeypatch):
+    monkeypatch.setattr(omh, "CUTS", cuts)
+    rows = [(3 * i - 7, t) for i, t in enumerate(TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"h": F.lit("clash"), "b": F.lit(1), "n_chars": F.lit(2)}).repartition(4)
+    got = {r.doc_id: r for r in omh.edits_and_neighbours(docs).collect()}
+    assert len(got) == len(rows)
+    like = lambda a, b: 1.0 if not a and not b else sum(x == y for x, y in zip(a, b, strict=False)) / omh.POINTS
+    texts = dict(rows)
+    for i, n, edited, after in plain_rows(rows):
+        r, own = got[i], plain_signature(texts[i] or "", hashes)
+        assert (r.n_chars, r.edited_sha256) == (n, hashlib.sha256(edited.encode()).hexdigest())
+        assert r.near_edited == like(own, plain_signature(edited, hashes)) and r.near_next == like(own, plain_signature(after, hashes))
+        assert r.fingerprint == "".join(f"{x & 0xFFFFFFFF:08x}" for x in own)
+
+
+def test_edits_of_odd_tables(spark):
+    rows = [(None, "p q"), (5, "a b c d"), (5, "a b c d"), (5, "e f"), (None, "p q"), (2, None)]
+    found = [tuple(r) for r in omh.edits_and_neighbours(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(str(r[0]) for r in found) == ["2", "5", "5", "5", "None", "None"]
+    assert len({r[3] for r in found if r[1] == 7}) == 1
+    # rows of a null id come last, so one of them is followed by the first row and one by its copy
+    assert sorted(r[6] for r in found if r[0] is None) == [0.0, 1.0]
+    schema = "doc_id long, text string"
+    assert omh.edits_and_neighbours(spark.createDataFrame([], schema)).count() == 0
+    single = omh.edits_and_neighbours(spark.createDataFrame([(9, "abcd")], schema)).first()
+    assert single.near_next == 1.0 and single.edited_sha256 == hashlib.sha256(b"abab").hexdigest()
+
+
+def test_a_frequent_id_is_split(spark):
+    rows = [(i if i % 3 else 300, f"text number {i} of many") for i in range(3000)]
+    ordered = omh._ordered(spark.createDataFrame(rows, "id long, text string").withColumn("h", F.xxhash64("text")))
+    sizes = [r["count"] for r in ordered.groupBy("b").count().collect()]
+    assert max(sizes) < 150
+    steps = ordered.orderBy(F.col("b").desc(), F.col("id").desc(), F.col("h").desc()).select("id", "h").collect()
+    assert [tuple(r) for r in steps] == sorted(((r.id, r.h) for r in steps), reverse=True)
+
+
+def test_moved_passages_and_very_long_texts(spark):
+    words = [f"w{i}" for i in range(60_000)]
+    texts = {0: words, 1: words[30_000:] + words[:30_000], 2: words[:29_000] + words[31_000:], 3: [f"z{i}" for i in range(900)]}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = {r.doc_id: r.signature for r in omh.fingerprints(docs).collect()}
+    share = lambda i: sum(a == b for a, b in zip(found[0], found[i], strict=True)) / omh.POINTS
+    assert share(2) > 0.8 and 0.25 < share(1) < 0.75 and share(3) == 0
+
+
+def test_plan_is_native(spark):
+    plan = omh.edits_and_neighbours(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "MapInPandas" not in plan
