@@ -22,6 +22,7 @@ UNIT = "[^\\x20\\x09-\\x0D⺀-\U0010ffff]{1,64}|[^\\x20\\x09-\\x0D]"
 K = 2
 POINTS = 64
 CUTS = 256
+SAMPLED = 50
 SHARDS = 16
 _PLACE_BITS = 31  # an item is 33 bits of hash over 31 bits of position
 _HIGH = -(1 << _PLACE_BITS)
@@ -142,23 +143,42 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.size(a) + F.size(b) == 0, F.lit(1.0)).otherwise(equal / F.lit(float(POINTS)))
 
 
-def _ordered(rows: DataFrame) -> DataFrame:
-    """``b`` falls as the order (id descending, null last, then hash descending) goes on. Cuts are quantiles
-    of the id. An id that is a cut, as every very frequent one is, has SHARDS numbers of its own by hash."""
-    shares = [i / CUTS for i in range(CUTS + 1)]
-    cuts = rows.agg(F.percentile_approx("id", shares, 100 * CUTS)).first()[0] or []
-    cuts = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<bigint>")
+def _cuts(rows: DataFrame, buckets: int) -> list[int]:
+    """About ``buckets`` quantiles of the id, from a sample that has SAMPLED ids for each: they balance the work only."""
+    count = rows.count()
+    if not count:
+        return []
+    ids = rows.select("id").sample(min(1.0, buckets * SAMPLED / count), 1)
+    shares = [i / buckets for i in range(buckets + 1)]
+    return sorted(set(ids.agg(F.percentile_approx("id", shares, 10 * buckets)).first()[0] or []))
+
+
+def _below(cuts: list[int], id: Column) -> Column:
+    """How many of the sorted cuts are smaller, found among every so many of them and then between two."""
+    step = max(1, round(len(cuts) ** 0.5))
+    numbers = lambda some: F.array(*[F.lit(c) for c in some]).cast("array<bigint>")
+    smaller = lambda some: F.size(F.filter(some, lambda c: c < id))
+    before = F.greatest(smaller(numbers(cuts[::step])) - 1, F.lit(0)) * step
+    return before + smaller(F.slice(numbers(cuts), before + 1, F.lit(step)))
+
+
+def _ordered(rows: DataFrame, buckets: int) -> DataFrame:
+    """``b`` falls as the order (id descending, null last, then hash descending) goes on: the number of cuts
+    below the id. An id that is a cut, as every very frequent one is, has SHARDS numbers of its own by hash."""
+    cuts = _cuts(rows, buckets)
+    cut = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
+    rows = rows.withColumn("below", _below(cuts, F.col("id")))
     shard = F.shiftright("h", 60).cast("int") + SHARDS // 2
-    below = F.size(F.filter(cuts, lambda c: c < F.col("id"))) * (SHARDS + 1)
-    place = F.when(F.col("id").isNull(), shard - SHARDS).when(F.array_contains(cuts, F.col("id")), below + 1 + shard).otherwise(below)
-    return rows.withColumn("b", place)
+    among = F.col("below") * (SHARDS + 1)
+    is_cut = F.get(cut, F.col("below")) == F.col("id")
+    return rows.withColumn("b", F.when(F.col("id").isNull(), shard - SHARDS).when(is_cut, among + 1 + shard).otherwise(among)).drop("below")
 
 
 def _with_following(rows: DataFrame) -> DataFrame:
     """The rows by ``b`` in which each bucket ends with the row that follows its last one (``ghost``): the first
-    of the next bucket, or of all for the last bucket. One row a bucket comes to the driver, at most
-    (CUTS + 2) * (SHARDS + 1)."""
-    rows = _ordered(rows)
+    of the next bucket, or of all for the last bucket. One row a bucket comes to the driver."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _ordered(rows, max(CUTS, 4 * parts))
     firsts = rows.groupBy("b").agg(F.max(F.struct(F.col("id").isNotNull().alias("known"), "id", "h")).alias("first")).collect()
     firsts = sorted(((r.b, r.first.id, r.first.h) for r in firsts), key=lambda r: -r[0])
     into = [(b, i, h, firsts[k - 1][0]) for k, (b, i, h) in enumerate(firsts)]
@@ -168,7 +188,8 @@ def _with_following(rows: DataFrame) -> DataFrame:
     own = F.struct(F.col("b").alias("at"), F.lit(False).alias("ghost"))
     again = F.struct(F.col("into").alias("at"), F.lit(True).alias("ghost"))
     rows = rows.withColumn("in", F.explode(F.when(F.col("into").isNull(), F.array(own)).otherwise(F.array(own, again))))
-    return rows.select("id", "text", "h", F.col("in.at").alias("b"), F.col("in.ghost").alias("ghost"))
+    # The number of partitions is given: signatures take long for their bytes, so merging small ones would cost more than it saves.
+    return rows.select("id", "text", "h", F.col("in.at").alias("b"), F.col("in.ghost").alias("ghost")).repartition(parts, "b")
 
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

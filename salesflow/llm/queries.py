@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import bpe, jaccard, line_spread, mixing, neighbours, order_minhash, packed_ids, quality, token_counts, toxicity, warc
+from salesflow.llm import bpe, jaccard, line_spread, mixing, neighbours, order_minhash, packed_ids, quality, spelling, token_counts, toxicity, warc, whitening
 from salesflow.llm.common import arrow_map, table, written
 from salesflow.session import work_dir
 
@@ -138,10 +138,20 @@ def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edits_and_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.spelling_variants(table(spark, sf_dir, "documents"), noise=spelling.NOISE)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_byte_bpe, op2_edited_token_counts, op3_source_mix, op4_jaccard_components, op5_warc_round_trip, op6_packed_ids,
-        op7_toxicity, op8_line_spread, op9_nearest, op10_quality, op11_order_minhash,
+        op7_toxicity, op8_line_spread, op9_nearest, op10_quality, op11_order_minhash, op12_spelling_variants,
+        op13_whitened,
     )
 }

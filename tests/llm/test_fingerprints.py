@@ -76,7 +76,7 @@ def plain_rows(rows):
     return out
 
 
-@pytest.mark.parametrize("cuts", [2, 256])
+@pytest.mark.parametrize("cuts", [1, 256])
 def test_edits_and_neighbours(spark, hashes, cuts, monkeypatch):
     monkeypatch.setattr(omh, "CUTS", cuts)
     rows = [(3 * i - 7, t) for i, t in enumerate(TEXTS)]
@@ -107,7 +107,11 @@ def test_edits_of_odd_tables(spark):
 
 def test_a_frequent_id_is_split(spark):
     rows = [(i if i % 3 else 300, f"text number {i} of many") for i in range(3000)]
-    ordered = omh._ordered(spark.createDataFrame(rows, "id long, text string").withColumn("h", F.xxhash64("text")))
+    ordered = omh._ordered(spark.createDataFrame(rows, "id long, text string").withColumn("h", F.xxhash64("text")), 256)
+    texts = spark.createDataFrame(rows, "id long, text string")
+    assert {r.id: r.n for r in texts.select("id", omh._below([3, 9, 10, 300, 2999], F.col("id")).alias("n")).collect()} == {
+        i: sum(c < i for c in (3, 9, 10, 300, 2999)) for i, _ in rows
+    }
     sizes = [r["count"] for r in ordered.groupBy("b").count().collect()]
     assert max(sizes) < 150
     steps = ordered.orderBy(F.col("b").desc(), F.col("id").desc(), F.col("h").desc()).select("id", "h").collect()
