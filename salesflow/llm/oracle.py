@@ -43,13 +43,23 @@ ORACLE = {
                 count(*) FILTER (bad) AS n_spread,
                 string_agg(line, chr(10) ORDER BY i) FILTER (NOT bad) AS rest
             FROM marked GROUP BY doc_id
+        ), keys AS (
+            SELECT DISTINCT doc_id, key FROM marked JOIN sums USING (doc_id) WHERE key <> '' AND n_spread > 0.5 * n_lines
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM keys GROUP BY doc_id
+        ), pairs AS (
+            SELECT a.doc_id, b.doc_id AS other, count(*) AS n_both
+            FROM keys a JOIN keys b ON a.key = b.key AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+        ), copies AS (
+            SELECT DISTINCT p.doc_id, true AS is_copy FROM pairs p JOIN sizes a ON p.doc_id = a.doc_id JOIN sizes b ON p.other = b.doc_id
+            WHERE 100 * n_both >= 80 * (a.n + b.n - n_both)
         )
         SELECT
             d.doc_id,
             coalesce(n_lines, 0) AS n_lines,
             coalesce(n_spread, 0) AS n_spread,
-            CASE WHEN n_spread <= 0.5 * n_lines THEN n_spread ELSE 0 END AS n_removed,
-            md5(CASE WHEN n_spread > 0 AND n_spread <= 0.5 * n_lines THEN coalesce(rest, '') ELSE text END) AS text_md5
-        FROM documents d LEFT JOIN sums USING (doc_id)
+            CASE WHEN is_copy THEN 0 ELSE coalesce(n_spread, 0) END AS n_removed,
+            md5(CASE WHEN n_spread > 0 AND is_copy IS NULL THEN coalesce(rest, '') ELSE text END) AS text_md5
+        FROM documents d LEFT JOIN sums USING (doc_id) LEFT JOIN copies ON d.doc_id = copies.doc_id
     """,
 }
