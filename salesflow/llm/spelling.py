@@ -29,7 +29,7 @@ RATIO = 2
 NOISE = 97
 BITS_PER_WORD = 16
 LANES = 8  # a block is LANES words of 32 bits, a key is one bit in each
-CHUNK_BLOCKS = 1 << 13
+CHUNK_BLOCKS = 1 << 9
 BROADCAST_BYTES = 32 << 20
 HELD_WORDS = 200_000
 PROBES = 1 << 20

@@ -72,7 +72,7 @@ def test_blocks_of_rows_and_columns(spark, monkeypatch):
 
 
 def test_sums_that_need_more_than_a_long(spark):
-    rows = [(i, [1.2e5 * i, -3.0 * (i % 3), float(i)]) for i in range(20)]  # sums of squares near 2**62
+    rows = [(i, [1.2e5 * i, 9e4 * ((7 * i) % 20), 1.1e5 * ((3 * i) % 20)]) for i in range(20)]  # sums of squares near 2**62
     compare(whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect(), rows)
     huge = spark.createDataFrame([(1, [1e300, 0.0]), (2, [-1e300, 1.0]), (3, [0.0, 2.0])], "vec_id long, embedding array<double>")
     found = whitening.whiten(huge).collect()
