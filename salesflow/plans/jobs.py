@@ -26,18 +26,20 @@ from salesflow.operators.windows import (
 from salesflow.schema import QUARANTINE, SALE, WINDOW_TOTAL, check_schema, totals_table
 from salesflow.sources.topic import TOPIC_ARRIVAL
 from salesflow.streaming.arrival import WINDOW_MILLIS, stream_arrival_totals
-from salesflow.streaming.running import running_totals_step, stream_running_totals
-from salesflow.streaming.sinks import Target, append_batch, append_each_batch, append_stream
+from salesflow.streaming.running import stream_running_totals
+from salesflow.streaming.sinks import Target, append_batch, append_each_batch, append_stream, read_appended
 
 
 class Job(NamedTuple):
-    """The query that fills the table, and the one that keeps refused messages if it is separate."""
+    """The query that fills the table, and, if they are separate, the one that keeps refused messages and the
+    one that decodes for both."""
 
     main: StreamingQuery
     quarantine: StreamingQuery | None = None
+    decoder: StreamingQuery | None = None
 
     def await_termination(self) -> None:
-        """Wait for both; if one fails, stop the other and raise."""
+        """Wait for all; if one fails, stop the others and raise."""
         running = [query for query in self if query is not None]
         try:
             while running:
@@ -69,19 +71,33 @@ def _both_tables(
     return Job(append_each_batch(decoded, target, step))
 
 
-def _sales_beside_quarantine(
-    messages: DataFrame, target: Target, unknown_fields: str
-) -> tuple[DataFrame, StreamingQuery | None]:
-    """The sales, and a second query over the messages for the refused ones.
+def _from_one_decoding(
+    messages: DataFrame, target: Target, unknown_fields: str, start: Callable[[DataFrame], StreamingQuery]
+) -> Job:
+    """``start`` a query over the sales, for jobs whose state Spark keeps: what such a query refuses ahead of its
+    state cannot be written from within it.
 
-    For jobs whose state Spark keeps: what such a query refuses before its state cannot be written
-    from within it.
+    With a quarantine the messages are decoded once, into a table beside the checkpoint, from which the
+    sales and the quarantine are both streamed; it grows with the topic and holds what a restart needs, so
+    clear it only together with the checkpoint. With ``available_now`` the decoding ends before the others start.
     """
     decoded = decode_sales(messages, unknown_fields=unknown_fields)
     if target.quarantine is None:
-        return strict_sales(decoded), None
-    refused = append_stream(quarantined(decoded), target.for_quarantine(), QUARANTINE)
-    return good_sales(decoded), refused
+        return Job(start(strict_sales(decoded)))
+    to = target.for_decoded()
+    decoder = append_stream(decoded, to, decoded.schema)
+    if target.available_now:
+        decoder.awaitTermination()
+    try:
+        refused = append_stream(quarantined(read_appended(decoded, to)), target.for_quarantine(), QUARANTINE)
+        try:
+            return Job(start(good_sales(read_appended(decoded, to))), refused, decoder)
+        except Exception:
+            refused.stop()
+            raise
+    except Exception:
+        decoder.stop()
+        raise
 
 
 def land_sales(messages: DataFrame, target: Target, unknown_fields: str = "ignore") -> Job:
@@ -104,11 +120,9 @@ def running_totals(
     **options,
 ) -> Job:
     """Append the sales that move their product's clock forward, with the running total."""
-    decoded = decode_sales(messages, unknown_fields=unknown_fields)
-    if target.quarantine is None:
-        return Job(stream_running_totals(strict_sales(decoded), target, arrival, **options))
-    step = running_totals_step(target, arrival, **{**options, "cache": False})
-    return _both_tables(decoded, target, step)
+    return _from_one_decoding(
+        messages, target, unknown_fields, lambda sales: stream_running_totals(sales, target, arrival, **options)
+    )
 
 
 def processing_time_totals(
@@ -124,10 +138,12 @@ def processing_time_totals(
     """
     if target.available_now:
         raise ValueError("arrival windows close by the clock: run the job with `every`")
-    sales, refused = _sales_beside_quarantine(messages, target, unknown_fields)
-    totals = stream_arrival_totals(sales, size_millis=size_millis, **options)
     table = totals_table(WINDOW_TOTAL, options.get("overflow", "error"))
-    return Job(append_stream(totals, target, table), refused)
+
+    def start(sales: DataFrame) -> StreamingQuery:
+        return append_stream(stream_arrival_totals(sales, size_millis=size_millis, **options), target, table)
+
+    return _from_one_decoding(messages, target, unknown_fields, start)
 
 
 def event_time_totals(
@@ -143,8 +159,10 @@ def event_time_totals(
 
     ``lateness`` keeps windows open longer: one later row with the late sales in it.
     """
-    sales, refused = _sales_beside_quarantine(messages, target, unknown_fields)
-    timed = with_event_time(sales, "EventProcessingTime", longer_delay(delay, lateness))
-    totals = tumbling_totals(timed, size=size, **options)
     table = totals_table(WINDOW_TOTAL, options.get("overflow", "error"))
-    return Job(append_stream(totals, target, table), refused)
+
+    def start(sales: DataFrame) -> StreamingQuery:
+        timed = with_event_time(sales, "EventProcessingTime", longer_delay(delay, lateness))
+        return append_stream(tumbling_totals(timed, size=size, **options), target, table)
+
+    return _from_one_decoding(messages, target, unknown_fields, start)

@@ -1,176 +1,211 @@
-"""Running totals on a stream: the batch operator per micro-batch, over a table of key states.
-
-A stateful processor would fold all rows of a key in one Python task. Here every micro-batch runs
-the same window plan as batch data, hot keys cut into ranges, with the state joined in as what each
-key inherits.
+"""Running totals on a stream: each product's last time and total are in Spark's state store.
+
+A micro-batch is cut into stretches of the arrival order, and ``(product, stretch)`` is the unit of work.
+Tasks boil each unit down to its staircase: the times that rose above all before them in it, with their
+amounts. Whatever time a stretch inherits, the records it lets through are the steps beyond that time, so a
+binary search tells what it adds. The stateful processor sees one such row per product and stretch, never
+records, and gives back what each stretch inherits. The records, in the same micro-batch, are then gated
+and totalled by windows over ``(product, stretch)``: a hot product is as many tasks as it has stretches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from typing import NamedTuple
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from salesflow.operators.hot_keys import BROADCAST_ROWS
-from salesflow.operators.running import ROWS_PER_RANGE, dedupe_running_total, latest_state
+from salesflow.functions.amounts import narrow
+from salesflow.functions.guards import without_nulls
+from salesflow.operators.hot_keys import arrival_columns
 from salesflow.schema import RUNNING_TOTAL, check_schema, totals_table
-from salesflow.streaming.sinks import BATCH, Target, append_batch, append_each_batch
-
-BUCKET = "bucket"
-# State files are sorted by a hash bucket of the key and cut into small pages, so that a micro-batch reads
-# only the pages its keys can be in: those of at most so many ranges that cover its buckets.
-STATE_BUCKETS = 1 << 16
-PAGE_ROWS = 4096
-BUCKET_RANGES = 256
-
-# Every so many micro-batches the whole state is written; the ones between write changed keys only.
-SNAPSHOT_EVERY = 50
+from salesflow.streaming.sinks import Target, append_batch, append_each_batch
 
 KEY, TIME, AMOUNT, TOTAL = "ProductName", "EventProcessingTime", "SalesAmount", "TotalSalesAmount"
-STATE = T.StructType(
-    [
-        T.StructField(KEY, T.StringType()),
-        T.StructField("last_time", T.TimestampType()),
-        T.StructField("total", T.LongType()),
-        T.StructField(BATCH, T.LongType()),
-        T.StructField(BUCKET, T.IntegerType()),
-    ]
-)
-
-
-def _folder(root: str, batch_id: int, snapshot_every: int) -> str:
-    # Folders are reused after two snapshot periods, so the state does not grow with time. The one
-    # being written is never among those its batch reads, which makes a repeated batch safe. A
-    # restart with another period finds no folder and fails, rather than read half a state. So does
-    # one on a state of other buckets, or of none.
-    return f"{root}/buckets={STATE_BUCKETS}/every={snapshot_every}/slot={batch_id % (2 * snapshot_every)}"
-
-
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64(KEY), F.lit(STATE_BUCKETS)).cast("int")
-
-
-def _covering(buckets: Sequence[int]) -> Column:
-    """A condition for the buckets, as ranges that leave out the widest gaps between them."""
-    values = sorted(buckets)
-    gaps = sorted(range(1, len(values)), key=lambda i: values[i - 1] - values[i])[: BUCKET_RANGES - 1]
-    cuts = [0, *sorted(gaps), len(values)]
-    terms = [F.col(BUCKET).between(values[a], values[b - 1]) for a, b in zip(cuts, cuts[1:]) if a < b]
-    while len(terms) > 1:  # a balanced tree: the scan takes it apart recursively
-        terms = [terms[i] | terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
-    return terms[0] if terms else F.lit(False)
-
-
-def state_after(
-    spark: SparkSession,
-    root: str,
-    batch_id: int,
-    snapshot_every: int = SNAPSHOT_EVERY,
-    only: DataFrame | None = None,
-    touched: Sequence[int] | None = None,
-) -> DataFrame | None:
-    """Last time and total per key after ``batch_id``: a snapshot and the changes since.
-
-    ``touched`` has the buckets to read; ``only`` narrows the state to a few keys, before it is
-    shuffled.
-    """
-    if batch_id < 0:
-        return None
-    first = batch_id - batch_id % snapshot_every
-    folders = [_folder(root, b, snapshot_every) for b in range(first, batch_id + 1)]
-    rows = spark.read.schema(STATE).parquet(*folders).where(F.col(BATCH).between(first, batch_id))
-    if touched is not None:
-        rows = rows.where(_covering(touched))
-    if only is not None:
-        rows = rows.join(F.broadcast(only), KEY, "left_semi")
-    return latest_state(rows, KEY, "last_time", "total")
-
-
-class Touched(NamedTuple):
-    """What a micro-batch touches: its buckets and, where they are few, its keys and their number."""
-
-    keys: DataFrame | None
-    count: int | None
-    buckets: list[int]
-
-
-def _touched(batch: DataFrame) -> Touched:
-    keys = batch.select(KEY).distinct()
-    count, buckets = keys.agg(F.count("*"), F.collect_set(_bucket())).first()
-    return Touched(keys, count, buckets) if count <= BROADCAST_ROWS else Touched(None, None, buckets)
-
-
-def _write_state(
-    spark: SparkSession, changed: DataFrame, root: str, batch_id: int, snapshot_every: int
-) -> None:
-    whole = batch_id > 0 and batch_id % snapshot_every == 0
-    if whole:
-        before = state_after(spark, root, batch_id - 1, snapshot_every)
-        changed = latest_state(changed.unionByName(before), KEY, "last_time", "total")
-    rows = changed.withColumn(BATCH, F.lit(batch_id).cast("bigint")).withColumn(BUCKET, _bucket())
-    rows = rows.withColumn("total", F.col("total").cast("bigint")).select(*STATE.fieldNames())
-    if whole:
-        rows = rows.repartitionByRange(BUCKET)
-    rows = rows.sortWithinPartitions(BUCKET)
-    rows.write.mode("overwrite").option("parquet.page.row.count.limit", PAGE_ROWS).parquet(_folder(root, batch_id, snapshot_every))
-
-
-def state_root(target: Target) -> str:
-    """The state lives and moves with the checkpoint."""
-    return f"{target.checkpoint}/running_totals"
+# Arrival numbers per stretch: a staircase has at most so many steps of 16 bytes for each topic partition.
+ROWS_PER_RANGE = 1 << 18
+STATE = "state"
+
+# Names without a leading underscore: the processor gets its rows as named tuples.
+_RANGE, _LAST, _BASE, _INHERITED = "arrival_range", "inherited_last", "inherited_total", "is_inherited"
+_HELD_ROWS = 1 << 20
+
+
+def _staircases(key: str, arrival: Sequence[str]) -> Callable:
+    """(key, range, times, amounts) of each unit of a partition. Rows that an earlier one of the unit
+    covers are dropped whenever many are held."""
+
+    def steps(table):
+        import numpy as np
+        import pyarrow.compute as pc
+
+        order = pc.sort_indices(table, [(c, "ascending") for c in (key, _RANGE, *arrival)])
+        table = table.take(order).combine_chunks()
+        ranges = table.column(_RANGE).to_numpy()
+        times = table.column("time").to_numpy()
+        codes = table.column(key).combine_chunks().dictionary_encode().indices.to_numpy() if len(table) else ranges
+        new = np.ones(len(table), dtype=bool)
+        new[1:] = (ranges[1:] != ranges[:-1]) | (codes[1:] != codes[:-1])
+        first = np.flatnonzero(new)
+        # The running maximum within a unit: ranks of times, lifted unit by unit.
+        rank = np.unique(times, return_inverse=True)[1].astype(np.int64)
+        lifted = rank + (np.cumsum(new) - 1) * (len(table) + 1)
+        peak = np.maximum.accumulate(lifted) if len(table) else lifted
+        kept = new.copy()
+        kept[1:] |= lifted[1:] > peak[:-1]
+        return table.filter(kept), np.searchsorted(np.flatnonzero(kept), first)
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        held, rows, limit = [], 0, _HELD_ROWS
+        for batch in batches:
+            held.append(batch)
+            rows += len(batch)
+            if rows > limit:
+                held = steps(pa.Table.from_batches(held))[0].to_batches()
+                rows = sum(map(len, held))
+                limit = max(_HELD_ROWS, 2 * rows)
+        if not rows:
+            return
+        table, first = steps(pa.Table.from_batches(held))
+        ends = np.append(first[1:], len(table))
+        for a in range(0, len(first), 1000):
+            z = min(a + 1000, len(first))
+            part = table.slice(first[a], ends[z - 1] - first[a]).combine_chunks()
+            offsets = pa.array(np.append(first[a:z], ends[z - 1]) - first[a], pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, part.column(c).combine_chunks()) for c in ("time", "amount")]
+            heads = part.select([key, _RANGE]).take(offsets[:-1]).combine_chunks()
+            columns = [heads.column(c).combine_chunks() for c in (key, _RANGE)] + lists
+            yield pa.RecordBatch.from_arrays(columns, names=[key, _RANGE, "times", "amounts"])
+
+    return run
+
+
+def _processor(ttl_millis: int | None, wraps: bool):
+    # The class is made here so that it is sent to the workers by value.
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class LastTimeAndTotal(StatefulProcessor):
+        """One product's last accepted time and total."""
+
+        def init(self, handle) -> None:
+            ttl = {} if ttl_millis is None else {"ttlDurationMs": ttl_millis}
+            self.state = handle.getValueState(STATE, "last_micros bigint, total bigint", **ttl)
+
+        def handleInputRows(self, key, rows, timerValues):
+            units = [u for chunk in rows for u in zip(chunk[_RANGE], chunk["times"], chunk["amounts"], strict=True)]
+            last, total = self.state.get() if self.state.exists() else (None, 0)
+            out = []
+            for number, times, amounts in sorted(units, key=lambda u: u[0]):
+                out.append((key[0], number, last, total))
+                first = 0 if last is None else int(np.searchsorted(times, last, side="right"))
+                total += int(np.asarray(amounts[first:], dtype=np.int64).sum())
+                last = int(times[-1]) if last is None else max(last, int(times[-1]))
+            if not -(1 << 63) <= total < 1 << 63:
+                if not wraps:
+                    raise OverflowError(f"the total of {key[0]} does not fit 64 bits: {total}")
+                total = (total + (1 << 63)) % (1 << 64) - (1 << 63)
+            self.state.update((last, total))
+            names = ["key", _RANGE, _LAST, _BASE]
+            yield pd.DataFrame(out, columns=names).astype({_RANGE: "int64", _LAST: "Int64", _BASE: "int64"})
+
+        def close(self) -> None:
+            pass
+
+    return LastTimeAndTotal()
+
+
+def _with_range(sales: DataFrame, arrival: Sequence[str], rows_per_range: int | None) -> DataFrame:
+    """``_range``: the stretch of the leading arrival column. One for all without a length, or for times."""
+    if rows_per_range is None or not isinstance(sales.schema[arrival[0]].dataType, T.NumericType):
+        return sales.withColumn(_RANGE, F.lit(0).cast("bigint"))
+    return sales.withColumn(_RANGE, F.floor(F.col(arrival[0]) / F.lit(rows_per_range)).cast("bigint"))
+
+
+def _with_inherited(sales: DataFrame, key: str, time: str, amount: str, arrival: Sequence[str], overflow: str, expire_after: str | None) -> DataFrame:
+    """The sales of a micro-batch, and beside them a row for each (key, range) with what it inherits."""
+    millis = None
+    if expire_after is not None:
+        millis = sales.sparkSession.sql(f"SELECT unix_millis(timestamp_seconds(0) + interval {expire_after})").first()[0]
+    value = F.coalesce(F.col(amount), F.lit(0)).cast("bigint")
+    thin = sales.select(key, _RANGE, *arrival, F.unix_micros(time).alias("time"), value.alias("amount"))
+    key_type = sales.schema[key].dataType
+    unit = [T.StructField(key, key_type), T.StructField(_RANGE, T.LongType())]
+    lists = [T.StructField(c, T.ArrayType(T.LongType())) for c in ("times", "amounts")]
+    states = [T.StructField("key", key_type), *(T.StructField(c, T.LongType()) for c in (_RANGE, _LAST, _BASE))]
+    inherited = (
+        thin.repartition(key, _RANGE)
+        .mapInArrow(_staircases(key, arrival), T.StructType(unit + lists))
+        .groupBy(key)
+        .transformWithStateInPandas(
+            statefulProcessor=_processor(millis, overflow == "wrap"),
+            outputStructType=T.StructType(states),
+            outputMode="append",
+            timeMode="none" if millis is None else "processingTime",
+        )
+        .withColumnRenamed("key", key)
+        .withColumn(_INHERITED, F.lit(True))
+    )
+    return sales.withColumn(_INHERITED, F.lit(False)).unionByName(inherited, allowMissingColumns=True)
+
+
+def _totals(batch: DataFrame, key: str, time: str, amount: str, arrival: Sequence[str], total: str, overflow: str) -> DataFrame:
+    """The sales of a batch that pass, with their totals."""
+    inherited = batch.where(_INHERITED).select(key, _RANGE, F.timestamp_micros(_LAST).alias("_peak"), F.col(_BASE).alias("_carried"))
+    rows = batch.where(f"NOT {_INHERITED}").drop(_LAST, _BASE, _INHERITED).join(inherited, [key, _RANGE])
+    rows = rows.where(F.col("_peak").isNull() | (F.col(time) > F.col("_peak")))
+    order = Window.partitionBy(key, _RANGE).orderBy(*arrival)
+    earlier = F.max(time).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_earlier", earlier).where(F.col("_earlier").isNull() | (F.col(time) > F.col("_earlier")))
+    value = F.coalesce(F.col(amount), F.lit(0)).cast("bigint")
+    so_far = F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.withColumn(total, narrow(F.col("_carried") + so_far, overflow))
 
 
-def running_totals_step(
+def stream_running_totals(
+    sales: DataFrame,
     target: Target,
     arrival: str | Sequence[str],
     overflow: str = "error",
     rows_per_range: int | None = ROWS_PER_RANGE,
-    snapshot_every: int = SNAPSHOT_EVERY,
-    cache: bool = True,
-) -> Callable[[DataFrame, int], None]:
-    """The work for one micro-batch. A repeated batch id rewrites the same rows and state."""
-    root = state_root(target)
-
-    def append(spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        before = rows = None
-        if batch_id > 0:
-            touched = _touched(batch)
-            rows = touched.count
-            before = state_after(spark, root, batch_id - 1, snapshot_every, touched.keys, touched.buckets)
-        totals = dedupe_running_total(
-            batch, KEY, TIME, AMOUNT, arrival, TOTAL, overflow, rows_per_range, before, rows
-        ).select(*RUNNING_TOTAL.fieldNames())
-        appended = append_batch(check_schema(totals, totals_table(RUNNING_TOTAL, overflow)), batch_id, target)
-        try:
-            changed = latest_state(appended, KEY, TIME, TOTAL)
-            _write_state(spark, changed, root, batch_id, snapshot_every)
-        finally:
-            appended.unpersist()
+    expire_after: str | None = None,
+) -> StreamingQuery:
+    """Append each sale that moves its product's clock forward, with the running total.
+
+    ``sales`` has the sale columns and ``arrival``, which orders the rows inside a micro-batch;
+    micro-batches follow one another. Its first column, if a number, is cut into stretches of
+    ``rows_per_range``. ``expire_after`` is an interval such as ``"90 days"``: a product without a sale for so
+    long, by the clock of the cluster, starts anew; without it none does. Needs the RocksDB state store (see
+    ``session.configure``). The source is read twice per micro-batch, once for four of its columns.
+    """
+    if expire_after is not None and target.available_now:
+        raise ValueError("products expire by the clock: run the job with `every`")
+    arrival = arrival_columns(arrival)
+    sales = without_nulls(sales, {KEY: "key", TIME: "time"} | {c: "arrival" for c in arrival})
+    sales = _with_range(sales, arrival, rows_per_range)
+    table = totals_table(RUNNING_TOTAL, overflow)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        if not cache:
-            append(batch.sparkSession, batch, batch_id)
-            return
-        batch = batch.persist()
+        batch = batch.persist()  # the state is asked once, whatever the plan below reads twice
         try:
-            append(batch.sparkSession, batch, batch_id)
+            if not batch.where(_INHERITED).isEmpty():
+                totals = _totals(batch, KEY, TIME, AMOUNT, arrival, TOTAL, overflow)
+                append_batch(check_schema(totals.select(*RUNNING_TOTAL.fieldNames()), table), batch_id, target).unpersist()
         finally:
             batch.unpersist()
 
-    return step
+    return append_each_batch(_with_inherited(sales, KEY, TIME, AMOUNT, arrival, overflow, expire_after), target, step)
 
 
-def stream_running_totals(
-    sales: DataFrame, target: Target, arrival: str | Sequence[str], **options
-) -> StreamingQuery:
-    """Append each sale that moves its product's clock forward, with the running total.
-
-    ``sales`` has the sale columns and ``arrival``, which orders the rows inside a micro-batch;
-    micro-batches follow one another. ``cache=False`` reads the source again for each pass over a
-    micro-batch, which suits replayed tables: passes read only the columns they need.
-    """
-    return append_each_batch(sales, target, running_totals_step(target, arrival, **options))
+def read_state(spark: SparkSession, target: Target, key: str = KEY) -> DataFrame:
+    """key, ``last_time``, ``total`` of a running stream, as of its last committed micro-batch, read from its
+    checkpoint by Spark's state reader."""
+    state = spark.read.format("statestore").option("path", target.checkpoint).option("stateVarName", STATE).load()
+    value = "value.value" if "value" in state.schema["value"].dataType.names else "value"
+    return state.select(f"key.{key}", F.timestamp_micros(f"{value}.last_micros").alias("last_time"), f"{value}.total")

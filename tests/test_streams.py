@@ -1,6 +1,8 @@
 """The jobs as streams: golden results, restarts, parity with batch, quarantine."""
 
 import json
+import random
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -13,13 +15,13 @@ from salesflow.operators.running import dedupe_running_total
 from salesflow.operators.windows import closed_totals, tumbling_totals
 from salesflow.plans import jobs
 from salesflow.plans.tables import as_messages, events_as_sales, orders_as_sales, table
-from salesflow.schema import QUARANTINE, RUNNING_TOTAL, SALE, WINDOW_TOTAL
+from salesflow.schema import QUARANTINE, RUNNING_TOTAL, SALE, WINDOW_TOTAL, totals_table
 from salesflow.sources.replay import recorded, replay
 from salesflow.streaming.progress import input_rows, late_rows_dropped, wait_for_timers
-from salesflow.streaming import running
+from salesflow.streaming import running, sinks
 from salesflow.streaming.arrival import stream_arrival_totals
-from salesflow.streaming.running import state_after, state_root
-from salesflow.streaming.sinks import Target, append_stream, print_sales, read_table
+from salesflow.streaming.running import read_state, stream_running_totals
+from salesflow.streaming.sinks import Target, append_batch, append_stream, print_sales, read_table
 
 
 def target(tmp_path, name="out", **options):
@@ -60,40 +62,15 @@ def test_running_totals(spark, tmp_path):
     job = jobs.running_totals(messages(spark, tmp_path / "in"), to, arrival="arrival")
     job.await_termination()
     assert totals(spark, to) == TOTALS
-    state = state_after(spark, state_root(to), len(FILES) - 1)
-    found = {r.ProductName: (r.last_time.timestamp(), r.total) for r in state.collect()}
+    found = {r.ProductName: (r.last_time.timestamp(), r.total) for r in read_state(spark, to).collect()}
     assert found == {"A": (at(200).timestamp(), 428), "B": (at(5).timestamp(), 4)}
 
 
-@pytest.mark.parametrize("snapshot_every", [1, 2, 3])
-@pytest.mark.parametrize("rows_per_range", [None, 1])
-def test_running_totals_state_layouts(spark, tmp_path, snapshot_every, rows_per_range):
+@pytest.mark.parametrize("rows_per_range", [None, 1, 2])
+def test_running_totals_in_stretches(spark, tmp_path, rows_per_range):
     write_files(tmp_path / "in", FILES)
     to = target(tmp_path)
-    jobs.running_totals(
-        messages(spark, tmp_path / "in"), to, arrival="arrival",
-        snapshot_every=snapshot_every, rows_per_range=rows_per_range,
-    ).await_termination()
-    assert totals(spark, to) == TOTALS
-    buckets = f"buckets={running.STATE_BUCKETS}"
-    root = tmp_path / "out-checkpoint" / "running_totals" / buckets / f"every={snapshot_every}"
-    assert len(list(root.iterdir())) <= 2 * snapshot_every
-
-
-def test_running_totals_refuse_another_period(spark, tmp_path):
-    write_files(tmp_path / "in", FILES[:3])
-    to = target(tmp_path)
-
-    def run(every):
-        jobs.running_totals(
-            messages(spark, tmp_path / "in"), to, arrival="arrival", snapshot_every=every
-        ).await_termination()
-
-    run(3)
-    write_files(tmp_path / "in", FILES[3:], first=3)
-    with pytest.raises(StreamingQueryException, match="PATH_NOT_FOUND"):
-        run(4)
-    run(3)
+    jobs.running_totals(messages(spark, tmp_path / "in"), to, arrival="arrival", rows_per_range=rows_per_range).await_termination()
     assert totals(spark, to) == TOTALS
 
 
@@ -102,80 +79,135 @@ def test_running_totals_repeated_batch(spark, tmp_path):
     write_files(tmp_path / "in", FILES)
     to = target(tmp_path)
     for _ in range(2):
-        jobs.running_totals(
-            messages(spark, tmp_path / "in"), to, arrival="arrival"
-        ).await_termination()
+        running_by_arrival(messages(spark, tmp_path / "in"), to).await_termination()
         assert totals(spark, to) == TOTALS
         for commit in (tmp_path / "out-checkpoint" / "commits").iterdir():
             if commit.name.strip(".").split(".")[0] == "7":
                 commit.unlink()
 
 
-@pytest.mark.parametrize("few", [1, 15])
-def test_state_read_is_bounded_by_the_keys_asked_for(spark, tmp_path, few):
-    """Few keys against a state of 200,000 read only the pages that their buckets are in."""
-    rows = spark.range(200_000, numPartitions=4).select(
-        F.concat(F.lit("p"), "id").alias(running.KEY), F.timestamp_seconds("id").alias("last_time"),
-        (F.col("id") * 3).alias("total"),
-    )
-    root = str(tmp_path / "state")
-    running._write_state(spark, rows, root, 0, 50)
-    batch = rows.where(f"total % 6 = 0 AND total < {6 * few}").select(running.KEY)
-    touched = running._touched(batch)
-    assert touched.count == few >= len(touched.buckets)
-    found = state_after(spark, root, 0, only=touched.keys, touched=touched.buckets)
-    assert found.count() == few
-    assert sorted(r.total for r in found.collect()) == [6 * i for i in range(few)]
-
-    scanned = state_after(spark, root, 0, touched=touched.buckets)
-    scanned.collect()
-    nodes, read = [scanned._jdf.queryExecution().executedPlan()], 0
-    while nodes:
-        node = nodes.pop()
-        if node.nodeName().startswith("Scan"):
-            read += node.metrics().apply("numOutputRows").value()
-        if node.nodeName() == "AdaptiveSparkPlan":
-            nodes.append(node.executedPlan())
-        elif "QueryStage" in node.nodeName():
-            nodes.append(node.plan())
-        else:
-            nodes += [node.children().apply(i) for i in range(node.children().size())]
-    assert 0 < read <= few * 4 * running.PAGE_ROWS  # four files, a page of each per bucket
-    assert read < 180_000
-
-
-@pytest.mark.parametrize("buckets", [[], [7], [0, 65535], list(range(0, 60_000, 7)), [1, 2, 3, 9_000]])
-def test_ranges_cover_all_buckets(spark, buckets):
-    every = spark.range(running.STATE_BUCKETS).select(F.col("id").cast("int").alias(running.BUCKET))
-    found = {r.bucket for r in every.where(running._covering(buckets)).collect()}
-    assert found >= set(buckets)
-    assert len(buckets) > running.BUCKET_RANGES or found == set(buckets)
-
-
-@pytest.mark.parametrize("snapshot_every", [2, 50])
-def test_running_totals_lost_before_the_state(spark, tmp_path, monkeypatch, snapshot_every):
-    """A batch that wrote its rows but not its state runs again, and leaves nothing twice."""
+@pytest.mark.parametrize("when", ["written", "committed"])
+def test_running_totals_lost_within_a_batch(spark, tmp_path, monkeypatch, when):
+    """A batch that was lost after its rows were written, or its record too, leaves nothing twice."""
     write_files(tmp_path / "in", FILES)
     to = target(tmp_path)
-    write_state = running._write_state
+    commit = sinks._commit
 
-    def fail_once(session, changed, root, batch_id, every):
+    def fail_once(session, path, writer, batch_id, attempt):
         if batch_id == 4:
-            monkeypatch.setattr(running, "_write_state", write_state)
+            monkeypatch.setattr(sinks, "_commit", commit)
+            if when == "committed":
+                commit(session, path, writer, batch_id, attempt)
             raise RuntimeError("lost")
-        write_state(session, changed, root, batch_id, every)
-
-    monkeypatch.setattr(running, "_write_state", fail_once)
-
-    def run():
-        jobs.running_totals(
-            messages(spark, tmp_path / "in"), to, arrival="arrival", snapshot_every=snapshot_every
-        ).await_termination()
+        commit(session, path, writer, batch_id, attempt)
 
+    monkeypatch.setattr(sinks, "_commit", fail_once)
     with pytest.raises(StreamingQueryException, match="lost"):
-        run()
-    run()
+        running_by_arrival(messages(spark, tmp_path / "in"), to).await_termination()
+    seen = totals(spark, to)
+    assert seen == [t for t in TOTALS if t[0] in ("abcdfh" if when == "committed" else "abcdf")]
+    running_by_arrival(messages(spark, tmp_path / "in"), to).await_termination()
     assert totals(spark, to) == TOTALS
+    assert len(list((tmp_path / "out").glob("writer=*/batch_id=4/attempt=*"))) == 1
+
+
+def test_readers_see_whole_batches_only(spark, tmp_path, monkeypatch):
+    """What a reader finds while a batch is half written, before its record, and while it is repeated."""
+    write_files(tmp_path / "in", FILES[:2])
+    to = target(tmp_path)
+    jobs.land_sales(messages(spark, tmp_path / "in"), to).await_termination()
+    before = {"a", "b", "c", "d"}
+    ids = lambda: {r.SalesId for r in read_table(spark, to.path, SALE).collect()}
+    assert ids() == before
+    more = read_table(spark, to.path, SALE).withColumn("SalesId", F.concat("SalesId", F.lit("2")))
+    writer = next((tmp_path / "out").glob("writer=*"))
+    half = writer / "batch_id=2" / "attempt=dead"
+    more.limit(2).write.parquet(str(half))  # an attempt that lost its driver halfway
+    assert ids() == before
+    commit, seen = sinks._commit, []
+
+    def look(*args):
+        seen.append(ids())
+        commit(*args)
+        seen.append(ids())
+
+    monkeypatch.setattr(sinks, "_commit", look)
+    append_batch(more, 2, to)
+    assert seen == [before, before | {"a2", "b2", "c2", "d2"}] and not half.exists()
+    written = sorted(str(f) for f in writer.rglob("*.parquet"))
+    append_batch(more, 2, to)  # repeated: not written again, nothing vanishes in between
+    assert len(seen) == 2 and sorted(str(f) for f in writer.rglob("*.parquet")) == written
+    assert ids() == before | {"a2", "b2", "c2", "d2"}
+
+
+def test_read_of_a_table_without_committed_batches(spark, tmp_path):
+    (tmp_path / "out" / sinks.COMMITS).mkdir(parents=True)
+    assert read_table(spark, str(tmp_path / "out"), SALE).collect() == []
+
+
+def _sales(spark, folder, number, rows):
+    folder.mkdir(exist_ok=True)
+    lines = [json.dumps({"SalesId": str(i), "ProductName": p, "SalesAmount": a, "seconds": t, "arrival": i}) for i, p, t, a in rows]
+    (folder / f"{number}.json").write_text("\n".join(lines))
+    stream = spark.readStream.schema("SalesId string, ProductName string, SalesAmount int, seconds bigint, arrival bigint").json(str(folder))
+    time = F.timestamp_seconds("seconds")
+    return stream.select("SalesId", "ProductName", time.alias("SalesDateTime"), "SalesAmount", time.alias("EventProcessingTime"), "arrival")
+
+
+def test_an_expired_product_starts_anew(spark, tmp_path):
+    for name, options, wanted in [("kept", {}, 3), ("expired", {"expire_after": "1 second"}, 2)]:
+        to = Target(str(tmp_path / name), str(tmp_path / f"{name}-checkpoint"), every="200 milliseconds")
+        found = lambda: {r.SalesId: r.TotalSalesAmount for r in read_table(spark, to.path, RUNNING_TOTAL).collect()}  # noqa: B023, E731
+        query = stream_running_totals(_sales(spark, tmp_path / f"in-{name}", 0, [(0, "p", 100, 1)]), to, "arrival", **options)
+        try:
+            for number, count in [(None, 1), (1, 2)]:
+                if number:
+                    time.sleep(2.5)
+                    _sales(spark, tmp_path / f"in-{name}", number, [(1, "p", 101, 2)])
+                limit = time.monotonic() + 40
+                while time.monotonic() < limit and (not (tmp_path / name).exists() or len(found()) < count):
+                    time.sleep(0.2)
+        finally:
+            query.stop()
+        assert found() == {"0": 1, "1": wanted}
+
+
+def test_expiry_has_no_end(spark, tmp_path):
+    with pytest.raises(ValueError, match="by the clock"):
+        stream_running_totals(_sales(spark, tmp_path / "in", 0, [(0, "p", 100, 1)]), target(tmp_path), "arrival", expire_after="1 day")
+
+
+@pytest.mark.parametrize("overflow, wanted", [("wrap", [2**31 - 1, -(2**31)]), ("bigint", [2**31 - 1, 2**31])])
+def test_streamed_totals_overflow(spark, tmp_path, overflow, wanted):
+    to = target(tmp_path)
+    stream = _sales(spark, tmp_path / "in", 0, [(0, "p", 100, 2**31 - 1), (1, "p", 101, 1)])
+    stream_running_totals(stream, to, "arrival", overflow=overflow, rows_per_range=1).awaitTermination()
+    rows = read_table(spark, to.path, totals_table(RUNNING_TOTAL, overflow)).collect()
+    assert sorted((r.SalesId, r.TotalSalesAmount) for r in rows) == [("0", wanted[0]), ("1", wanted[1])]
+
+
+@pytest.mark.parametrize("seed, drift", [(1, 0), (2, 3)])
+def test_staircases_of_many_batches(seed, drift):
+    """Steps of each unit, whatever batches its rows come in, however often held rows are thinned."""
+    import pyarrow as pa
+
+    rng = random.Random(seed)
+    rows = [(rng.choice("ab"), i // 40, i, i % 3, i * drift + rng.randrange(50), rng.randrange(-9, 9)) for i in range(400)]
+    wanted = {}
+    for key, unit, _, _, seconds, amount in sorted(rows, key=lambda r: r[2:4]):
+        steps = wanted.setdefault((key, unit), [])
+        if not steps or seconds > steps[-1][0]:
+            steps.append((seconds, amount))
+    rng.shuffle(rows)
+    names = ["ProductName", running._RANGE, "offset", "partition", "time", "amount"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[a : a + 30], strict=True)], names=names) for a in range(0, 400, 30)]
+    held, running._HELD_ROWS = running._HELD_ROWS, 50
+    try:
+        out = [r for b in running._staircases("ProductName", ["offset", "partition"])(iter(batches)) for r in b.to_pylist()]
+    finally:
+        running._HELD_ROWS = held
+    assert {(r["ProductName"], r[running._RANGE]): list(zip(r["times"], r["amounts"], strict=True)) for r in out} == wanted
+    assert len(out) == len(wanted)
 
 
 def test_files_per_commit(spark, tmp_path):
