@@ -53,6 +53,9 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--overflow", choices=["error", "wrap"], help="not for land")
     parser.add_argument("--id", choices=["random", "deterministic"], help="for window totals")
     parser.add_argument("--lateness", help="keeps event-time windows open longer")
+    parser.add_argument("--refires", action="store_const", const=True, help="corrected totals for late sales within the lateness")
+    parser.add_argument("--late", help="table for sales that come after their event-time window")
+    parser.add_argument("--expire-after", help="for running totals: forget products without a sale for so long")
     return parser.parse_args(argv)
 
 
@@ -67,13 +70,13 @@ def reader_options(args: argparse.Namespace) -> dict[str, str]:
 def target(args: argparse.Namespace) -> Target:
     return Target(
         args.table, args.checkpoint, args.format, args.every, args.available_now, args.quarantine,
-        args.files,
+        args.files, args.late,
     )
 
 
 def job_options(args: argparse.Namespace) -> dict[str, str]:
     """The options given; a job refuses those that are not its own."""
-    names = ("unknown_fields", "overflow", "id", "lateness")
+    names = ("unknown_fields", "overflow", "id", "lateness", "refires", "expire_after")
     return {name: getattr(args, name) for name in names if getattr(args, name) is not None}
 
 

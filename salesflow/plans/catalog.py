@@ -31,7 +31,8 @@ from salesflow.schema import QUARANTINE, RUNNING_TOTAL, SALE, WINDOW_TOTAL, chec
 from salesflow.session import configure, work_dir
 from salesflow.sources.replay import replay
 from salesflow.sources.topic import TOPIC_ARRIVAL, value_only
-from salesflow.streaming.progress import wait_for_timers
+from salesflow.streaming.progress import late_rows_dropped, wait_for_timers
+from salesflow.streaming.running import read_state
 from salesflow.streaming.sinks import Target, read_table
 
 HOT_ROWS = 1000
@@ -320,6 +321,70 @@ def stream_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, target.path, WINDOW_TOTAL)
 
 
+def _in_two_runs(spark: SparkSession, sf_dir: str, target: Target, **options) -> list[jobs.Job]:
+    """Every 50th event after all others, in a run of its own."""
+    started: list[jobs.Job] = []
+    messages = as_messages(_events(spark, sf_dir))
+    held = F.pmod("arrival", F.lit(50)) == 0
+
+    def start(part: DataFrame) -> jobs.Job:
+        started.append(jobs.event_time_totals(part, target, id="deterministic", **options))
+        return started[-1]
+
+    _in_runs(spark, messages, [~held, held], work_dir(spark, "late-in"), start)
+    return started
+
+
+def stream_late_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The late events, kept in a table of their own, and the amount that counted per product."""
+    target = _target(spark, "late-records")
+    target = replace(target, late=f"{target.path}-late")
+    _in_two_runs(spark, sf_dir, target)
+    late = read_table(spark, target.late, SALE).select("ProductName", "SalesId", F.col("SalesAmount").cast("bigint").alias("amount"))
+    counted = read_table(spark, target.path, WINDOW_TOTAL).groupBy("ProductName").agg(F.sum("SalesAmount").alias("amount"))
+    return late.unionByName(counted, allowMissingColumns=True)
+
+
+def stream_late_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many events came too late, as the stream's counter has it: each one, not each key and window."""
+    target = _target(spark, "late-counted")
+    started = _in_two_runs(spark, sf_dir, replace(target, late=f"{target.path}-late"))
+    return spark.createDataFrame([(sum(late_rows_dropped(job.main) for job in started),)], "late_rows bigint")
+
+
+def stream_refires(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and corrected totals of windows, held for a day beyond their end."""
+    target = _target(spark, "refires")
+    _in_two_runs(spark, sf_dir, target, lateness="1 day", refires=True)
+    return read_table(spark, target.path, WINDOW_TOTAL)
+
+
+def stream_state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of running totals, read from the checkpoint of the stream that keeps it."""
+    target = _target(spark, "snapshot")
+    messages = as_messages(orders_as_sales(table_stream(spark, sf_dir, "orders")))
+    jobs.running_totals(messages, target, arrival="arrival").await_termination()
+    return read_state(spark, target).withColumn("total", F.col("total").cast("int"))
+
+
+def stream_totals_beside_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream's window totals add up to, the messages decoded for them, and those refused: all from
+    one decoding."""
+    target = _target(spark, "beside")
+    target = replace(target, quarantine=f"{target.path}-refused")
+    messages = orders_with_bad_messages(table(spark, sf_dir, "orders"))
+    _in_runs(
+        spark, messages, [F.lit(True)], work_dir(spark, "beside-in"),
+        lambda part: jobs.event_time_totals(part, target, size="30 days", id="deterministic"),
+    )
+    kinds = lambda df, kind, n: df.groupBy(kind.alias("kind")).agg(n.cast("bigint").alias("n"))
+    decoded = spark.read.parquet(target.for_decoded().path)
+    windows = kinds(read_table(spark, target.path, WINDOW_TOTAL), F.lit("window amount"), F.sum("SalesAmount"))
+    return windows.union(kinds(decoded.where("reason IS NULL"), F.lit("good"), F.count("*"))).union(
+        kinds(read_table(spark, target.quarantine, QUARANTINE), F.col("reason"), F.count("*"))
+    )
+
+
 QUERIES = {
     "land_sales": land_sales,
     "sales_lines": sales_lines,
@@ -353,6 +418,11 @@ QUERIES = {
     "stream_resumed": stream_resumed,
     "stream_event_time_totals_batches": stream_event_time_totals_batches,
     "stream_late_dropped": stream_late_dropped,
+    "stream_late_records": stream_late_records,
+    "stream_late_counted": stream_late_counted,
+    "stream_refires": stream_refires,
+    "stream_state_snapshot": stream_state_snapshot,
+    "stream_totals_beside_quarantine": stream_totals_beside_quarantine,
 }
 
 

@@ -26,6 +26,7 @@ from salesflow.operators.windows import (
 from salesflow.schema import QUARANTINE, SALE, WINDOW_TOTAL, check_schema, totals_table
 from salesflow.sources.topic import TOPIC_ARRIVAL
 from salesflow.streaming.arrival import WINDOW_MILLIS, stream_arrival_totals
+from salesflow.streaming.event_windows import stream_event_windows
 from salesflow.streaming.running import stream_running_totals
 from salesflow.streaming.sinks import Target, append_batch, append_each_batch, append_stream, read_appended
 
@@ -153,15 +154,23 @@ def event_time_totals(
     delay: str = DELAY,
     lateness: str = NO_LATENESS,
     unknown_fields: str = "ignore",
+    refires: bool = False,
     **options: str,
 ) -> Job:
     """Append the total per product and 30 seconds of event time, once the window has closed.
 
-    ``lateness`` keeps windows open longer: one later row with the late sales in it.
+    ``lateness`` keeps windows open longer: one later row with the late sales in it. With ``refires`` the row comes
+    at the window's end and corrected ones follow, one per micro-batch with late sales, until the lateness is over.
+    ``target.late`` keeps sales that are later still; it and ``refires`` use ``event_windows``, which counts late records one by one.
     """
+    by_record = refires or target.late is not None
+    if by_record and lateness != NO_LATENESS and not refires:
+        raise ValueError("a table of late sales with lateness needs refires")
     table = totals_table(WINDOW_TOTAL, options.get("overflow", "error"))
 
     def start(sales: DataFrame) -> StreamingQuery:
+        if by_record:
+            return stream_event_windows(sales, target, size, delay, lateness, **options)
         timed = with_event_time(sales, "EventProcessingTime", longer_delay(delay, lateness))
         return append_stream(tumbling_totals(timed, size=size, **options), target, table)
 

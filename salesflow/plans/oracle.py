@@ -98,6 +98,15 @@ _HELD_BACK = f"""
           OR time_bucket(INTERVAL 30 SECONDS, EventProcessingTime, TIMESTAMP '1970-01-01')
              + INTERVAL 30 SECONDS > late"""
 
+_TWO_RUNS = f"""
+    WITH events_in AS ({_EVENTS}),
+    first_clock AS (SELECT max(EventProcessingTime) - INTERVAL 10 SECONDS AS c1 FROM events_in WHERE arrival % 50 <> 0),
+    last_clock AS (SELECT max(EventProcessingTime) - INTERVAL 10 SECONDS AS c2 FROM events_in),
+    timed AS (
+        SELECT *, arrival % 50 = 0 AS held, time_bucket(INTERVAL 30 SECONDS, EventProcessingTime, TIMESTAMP '1970-01-01') AS start,
+               time_bucket(INTERVAL 30 SECONDS, EventProcessingTime, TIMESTAMP '1970-01-01') + INTERVAL 30 SECONDS AS over
+        FROM events_in, first_clock, last_clock)"""
+
 ORACLE = {
     "land_sales": f"""
     SELECT SalesId, ProductName, SalesDateTime, amount AS SalesAmount, EventProcessingTime
@@ -186,4 +195,34 @@ ORACLE = {
     "stream_resumed": _running(_orders()),
     "stream_event_time_totals_batches": _windows("30 SECONDS", wait="10 SECONDS"),
     "stream_late_dropped": _windows("30 SECONDS", _HELD_BACK, wait="10 SECONDS"),
+    "stream_late_records": f"""{_TWO_RUNS}
+    SELECT ProductName, SalesId, CAST(amount AS BIGINT) AS amount FROM timed WHERE held AND over <= c1
+    UNION ALL
+    SELECT ProductName, NULL, CAST(sum(amount) AS BIGINT) FROM timed
+    WHERE NOT (held AND over <= c1) AND over <= c2 GROUP BY ProductName""",
+    "stream_late_counted": f"{_TWO_RUNS} SELECT count(*) AS late_rows FROM timed WHERE held AND over <= c1",
+    "stream_refires": f"""{_TWO_RUNS},
+    fired AS (
+        SELECT ProductName, start, over, sum(amount) AS total FROM timed
+        WHERE NOT held AND over <= c1 GROUP BY ALL
+        UNION ALL
+        SELECT ProductName, start, over, sum(amount) AS total FROM timed
+        WHERE over <= c1 AND over + INTERVAL 1 DAY > c1 GROUP BY ALL HAVING bool_or(held)
+        UNION ALL
+        SELECT ProductName, start, over, sum(amount) AS total FROM timed
+        WHERE over > c1 AND over <= c2 GROUP BY ALL)
+    SELECT md5(concat_ws('~', ProductName, epoch_us(start))) AS SalesId, ProductName, start AS WindowStartTime,
+           CAST(total AS INTEGER) AS SalesAmount, over AS WindowEndTime
+    FROM fired""",
+    "stream_state_snapshot": _snapshot(_orders()),
+    "stream_totals_beside_quarantine": f"""
+    WITH marked AS (
+        SELECT *, CASE WHEN arrival % 97 = 0 THEN 'corrupt' WHEN arrival % 101 = 0 THEN 'empty'
+                       WHEN arrival % 103 = 0 THEN 'no record' ELSE 'good' END AS kind
+        FROM ({_orders()})),
+    clock AS (SELECT max(EventProcessingTime) - INTERVAL 10 SECONDS AS c FROM marked WHERE kind = 'good')
+    SELECT kind, count(*) AS n FROM marked WHERE kind <> 'no record' GROUP BY kind
+    UNION ALL
+    SELECT 'window amount', CAST(sum(amount) AS BIGINT) FROM marked, clock
+    WHERE kind = 'good' AND time_bucket(INTERVAL 30 DAYS, EventProcessingTime, TIMESTAMP '1970-01-01') + INTERVAL 30 DAYS <= c""",
 }

@@ -10,6 +10,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
+# The metric of a query that counts its late records by itself.
+LATE_METRIC = "late_records"
+
+
 class _Counters(StreamingQueryListener):
     """Adds up the progress reports of every run, from its first micro-batch on."""
 
@@ -26,6 +30,8 @@ class _Counters(StreamingQueryListener):
         progress = event.progress
         run = str(progress.runId)
         self.late[run] += sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+        observed = progress.observedMetrics.get(LATE_METRIC)
+        self.late[run] += (observed.records or 0) if observed is not None else 0
         self.read[run] += progress.numInputRows
         self.last[run] = progress.timestamp
 
@@ -68,7 +74,8 @@ def _counted(query: StreamingQuery, limit_seconds: float = 10) -> tuple[_Counter
 def late_rows_dropped(query: StreamingQuery) -> int:
     """Rows dropped behind the watermark since the query's start.
 
-    Counted after partial aggregation: late rows of one key and window in one task count once.
+    ``event_windows`` counts records. Spark's windowed aggregate counts after partial aggregation: late
+    rows of one key and window in one task count once.
     """
     counters, run = _counted(query)
     return counters.late[run]

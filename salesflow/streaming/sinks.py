@@ -29,7 +29,8 @@ class Target:
     Refused messages go to ``quarantine``; without it the first one fails the job.
     ``available_now`` handles what is there and stops, instead of running every ``every``.
     ``files`` bounds the files a commit adds, by one more shuffle of the result rows: for window
-    totals, which are few but come from as many tasks as there are state partitions.
+    totals, which are few but come from as many tasks as there are state partitions. ``late`` keeps the
+    records that come after their event-time window is over.
     """
 
     path: str
@@ -39,10 +40,14 @@ class Target:
     available_now: bool = False
     quarantine: str | None = None
     files: int | None = None
+    late: str | None = None
 
     def for_quarantine(self) -> Target:
         return replace(self, path=self.quarantine, checkpoint=f"{self.checkpoint}-quarantine")
 
+    def for_late(self) -> Target:
+        return replace(self, path=self.late, late=None)
+
     def for_decoded(self) -> Target:
         """Where messages are decoded to for the queries of one job."""
         folder = f"{self.checkpoint}-decoded"

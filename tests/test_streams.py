@@ -1,6 +1,7 @@
 """The jobs as streams: golden results, restarts, parity with batch, quarantine."""
 
 import json
+import os
 import random
 import time
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from golden import FILES, MESSAGE, TOTALS, WINDOWS, at, write_files
+from golden import FILES, MESSAGE, TOTALS, WINDOWS, at, message, write_files
 from salesflow.operators.decode import decode_sales, good_sales
 from salesflow.operators.lateness import mark_late
 from salesflow.operators.running import dedupe_running_total
@@ -242,6 +243,74 @@ def test_allowed_lateness_keeps_windows_open(spark, tmp_path):
     assert found == [("A", 0, 83 + 1024), *WINDOWS[1:]]
 
 
+def test_refires_and_late_records(spark, tmp_path):
+    """Windows fire at their end and again for late records; what comes after 20 more seconds is kept apart."""
+    write_files(tmp_path / "in", FILES)
+    to = target(tmp_path, late=str(tmp_path / "late"))
+    job = jobs.event_time_totals(messages(spark, tmp_path / "in"), to, lateness="20 seconds", refires=True, id="deterministic")
+    job.await_termination()
+    rows = read_table(spark, to.path, WINDOW_TOTAL)
+    # The window 0-30 of A fires with a, b and e, and again for g. k and m come after its lateness.
+    assert windows(rows) == [("A", 0, 19), ("A", 0, 83), *WINDOWS[1:]]
+    assert rows.select("SalesId").distinct().count() == len(WINDOWS)
+    assert sorted(r.SalesId for r in read_table(spark, to.late, SALE).collect()) == ["k", "m"]
+    assert late_rows_dropped(job.main) == 2
+
+
+@pytest.mark.parametrize("late", [True, False])
+def test_late_records_are_counted_one_by_one(spark, tmp_path, late):
+    """Three late records of one key, window and task are three."""
+    files = [[("a", "A", 1.0, 1)], [("b", "A", 100.0, 2)], [("c", "A", 2.0, 4), ("d", "A", 3.0, 8), ("e", "A", 4.0, 16), ("f", "A", 95.0, 32)], [("g", "A", 300.0, 1)]]
+    write_files(tmp_path / "in", files)
+    to = target(tmp_path, late=str(tmp_path / "late") if late else None)
+    job = jobs.event_time_totals(messages(spark, tmp_path / "in"), to, refires=True)
+    job.await_termination()
+    assert late_rows_dropped(job.main) == 3
+    assert windows(read_table(spark, to.path, WINDOW_TOTAL)) == [("A", 0, 1), ("A", 90, 34)]
+    if late:
+        assert sorted(r.SalesId for r in read_table(spark, to.late, SALE).collect()) == ["c", "d", "e"]
+
+
+def test_late_and_counted_records_add_up(spark, tmp_path, testdata):
+    """The replayed stream splits its input as the batch operator does, micro-batches being arrival batches."""
+    sales = events_as_sales(table(spark, str(testdata / "sf0.001"), "events"))
+    order = F.expr("EventProcessingTime + make_interval(0, 0, 0, 0, 0, 0, arrival * 7919 % 200000)")
+    cuts = sales.select(F.percentile_approx(F.unix_seconds(order), [0.25, 0.5, 0.75])).first()[0]
+    batch = sum((F.unix_seconds(order) > c).cast("int") for c in cuts)
+    folder = tmp_path / "in"
+    for number in range(4):
+        part = as_messages(sales.where(batch == number)).coalesce(1)
+        part.write.parquet(str(folder / f"part{number}"))
+        for file in (folder / f"part{number}").glob("*.parquet"):
+            os.utime(file, (1_700_000_000 + number, 1_700_000_000 + number))
+    to = target(tmp_path, late=str(tmp_path / "late"))
+    source = replay(spark, str(folder / "*"), MESSAGE, files_per_batch=1)
+    job = jobs.event_time_totals(source, to, overflow="wrap")
+    job.await_termination()
+    marked = mark_late(sales.withColumn("batch", batch), "batch")
+    late = {r.SalesId for r in read_table(spark, to.late, SALE).collect()}
+    assert late == {r.SalesId for r in marked.where("late").collect()} and len(late) > 50
+    assert late_rows_dropped(job.main) == len(late)
+    clock = sales.agg(F.max("EventProcessingTime") - F.expr("interval 10 seconds")).first()[0]
+    counted = tumbling_totals(marked.where("NOT late"), overflow="wrap").where(F.col("WindowEndTime") <= F.lit(clock))
+    assert windows(read_table(spark, to.path, WINDOW_TOTAL)) == windows(counted)
+
+
+def test_one_decoding_for_totals_and_quarantine(spark, tmp_path):
+    """J4's totals and its quarantine come from one decoded table, also after a restart."""
+    to = target(tmp_path, quarantine=str(tmp_path / "bad"))
+    (tmp_path / "in").mkdir()
+    for number, lines in enumerate([[FILES[0][0], "not json"], [FILES[7][1], "also bad"]]):
+        values = [v if isinstance(v, str) else message(*v) for v in lines]
+        (tmp_path / "in" / f"{number}.json").write_text("\n".join(json.dumps({"value": v, "arrival": number}) for v in values))
+        job = jobs.event_time_totals(messages(spark, tmp_path / "in"), to)
+        job.await_termination()
+        assert input_rows(job.decoder) == 2 and input_rows(job.main) == input_rows(job.quarantine) == 2
+    assert windows(read_table(spark, to.path, WINDOW_TOTAL)) == [("A", 0, 1)]
+    assert sorted(r.value for r in read_table(spark, to.quarantine, QUARANTINE).collect()) == ["also bad", "not json"]
+    assert spark.read.parquet(to.for_decoded().path).count() == 4
+
+
 @pytest.mark.parametrize("name", ["land", "running", "windows"])
 def test_restart_equals_one_run(spark, tmp_path, name):
     start, table_schema = {
