@@ -66,7 +66,7 @@ def find_hot_keys(df: DataFrame, key: str, arrival: Sequence[str], rows_per_rang
 
     Runs Spark jobs at once: one pass over the key and arrival columns keeps a thin sample, which
     is sorted by key and position over all tasks; every so many sample rows of the sorted order are
-    a cut. Hot keys and cuts stay a table in the work folder and only its size comes to the driver.
+    a cut. Hot keys, if there are any, and cuts stay a table in the work folder and only its size comes to the driver.
     The sample only balances the work: every row is assigned to its range afterwards and no result
     depends on the estimate.
     """
@@ -80,6 +80,8 @@ def find_hot_keys(df: DataFrame, key: str, arrival: Sequence[str], rows_per_rang
         per_range = max(1, round(rows_per_range * fraction))
         sizes = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
         hot = sizes.where(F.col("_rows") > rows_per_range * fraction).select(key)
+        if hot.isEmpty():
+            return NO_HOT_KEYS
         # Numbered within its partition, each partition's first row included, so that no stretch
         # of a key's rows longer than per_range is without a cut.
         place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
@@ -93,10 +95,8 @@ def find_hot_keys(df: DataFrame, key: str, arrival: Sequence[str], rows_per_rang
         sample.unpersist()
     keys = spark.read.schema(table.schema).parquet(path)
     length = F.octet_length(F.col(key).cast("string")) + 8 * F.size(_CUTS) + 64
-    count, size, ranges, most = keys.agg(
-        F.count(F.lit(1)), F.sum(length), F.sum(F.size(_CUTS) + 1), F.max(F.size(_CUTS))
-    ).first()
-    return HotKeys(keys, size, ranges, most) if count else NO_HOT_KEYS
+    size, ranges, most = keys.agg(F.sum(length), F.sum(F.size(_CUTS) + 1), F.max(F.size(_CUTS))).first()
+    return HotKeys(keys, size, ranges, most)
 
 
 def _cuts_up_to(position: Column, most: int) -> Column:

@@ -26,25 +26,25 @@ from salesflow.operators.hot_keys import (
     join_per_range,
     with_ranges,
 )
-
 ROWS_PER_RANGE = 4_000_000
+# Steps of a staircase kept in one row: 1 MB.
+STEPS = 1 << 16
 
 
 @dataclass(frozen=True)
 class _Gate:
-    """Rows before the gate, the maximum each (key, range) inherits, and how to apply both."""
+    """Rows before the gate, the time (and total) each (key, range) inherits, and how to apply it."""
 
     rows: DataFrame
     inherited: DataFrame | None
     bound: int | None
-    hot: HotKeys
-    key: str
     time: str
+    key: str
     order: WindowSpec
 
-    def passed(self, rows: DataFrame) -> DataFrame:
+    def passed(self) -> DataFrame:
         """The rows later than what their range inherits and than all before them in it."""
-        time = F.col(self.time)
+        rows, time = self.rows, F.col(self.time)
         if self.inherited is not None:
             # Most rows of an unordered hot key end here, ahead of the shuffle if this is a
             # broadcast join.
@@ -63,11 +63,13 @@ def _gate(
     df: DataFrame,
     key: str,
     time: str,
+    amount: str | None,
     arrival: Sequence[str],
     rows_per_range: int | None,
     state: DataFrame | None,
     state_rows: int | None,
 ) -> _Gate:
+    """The gate; with an ``amount`` its ranges inherit a total, ``_base``, too."""
     batch_only(df, "streaming.running.stream_running_totals")
     hot = NO_HOT_KEYS
     if rows_per_range is not None:
@@ -76,15 +78,51 @@ def _gate(
     rows = with_ranges(without_nulls(df, roles), key, arrival, hot)
     order = Window.partitionBy(key, RANGE).orderBy(*arrival)
     inherited = None
-    if hot.keys is not None:
+    if hot.keys is not None and amount is None:
         peaks = rows.where(HOT).groupBy(key, RANGE).agg(F.max(time).alias("_peak"))
         inherited = _carry(peaks, "_peak", F.max, key, hot, state, "last_time")
+    elif hot.keys is not None:
+        inherited = _times_and_totals(_staircases(rows.where(HOT), key, time, amount, order, arrival), key, hot, state)
     elif state is not None:
-        inherited = state.select(key, F.lit(0).alias(RANGE), F.col("last_time").alias("_peak"))
+        inherited = state.select(key, F.lit(0).alias(RANGE), F.col("last_time").alias("_peak"), F.col("total").alias("_base"))
+        inherited = inherited if amount is not None else inherited.drop("_base")
     bound = hot.range_rows
     if state is not None:
         bound = None if state_rows is None else bound + state_rows
-    return _Gate(rows, inherited, bound, hot, key, time, order)
+    return _Gate(rows, inherited, bound, time, key, order)
+
+
+def _staircases(rows: DataFrame, key: str, time: str, amount: str, order: WindowSpec, arrival: Sequence[str]) -> DataFrame:
+    """Of each (key, range) the steps: the times later than all before them in it, with the amounts up to and
+    with each. Whatever a range inherits, its rows that pass are the steps beyond that time. Blocks of
+    STEPS steps are a row: ``_times`` and ``_sums``, both sorted, with the sum ``_before`` and the last time ``_peak``.
+    The rows are read and shuffled once for them, however often a plan uses them."""
+    value = F.coalesce(F.col(amount), F.lit(0)).cast("bigint").alias("_value")
+    rows = rows.select(key, RANGE, *arrival, F.col(time).alias("_time"), value)
+    steps = rows.withColumn("_earlier", F.max("_time").over(_before(order))).where("_earlier IS NULL OR _time > _earlier")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    block = F.floor((F.row_number().over(order) - 1) / F.lit(STEPS)).cast("int")
+    steps = steps.withColumns({"_sum": F.sum("_value").over(so_far), "_block": block})
+    sorted_steps = F.array_sort(F.collect_list(F.struct("_time", "_sum")))
+    blocks = steps.groupBy(key, RANGE, "_block").agg(
+        sorted_steps.alias("_steps"), F.max("_time").alias("_peak"), F.min_by(F.col("_sum") - F.col("_value"), "_time").alias("_before")
+    )
+    return blocks.select(key, RANGE, "_block", F.col("_steps._time").alias("_times"), F.col("_steps._sum").alias("_sums"), "_peak", "_before")
+
+
+def _times_and_totals(blocks: DataFrame, key: str, hot: HotKeys, state: DataFrame | None) -> DataFrame:
+    """The time ``_peak`` and total ``_base`` that each (key, range) inherits. What a block adds for a time is a
+    binary search in its steps."""
+    peaks = blocks.groupBy(key, RANGE).agg(F.max("_peak").alias("_peak"))
+    times = _carry(peaks, "_peak", F.max, key, hot, state, "last_time")
+    given = blocks.drop("_peak").join(times.hint("shuffle_hash"), [key, RANGE])
+    halving = F.transform(F.sequence(F.lit(STEPS.bit_length() - 1), F.lit(0)), lambda i: F.call_function("shiftleft", F.lit(1), i))
+    time = F.col("_peak")
+    passed = F.aggregate(halving, F.lit(0), lambda at, n: F.when(F.get("_times", at + n - 1) <= time, at + n).otherwise(at))
+    added = F.element_at("_sums", -1) - F.coalesce(F.get("_sums", passed - 1), F.col("_before"))
+    sums = given.groupBy(key, RANGE).agg(F.sum(added).alias("_base"))
+    totals = _carry(sums, "_base", F.sum, key, hot, state, "total")
+    return times.join(totals, [key, RANGE], "left")
 
 
 def _carry(
@@ -134,8 +172,8 @@ def monotone_gate(
     persist it first if it is costly to compute. The search for hot keys runs Spark jobs when this
     is called, ahead of any action; ``rows_per_range=None`` runs none.
     """
-    gate = _gate(df, key, time, arrival_columns(arrival), rows_per_range, state, state_rows)
-    return gate.passed(gate.rows).select(*df.columns)
+    gate = _gate(df, key, time, None, arrival_columns(arrival), rows_per_range, state, state_rows)
+    return gate.passed().select(*df.columns)
 
 
 def dedupe_running_total(
@@ -151,22 +189,12 @@ def dedupe_running_total(
     state_rows: int | None = None,
 ) -> DataFrame:
     """``monotone_gate`` plus, in column ``total``, the key's total up to and with each row."""
-    gate = _gate(df, key, time, arrival_columns(arrival), rows_per_range, state, state_rows)
+    gate = _gate(df, key, time, amount, arrival_columns(arrival), rows_per_range, state, state_rows)
     value = F.coalesce(F.col(amount), F.lit(0)).cast("bigint")
     so_far = gate.order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = gate.passed(gate.rows).withColumn("_sum", F.sum(value).over(so_far))
-
-    inherited = None
-    if gate.hot.keys is not None:
-        # A second pass of the gate over four columns of the hot keys' rows.
-        hot_rows = gate.passed(gate.rows.where(HOT))
-        sums = hot_rows.groupBy(key, RANGE).agg(F.sum(value).alias("_base"))
-        inherited = _carry(sums, "_base", F.sum, key, gate.hot, state, "total")
-    elif state is not None:
-        inherited = state.select(key, F.lit(0).alias(RANGE), F.col("total").alias("_base"))
+    rows = gate.passed().withColumn("_sum", F.sum(value).over(so_far))
     grand = F.col("_sum")
-    if inherited is not None:
-        rows = join_per_range(rows, inherited, key, gate.bound)
+    if gate.inherited is not None:
         grand = grand + F.coalesce(F.col("_base"), F.lit(0))
     kept = [c for c in df.columns if c != total]
     return rows.select(*kept, narrow(grand, overflow).alias(total))
