@@ -85,7 +85,7 @@ def _copies(lines: DataFrame) -> DataFrame:
 
     Equal sets meet by a hash of the set. Of the others, two that are alike share one of their rarest keys
     (the prefix filter). Under such a key sets are compared with some of its sets, by hash, and those for
-    which none was found with eight times as many, until all have been tried: in a group of copies
+    which none was found with 64 times as many, until all have been tried: in a group of copies
     nearly all are settled by the first few.
     """
     keys = F.array_sort(F.collect_set("key"))
@@ -115,8 +115,8 @@ def _copies(lines: DataFrame) -> DataFrame:
         found = written(tried.where(_alike(F.col("keys"), F.col("pivot_keys"))).select("set").distinct(), "spread-alike")
         whole = whole.union(found)
         open_ = open_.join(found, "set", "left_anti")
-        low, high = high, 8 * high
-    return written(rows.join(whole, "set", "left_semi").select("row"), "spread-copies")
+        low, high = high, 64 * high
+    return rows.join(whole, "set", "left_semi").select("row")
 
 
 def remove_spread_lines(
@@ -133,7 +133,7 @@ def remove_spread_lines(
     ``n_spread`` and ``n_removed`` of the input are replaced.
     """
     lines = _lines(docs, id, text, site)
-    spread = written(_spread(lines, min_sites).select("key", F.lit(True).alias("spread")), "spread-keys")
+    spread = _spread(lines, min_sites).select("key", F.lit(True).alias("spread"))
     marked = lines.select("row", "key").join(spread, "key", "left").groupBy("row")
     bad = F.array_sort(F.collect_set(F.when(F.col("spread"), F.col("key"))))
     marked = marked.agg(F.count("*").alias("n"), F.count("spread").alias("s"), bad.alias("bad")).where("s > 0")

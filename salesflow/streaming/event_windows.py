@@ -56,8 +56,8 @@ def _processor(lateness: int):
             self.state = handle.getValueState("window", "total bigint, fired boolean")
 
         def _row(self, key, total=None, late=None, watermark=None):
-            columns = {"key": [key[0]], "end_millis": [key[1]], "total": [total], "late_records": [late], "watermark": [watermark]}
-            return pd.DataFrame(columns).astype({c: "Int64" for c in ("end_millis", "total", "late_records", "watermark")})
+            names = ["key", "end_millis", "total", "late_records", "watermark"]
+            return pd.DataFrame([(key[0], int(key[1]), total, late, watermark)], columns=names, dtype=object)
 
         def _wait(self, time):
             self.handle.registerTimer(time - 1)  # timers before the watermark expire: that is at `time`
@@ -70,7 +70,7 @@ def _processor(lateness: int):
             if end + lateness <= watermark:
                 yield self._row(key, late=records, watermark=watermark)
                 return
-            total, fired = self.state.get() if self.state.exists() else (0, False)
+            total, fired = self.state.get() or (0, False)
             total += amount
             if end <= watermark:
                 self.state.update((total, True))
@@ -81,9 +81,10 @@ def _processor(lateness: int):
                 self._wait(end)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            if not self.state.exists():
+            held = self.state.get()
+            if held is None:
                 return
-            total, fired = self.state.get()
+            total, fired = held
             if lateness and not fired:
                 self.state.update((total, True))
                 self._wait(int(key[1]) + lateness)

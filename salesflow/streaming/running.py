@@ -4,7 +4,7 @@ A micro-batch is cut into stretches of the arrival order, and ``(product, stretc
 Tasks boil each unit down to its staircase: the times that rose above all before them in it, with their
 amounts. Whatever time a stretch inherits, the records it lets through are the steps beyond that time, so a
 binary search tells what it adds. The stateful processor sees one such row per product and stretch, never
-records, and gives back what each stretch inherits. The records, in the same micro-batch, are then gated
+records, keeps each product's state in a map of its bucket of products, and gives back what each stretch inherits. The records, in the same micro-batch, are then gated
 and totalled by windows over ``(product, stretch)``: a hot product is as many tasks as it has stretches.
 """
 
@@ -27,6 +27,8 @@ KEY, TIME, AMOUNT, TOTAL = "ProductName", "EventProcessingTime", "SalesAmount",
 # Arrival numbers per stretch: a staircase has at most so many steps of 16 bytes for each topic partition.
 ROWS_PER_RANGE = 1 << 18
 STATE = "state"
+# The processor is called per bucket of products, as a call costs far more than a product in it. Fixed for a checkpoint.
+BUCKETS = 1024
 
 # Names without a leading underscore: the processor gets its rows as named tuples.
 _RANGE, _LAST, _BASE, _INHERITED = "arrival_range", "inherited_last", "inherited_total", "is_inherited"
@@ -85,40 +87,46 @@ def _staircases(key: str, arrival: Sequence[str]) -> Callable:
     return run
 
 
-def _processor(ttl_millis: int | None, wraps: bool):
+def _processor(key: T.StructField, ttl_millis: int | None, wraps: bool):
     # The class is made here so that it is sent to the workers by value.
     import numpy as np
     import pandas as pd
     from pyspark.sql.streaming import StatefulProcessor
 
-    class LastTimeAndTotal(StatefulProcessor):
-        """One product's last accepted time and total."""
+    class LastTimesAndTotals(StatefulProcessor):
+        """The last accepted time and total of each product of a bucket."""
 
         def init(self, handle) -> None:
             ttl = {} if ttl_millis is None else {"ttlDurationMs": ttl_millis}
-            self.state = handle.getValueState(STATE, "last_micros bigint, total bigint", **ttl)
+            self.state = handle.getMapState(STATE, T.StructType([key]), "last_micros bigint, total bigint", **ttl)
 
-        def handleInputRows(self, key, rows, timerValues):
-            units = [u for chunk in rows for u in zip(chunk[_RANGE], chunk["times"], chunk["amounts"], strict=True)]
-            last, total = self.state.get() if self.state.exists() else (None, 0)
-            out = []
+        def _follow(self, product, units, out):
+            last, total = self.state.getValue((product,)) or (None, 0)
             for number, times, amounts in sorted(units, key=lambda u: u[0]):
-                out.append((key[0], number, last, total))
+                out.append((product, number, last, total))
                 first = 0 if last is None else int(np.searchsorted(times, last, side="right"))
                 total += int(np.asarray(amounts[first:], dtype=np.int64).sum())
                 last = int(times[-1]) if last is None else max(last, int(times[-1]))
             if not -(1 << 63) <= total < 1 << 63:
                 if not wraps:
-                    raise OverflowError(f"the total of {key[0]} does not fit 64 bits: {total}")
+                    raise OverflowError(f"the total of {product} does not fit 64 bits: {total}")
                 total = (total + (1 << 63)) % (1 << 64) - (1 << 63)
-            self.state.update((last, total))
-            names = ["key", _RANGE, _LAST, _BASE]
-            yield pd.DataFrame(out, columns=names).astype({_RANGE: "int64", _LAST: "Int64", _BASE: "int64"})
+            self.state.updateValue((product,), (last, total))
+
+        def handleInputRows(self, bucket, rows, timerValues):
+            products: dict = {}
+            for chunk in rows:
+                for product, *unit in zip(chunk[key.name], chunk[_RANGE], chunk["times"], chunk["amounts"], strict=True):
+                    products.setdefault(product, []).append(unit)
+            out: list = []
+            for product, units in products.items():
+                self._follow(product, units, out)
+            yield pd.DataFrame(out, columns=["key", _RANGE, _LAST, _BASE], dtype=object)
 
         def close(self) -> None:
             pass
 
-    return LastTimeAndTotal()
+    return LastTimesAndTotals()
 
 
 def _with_range(sales: DataFrame, arrival: Sequence[str], rows_per_range: int | None) -> DataFrame:
@@ -139,12 +147,14 @@ def _with_inherited(sales: DataFrame, key: str, time: str, amount: str, arrival:
     unit = [T.StructField(key, key_type), T.StructField(_RANGE, T.LongType())]
     lists = [T.StructField(c, T.ArrayType(T.LongType())) for c in ("times", "amounts")]
     states = [T.StructField("key", key_type), *(T.StructField(c, T.LongType()) for c in (_RANGE, _LAST, _BASE))]
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
     inherited = (
         thin.repartition(key, _RANGE)
         .mapInArrow(_staircases(key, arrival), T.StructType(unit + lists))
-        .groupBy(key)
+        .withColumn("bucket", bucket)
+        .groupBy("bucket")
         .transformWithStateInPandas(
-            statefulProcessor=_processor(millis, overflow == "wrap"),
+            statefulProcessor=_processor(T.StructField(key, key_type), millis, overflow == "wrap"),
             outputStructType=T.StructType(states),
             outputMode="append",
             timeMode="none" if millis is None else "processingTime",
@@ -207,5 +217,7 @@ def read_state(spark: SparkSession, target: Target, key: str = KEY) -> DataFrame
     """key, ``last_time``, ``total`` of a running stream, as of its last committed micro-batch, read from its
     checkpoint by Spark's state reader."""
     state = spark.read.format("statestore").option("path", target.checkpoint).option("stateVarName", STATE).load()
-    value = "value.value" if "value" in state.schema["value"].dataType.names else "value"
-    return state.select(f"key.{key}", F.timestamp_micros(f"{value}.last_micros").alias("last_time"), f"{value}.total")
+    value = "user_map_value"
+    if "value" in state.schema[value].dataType.names:  # beside the time it expires
+        value = f"{value}.value"
+    return state.select(f"user_map_key.{key}", F.timestamp_micros(f"{value}.last_micros").alias("last_time"), f"{value}.total")
