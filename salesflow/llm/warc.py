@@ -23,7 +23,8 @@ from salesflow.llm.common import arrow_map, store, written
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILE_BYTES = 64 << 20
-RANGE_BYTES = 32 << 20
+READ_TASKS = 10_000
+RANGE_BYTES = 8 << 20
 READ_BYTES = 4 << 20
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -135,7 +136,9 @@ class _Bytes:
         return self.held
 
     def drop(self, start: int) -> None:
-        self.held, self.start = self.held[start - self.start :], start
+        """Let go of what is before a place, a few MB at a time: what is left is copied."""
+        if start - self.start >= READ_BYTES // 2:
+            self.held, self.start = self.held[start - self.start :], start
 
 
 def _unpack(source: _Bytes, at: int) -> tuple[bytes, int] | None:
@@ -247,19 +250,19 @@ def _read_ranges(with_payload: bool) -> Callable:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        types = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.binary()]
-        names = [x.split()[0] for x in RECORD.split(", ")]
+        types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.binary()]
+        names = ["range", *(x.split()[0] for x in RECORD.split(", "))]
 
         def out(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
         for batch in batches:
-            for path, size, start, stop in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for path, size, number, begin, stop in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 files, name = store(path)
                 held, weight = [], 0
                 with files.open_input_file(name) as file:
-                    for row in salvage(file, size, start, stop):
-                        held.append((path, *(row if with_payload else (*row[:-1], None))))
+                    for row in salvage(file, size, begin, stop):
+                        held.append((number, path, *(row if with_payload else (*row[:-1], None))))
                         weight += 300 + len(held[-1][-1] or b"")
                         if weight >= READ_BYTES:
                             yield out(held)
@@ -270,15 +273,49 @@ def _read_ranges(with_payload: bool) -> Callable:
     return run
 
 
+def _records(ranges: DataFrame, with_payload: bool) -> DataFrame:
+    """The records of each (path, length, start, begin, stop), with the range's ``start`` as ``range``."""
+    tasks = max(1, min(ranges.count(), READ_TASKS))  # a number, or adaptive execution would merge these few rows into one task
+    ranges = ranges.select("path", "length", "start", "begin", "stop").repartition(tasks, "path", "start")
+    return arrow_map(ranges, _read_ranges(with_payload), f"range long, {RECORD}")
+
+
+def _aligned(ranges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The records without payloads, and the ranges with the place at which each has to ``begin``.
+
+    A range that starts inside a record may take what is in that record's payload for records of the file. It has to
+    begin where the last record of the ranges before it ends, and is read again from there if it found
+    anything earlier, until all ranges agree with those before them: in each round the first of a
+    file that does not is put right.
+    """
+    ranges = written(ranges.withColumn("begin", F.col("start")), "warc-ranges")
+    found = written(_records(ranges, False), "warc-found")
+    while True:
+        ends = found.groupBy("path", F.col("range").alias("start")).agg(F.min("offset").alias("first"), F.max("end").alias("last"))
+        before = F.max("last").over(Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+        due = F.greatest("start", F.coalesce(before, "start"))
+        checked = ranges.join(ends, ["path", "start"], "left").withColumn("due", due)
+        unharmed = (F.col("begin") == F.col("start")) & (F.col("first").isNull() | (F.col("first") >= F.col("due")))
+        checked = written(checked.withColumn("wrong", (F.col("begin") != F.col("due")) & ~unharmed), "warc-checked")
+        again = checked.where("wrong").select("path", "length", "start", F.col("due").alias("begin"), "stop")
+        if again.isEmpty():
+            return found.drop("range"), ranges
+        right = checked.where("NOT wrong").select(again.columns[:3] + ["begin", "stop"])
+        wrong = again.select("path", F.col("start").alias("range"))
+        found = written(found.join(F.broadcast(wrong), ["path", "range"], "left_anti").select(found.columns).union(_records(again, False)), "warc-found")
+        ranges = written(right.union(again), "warc-ranges")
+
+
 def read_archives(spark: SparkSession, folder: str, with_payload: bool = True, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The valid records of the ``.warc`` and ``.warc.gz`` files below a folder: path, byte offset and
     end, type, ids, uri, payload digest (bare base32), payload size, and the payload (null for revisits
-    and without ``with_payload``). An empty folder gives no rows."""
+    and without ``with_payload``). An empty folder gives no rows. Whatever ``range_bytes``, they are those that reading each
+    file from its start gives. With payloads the archives are read twice, as payloads are not written in between."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").option("recursiveFileLookup", "true").load(folder)
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(range_bytes).cast("long")))
     ranges = files.select("path", "length").select("path", "length", each.alias("start"))
-    ranges = ranges.select("path", "length", "start", F.least("length", F.col("start") + range_bytes).alias("stop"))
-    return arrow_map(ranges.repartition("path", "start"), _read_ranges(with_payload), RECORD)
+    found, ranges = _aligned(ranges.withColumn("stop", F.least("length", F.col("start") + range_bytes)))
+    return _records(ranges, True).drop("range") if with_payload else found
 
 
 def gaps(spark: SparkSession, folder: str, records: DataFrame) -> DataFrame:

@@ -56,6 +56,37 @@ def test_salvage_skips_what_is_broken(packed):
         assert all(warc.digest(row[-1]) == row[6] for row in found)
 
 
+@pytest.mark.parametrize("range_bytes", [400, 517, 1000, 10**6])
+@pytest.mark.parametrize("packed", [False, True])
+def test_records_do_not_depend_on_ranges(spark, tmp_path, range_bytes, packed):
+    """Whole records within payloads, some reaching beyond where their host ends, are no records of the file."""
+    inner = [warc.record("response", f"urn:page:{900 + i}", f"inner {i} ".encode() * 30) for i in range(4)]
+    hosts = [warc.record("response", f"urn:page:{i}", b"x" * 300 * i + inner[i] + b"y" * 200) for i in range(4)]
+    cut = warc.record("response", "urn:page:800", b"z" * 900)[:400]  # claims bytes of what follows it
+    hosts.insert(2, warc.record("response", "urn:page:7", b"q" * 700 + cut))
+    (tmp_path / "a.warc").write_bytes(b"".join(warc.member(h) if packed else h for h in hosts))
+    (tmp_path / "b.warc").write_bytes(hosts[1])
+    for with_payload in (False, True):
+        records = warc.read_archives(spark, str(tmp_path), with_payload, range_bytes).collect()
+        found = sorted((r.path.rsplit("/")[-1], r.record_id) for r in records)
+        assert found == sorted([("a.warc", f"urn:page:{i}") for i in (0, 1, 2, 3, 7)] + [("b.warc", "urn:page:1")])
+        assert not with_payload or all(warc.digest(bytes(r.payload)) == r.payload_digest for r in records)
+
+
+def test_an_empty_folder_has_no_records(spark, tmp_path):
+    assert warc.read_archives(spark, str(tmp_path)).count() == 0
+
+
+def test_repeated_rows_of_the_largest_id_are_responses(spark):
+    folder = work_dir(spark, "warc-repeated")
+    rows = [(9, "u", "<p>same</p>"), (9, "u", "<p>same</p>"), (4, "u", "<p>same</p>")]
+    warc.write_archives(pages(spark, rows), folder)
+    records = warc.read_archives(spark, folder, with_payload=False).collect()
+    assert sorted((r.record_id, r.type, r.refers_to) for r in records) == [
+        ("urn:page:4", "revisit", "urn:page:9"), ("urn:page:9", "response", None), ("urn:page:9", "response", None)
+    ]
+
+
 def test_gaps_are_reported(spark, tmp_path):
     good = [warc.member(warc.record("response", f"urn:page:{i}", b"x" * 50)) for i in range(3)]
     (tmp_path / "a.warc.gz").write_bytes(good[0] + b"?" * 40 + good[1] + good[2][:-9])
@@ -148,3 +179,18 @@ def test_pipeline_with_odd_rows(spark, testdata):
     for _, stage in corpus_pipeline.STAGES[:3]:
         docs = stage(spark, docs, folder)
     assert sorted(str(r.doc_id) for r in docs.collect()) == ["1", "3", "None"]
+
+
+def test_pipeline_stages_decide_by_row(spark):
+    """One id with unlike texts, null ids and equal rows: no text is lost with another's group, none is taken too often."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(12)) for x in "abc")
+    rows = [(1, a), (1, b), (2, b + " more"), (None, c), (None, c), (None, a), (3, None), (3, ""), (None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], schema)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (1, b), (None, c), (3, None), (3, ""), (None, None)], key=str)
+    many = [(None, "w x y", "en", "s", 5)] * 40 + [(7, f"w{i} x y", "en", "t", 5) for i in range(40)]
+    mixed = corpus_pipeline.mix_sources(spark, spark.createDataFrame(many, schema), "").collect()
+    assert sum(r.source == "s" for r in mixed) == 80 and sum(r.source == "t" for r in mixed) == 40
+    none = docs.limit(0)
+    assert corpus_pipeline.drop_near_duplicates(spark, none, "").count() == corpus_pipeline.mix_sources(spark, none, "").count() == 0
