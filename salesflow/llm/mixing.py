@@ -67,7 +67,8 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, ratio: float = RA
 
 def fit_counts(size: np.ndarray, count: np.ndarray, budget: int, width: int = DP_WIDTH) -> np.ndarray:
     """How many documents of each size to take so that sizes sum to ``budget``, or as near below as
-    can be with the documents left to the dynamic program. Sizes are distinct."""
+    can be with the documents left to the dynamic program. Sizes are distinct. The program is given at least
+    ``width`` words of what proportional shares leave, or all if there are fewer; no size is preferred before it."""
     taken = np.zeros(len(size), dtype=np.int64)
     total = int((size * count).sum())
     if budget <= 0 or not total:
@@ -77,13 +78,16 @@ def fit_counts(size: np.ndarray, count: np.ndarray, budget: int, width: int = DP
     taken = np.array([c * budget // total if s else 0 for s, c in zip(size.tolist(), count.tolist(), strict=True)], dtype=np.int64)
     rest = budget - int((size * taken).sum())
     order = np.argsort(-size, kind="stable")
-    for i in order:  # sizes that are missing in bulk, largest first
-        if rest <= width:
-            break
-        if size[i]:
-            more = min(int(count[i] - taken[i]), -(-(rest - width) // int(size[i])), rest // int(size[i]))
-            taken[i] += more
-            rest -= more * int(size[i])
+    if rest > width:  # more than the program holds: all but that by share of what is left, fractions carried to the next smaller size
+        left = np.where(size > 0, count - taken, 0)
+        share, carried = (rest - width) / int((size * left).sum()), 0.0
+        for i in order:
+            if left[i]:
+                carried += share * int(size[i]) * int(left[i])
+                more = min(int(left[i]), int(carried // int(size[i])))
+                taken[i] += more
+                carried -= more * int(size[i])
+        rest = budget - int((size * taken).sum())
     reach = np.zeros(rest + 1, dtype=bool)
     reach[0] = True
     by = np.full(rest + 1, -1, dtype=np.int64)  # the item that first reached a sum

@@ -107,6 +107,22 @@ def test_budget_fit_is_as_good_as_brute_force():
     assert mixing.fit_counts(np.array([0, 3]), np.array([5, 10**6]), 1_000_001).tolist() == [0, 333_333]
 
 
+def test_a_wide_rest_is_shared_and_met_exactly():
+    rng = np.random.default_rng(8)
+    for width in (10, 500, 100_000):
+        size = np.unique(rng.integers(1, 20_000, 900))
+        count = rng.integers(1, 3, len(size))
+        for part in (0.1, 0.25, 0.7):
+            budget = int(part * (size * count).sum())
+            taken = mixing.fit_counts(size, count, budget, width)
+            assert (taken >= 0).all() and (taken <= count).all()
+            met = int((size * taken).sum())
+            assert met <= budget and (met == budget if width > 10 else budget - met <= size.max())
+            half = len(size) // 2  # neither long nor short documents are preferred
+            shares = [(size[h] * taken[h]).sum() / (size[h] * count[h]).sum() for h in (slice(0, half), slice(half, None))]
+            assert abs(shares[0] - part) < 0.15 and abs(shares[1] - part) < 0.15
+
+
 def water_fill(sizes, ratio=1.5, weights=(5, 2, 1)):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[i % 3] for i, s in enumerate(order)}
