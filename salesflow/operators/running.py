@@ -26,6 +26,8 @@ from salesflow.operators.hot_keys import (
     join_per_range,
     with_ranges,
 )
+from salesflow.session import work_dir
+
 ROWS_PER_RANGE = 4_000_000
 # Steps of a staircase kept in one row: 1 MB.
 STEPS = 1 << 16
@@ -82,7 +84,9 @@ def _gate(
         peaks = rows.where(HOT).groupBy(key, RANGE).agg(F.max(time).alias("_peak"))
         inherited = _carry(peaks, "_peak", F.max, key, hot, state, "last_time")
     elif hot.keys is not None:
-        inherited = _times_and_totals(_staircases(rows.where(HOT), key, time, amount, order, arrival), key, hot, state)
+        # Nulls fail the result, not this: it is computed ahead of it.
+        stairs = _staircases(with_ranges(df, key, arrival, hot).where(HOT), key, time, amount, order, arrival)
+        inherited = _times_and_totals(stairs, key, hot, state)
     elif state is not None:
         inherited = state.select(key, F.lit(0).alias(RANGE), F.col("last_time").alias("_peak"), F.col("total").alias("_base"))
         inherited = inherited if amount is not None else inherited.drop("_base")
@@ -96,7 +100,7 @@ def _staircases(rows: DataFrame, key: str, time: str, amount: str, order: Window
     """Of each (key, range) the steps: the times later than all before them in it, with the amounts up to and
     with each. Whatever a range inherits, its rows that pass are the steps beyond that time. Blocks of
     STEPS steps are a row: ``_times`` and ``_sums``, both sorted, with the sum ``_before`` and the last time ``_peak``.
-    The rows are read and shuffled once for them, however often a plan uses them."""
+    Written at once, so that the rows are read and sorted for them only here."""
     value = F.coalesce(F.col(amount), F.lit(0)).cast("bigint").alias("_value")
     rows = rows.select(key, RANGE, *arrival, F.col(time).alias("_time"), value)
     steps = rows.withColumn("_earlier", F.max("_time").over(_before(order))).where("_earlier IS NULL OR _time > _earlier")
@@ -107,7 +111,10 @@ def _staircases(rows: DataFrame, key: str, time: str, amount: str, order: Window
     blocks = steps.groupBy(key, RANGE, "_block").agg(
         sorted_steps.alias("_steps"), F.max("_time").alias("_peak"), F.min_by(F.col("_sum") - F.col("_value"), "_time").alias("_before")
     )
-    return blocks.select(key, RANGE, "_block", F.col("_steps._time").alias("_times"), F.col("_steps._sum").alias("_sums"), "_peak", "_before")
+    blocks = blocks.select(key, RANGE, "_block", F.col("_steps._time").alias("_times"), F.col("_steps._sum").alias("_sums"), "_peak", "_before")
+    path = work_dir(rows.sparkSession, "staircases")
+    blocks.write.parquet(path)
+    return rows.sparkSession.read.schema(blocks.schema).parquet(path)
 
 
 def _times_and_totals(blocks: DataFrame, key: str, hot: HotKeys, state: DataFrame | None) -> DataFrame:
@@ -122,7 +129,7 @@ def _times_and_totals(blocks: DataFrame, key: str, hot: HotKeys, state: DataFram
     added = F.element_at("_sums", -1) - F.coalesce(F.get("_sums", passed - 1), F.col("_before"))
     sums = given.groupBy(key, RANGE).agg(F.sum(added).alias("_base"))
     totals = _carry(sums, "_base", F.sum, key, hot, state, "total")
-    return times.join(totals, [key, RANGE], "left")
+    return times.join(totals.hint("shuffle_hash"), [key, RANGE], "left")
 
 
 def _carry(
@@ -169,8 +176,8 @@ def monotone_gate(
 
     ``state``, as ``key_state`` gives it, continues from earlier data; ``state_rows`` is an upper
     bound on its rows, if known. ``df`` is read several times, each time fewer columns: land or
-    persist it first if it is costly to compute. The search for hot keys runs Spark jobs when this
-    is called, ahead of any action; ``rows_per_range=None`` runs none.
+    persist it first if it is costly to compute. The search for hot keys, and for totals the staircases of
+    those found, run Spark jobs when this is called, ahead of any action; ``rows_per_range=None`` runs none.
     """
     gate = _gate(df, key, time, None, arrival_columns(arrival), rows_per_range, state, state_rows)
     return gate.passed().select(*df.columns)
