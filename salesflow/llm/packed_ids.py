@@ -15,7 +15,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm.common import arrow_map, store, written
+from salesflow.llm.common import BATCH_BYTES, arrow_map, store, written
+from salesflow.llm.words import slices
 
 MAGIC = b"S8BIDS01"
 BLOCK = 1 << 16
@@ -25,6 +26,7 @@ BITS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 ESCAPE = 15
 READ_BLOCKS = 64
 UNITS_HELD = 600_000
+NEW_PARTS = 50_000
 SPACE = " \n\t\r"
 _FOOTER = struct.Struct("<qqqq8s")  # documents, blocks, offset of the document table, ids, magic
 
@@ -168,12 +170,39 @@ class Reader:
             yield int(self.keys[d]) if self.known[d] else None, start, ids
 
 
+def _bytes(*values) -> np.ndarray:
+    out = np.zeros(256, dtype=bool)
+    for value in values:
+        out[list(value) if isinstance(value, bytes | range) else value] = True
+    return out
+
+
+_GAP, _LETTER, _MARK = _bytes(SPACE.encode()), _bytes(range(65, 91), range(97, 123)), _bytes(b".,;:!?)")
+# First bytes of white space other than SPACE, and of much else.
+_MAY_BE_ODD = _bytes(0x0B, 0x0C, range(0x1C, 0x20), 0xC2, range(0xE1, 0xE4))
+
+
+def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where parts begin: at texts that are not empty, at white space behind something else, and at a mark behind
+    a letter (ASCII, or U+00C0 to U+00FF but for the two signs among them)."""
+    gap = _GAP[data]
+    begin = np.zeros(len(data), dtype=bool)
+    begin[1:] = gap[1:] & ~gap[:-1]
+    letter = _LETTER[data]
+    latin = (data >= 0x80) & (data <= 0xBF) & (data != 0x97) & (data != 0xB7)
+    letter[1:] |= latin[1:] & (data[:-1] == 0xC3)
+    begin[1:] |= letter[:-1] & _MARK[data[1:]]
+    begin[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
+    return np.flatnonzero(begin).astype(np.int64)
+
+
 class Encoder:
-    """Ids by the tokenizers library. Texts are cut where a space or newline follows another character,
-    where a pre-token always begins, and equal parts are encoded once per worker. New parts are
-    encoded as one text and told apart by the bytes their ids stand for, unless they have no space in
-    front or nothing else: what such a part gives depends on its neighbours. With ``added`` the file's
-    added tokens are matched, as the library does by itself, and a text with one is encoded whole."""
+    """Ids by the tokenizers library. Texts are cut where a space or newline follows another character and where
+    a mark follows a letter: a pre-token always begins there. The parts of a batch are told apart by Arrow, and
+    only distinct ones are looked up; new ones are encoded as one text and told apart by the bytes their ids stand
+    for, unless they have no space in front or nothing else: what such a part gives depends on its neighbours.
+    Parts are held in two generations: a part that is not met again while UNITS_HELD others are goes. With
+    ``added`` the file's added tokens are matched, as the library does by itself, and a text with one is encoded whole."""
 
     def __init__(self, raw: str, added: bool = False):
         import re
@@ -182,11 +211,11 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(raw)
         self.tokenizer.encode_special_tokens = not added
-        self.parts = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
         self.odd = re.compile("[^\\S \\n\\t\\r]|[\x1c-\x1f]")  # other white space: such a text is encoded as one
         known = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
-        self.added = re.compile("|".join(map(re.escape, known))) if known else None
+        self.added = re.compile("|".join(map(re.escape, known)).encode()) if known else None
         self.held: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         tokens = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
         self.width = np.asarray([len(t or "") for t in tokens], dtype=np.int64)  # a character is a byte in its tokens
 
@@ -194,11 +223,11 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, dtype="<u4").tobytes() for x in found]
 
-    def _hold(self, parts: list[str]) -> None:
+    def _new(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
         joined = [p for p in parts if p[0] in SPACE and p[-1] not in SPACE]
         alone = [p for p in parts if p[0] not in SPACE or p[-1] in SPACE]
         if alone:
-            self.held.update(zip(alone, self._ids(alone), strict=True))
+            yield from zip(alone, self._ids(alone), strict=True)
         if joined:
             data = self._ids(["".join(joined)])[0]
             ends = np.cumsum(self.width[np.frombuffer(data, dtype="<u4")])
@@ -207,19 +236,70 @@ class Encoder:
             if stops[-1] != len(ends) - 1 or (ends[stops] != bounds).any():
                 raise ValueError("token ids run over the end of a word")
             stops = (4 * (stops + 1)).tolist()
-            self.held.update((p, data[a:z]) for p, a, z in zip(joined, [0, *stops], stops, strict=False))
+            yield from ((p, data[a:z]) for p, a, z in zip(joined, [0, *stops], stops, strict=False))
+
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """The ids of distinct parts."""
+        if len(self.held) > UNITS_HELD:
+            self.older, self.held = self.held, {}
+        found = list(map(self.held.get, parts))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            fresh = {p: ids for p in map(parts.__getitem__, missing) if (ids := self.older.get(p)) is not None}
+            new = [p for p in map(parts.__getitem__, missing) if p not in fresh]
+            for a in range(0, len(new), NEW_PARTS):
+                fresh.update(self._new(new[a : a + NEW_PARTS]))
+            self.held.update(fresh)
+            for i in missing:
+                found[i] = fresh[parts[i]]
+        return found
+
+    def _whole(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Rows that are encoded as one text."""
+        rows = np.unique(np.searchsorted(offsets, np.flatnonzero(_MAY_BE_ODD[data]), side="right") - 1)
+        odd = [r for r in rows.tolist() if self.odd.search(data[offsets[r] : offsets[r + 1]].tobytes().decode())]
+        at = [m.start() for m in self.added.finditer(data)] if self.added else []
+        whole = np.zeros(len(offsets) - 1, dtype=bool)
+        whole[odd] = True
+        for r in set((np.searchsorted(offsets, at, side="right") - 1).tolist()):
+            whole[r] |= self.added.search(data[offsets[r] : offsets[r + 1]].tobytes()) is not None
+        return whole
+
+    def batch(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+        """The ids of each text, in order; the texts are ``data`` in UTF-8, cut at ``offsets``."""
+        import pyarrow as pa
+
+        rows = len(offsets) - 1
+        if not len(data):
+            yield from (np.zeros(0, dtype="<u4") for _ in range(rows))
+            return
+        whole = self._whole(data, offsets)
+        starts = part_starts(data, offsets)
+        owner = np.searchsorted(offsets, starts, side="right") - 1
+        bounds = np.append(starts, len(data))
+        parts = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data)))
+        if whole.any():
+            kept = ~whole[owner]
+            parts, owner = parts.filter(pa.array(kept)), owner[kept]
+        parts = parts.dictionary_encode()
+        found = self._known(parts.dictionary.to_pylist())
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        first = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join(found), dtype="<u4")
+        code = np.asarray(parts.indices)
+        n = size[code]
+        before = np.cumsum(n) - n
+        ids = flat[np.repeat(first[code] - before, n) + np.arange(int(n.sum()))]
+        stops = np.cumsum(np.bincount(owner, weights=n, minlength=rows).astype(np.int64))
+        for r, (a, z) in enumerate(zip([0, *stops.tolist()], stops.tolist(), strict=False)):
+            if whole[r]:
+                yield np.frombuffer(self._ids([data[offsets[r] : offsets[r + 1]].tobytes().decode()])[0], dtype="<u4")
+            else:
+                yield ids[a:z]
 
     def __call__(self, text: str) -> np.ndarray:
-        if self.odd.search(text) or self.added and self.added.search(text):
-            return np.frombuffer(self._ids([text])[0], dtype="<u4")
-        parts = self.parts.findall(text)
-        new = list(set(parts).difference(self.held))
-        if new:
-            if len(self.held) > UNITS_HELD:
-                self.held.clear()
-                new = list(set(parts))
-            self._hold(new)
-        return np.frombuffer(b"".join(map(self.held.__getitem__, parts)), dtype="<u4")
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        return next(self.batch(data, np.array([0, len(data)], dtype=np.int64)))
 
 
 _encoders: dict[int, Encoder] = {}
@@ -240,13 +320,14 @@ def _write_files(folder: str, tokenizer, end_id: int, added: bool) -> Callable:
         files, root = store(folder)
         end = np.asarray([end_id], dtype=np.uint32)
         for batch in batches:
-            for part in range(0, len(batch), 500):
-                for key, text in zip(*(c.to_pylist() for c in batch.slice(part, 500).columns), strict=True):
-                    if writer is None:
-                        files.create_dir(root, recursive=True)
-                        temporary = f"{root}/_{context.partitionId()}-{context.taskAttemptId()}"
-                        writer = Writer(files.open_output_stream(temporary, compression=None))
-                    writer.add(key, np.concatenate([encode(text or ""), end]))
+            if len(batch) and writer is None:
+                files.create_dir(root, recursive=True)
+                temporary = f"{root}/_{context.partitionId()}-{context.taskAttemptId()}"
+                writer = Writer(files.open_output_stream(temporary, compression=None))
+            for at, data, offsets in slices(batch.column(1), BATCH_BYTES):
+                keys = batch.column(0).slice(at, len(offsets) - 1).to_pylist()
+                for key, ids in zip(keys, encode.batch(data, offsets), strict=True):
+                    writer.add(key, np.concatenate([ids, end]))
         if writer is not None:
             documents, ids, blocks = writer.close()
             name = f"part-{context.partitionId():06d}.s8b"
@@ -308,10 +389,13 @@ def read_ids(spark: SparkSession, folder: str, manifest: DataFrame, id: str = "d
     """(id, ``start``, ``n_tokens``, ``ids``) of every document of the files: ids of all documents before
     it, its own, and they themselves as little-endian unsigned 32-bit integers. Runs of blocks are read
     in parallel. One manifest row per file comes to the driver, which adds up where files start."""
-    starts, before = [], 0
+    files, before, runs = [], 0, 0
     for row in sorted(manifest.collect()):
-        starts += [(row.file, before, a, a + READ_BLOCKS) for a in range(0, max(row.blocks, 1), READ_BLOCKS)]
+        files.append((row.file, before, max(row.blocks, 1)))
         before += row.ids
-    runs = spark.createDataFrame(starts, "file string, base long, first long, stop long")
-    found = arrow_map(runs.repartition(max(len(starts), 1), "file", "first"), _read_files(folder), "id long, start long, n_tokens long, ids binary")
+        runs += -(-max(row.blocks, 1) // READ_BLOCKS)
+    first = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1, F.lit(READ_BLOCKS))).alias("first")
+    starts = spark.createDataFrame(files, "file string, base long, blocks long").select("file", "base", first)
+    starts = starts.select("file", "base", F.col("first").cast("long"), (F.col("first") + READ_BLOCKS).cast("long").alias("stop"))
+    found = arrow_map(starts.repartition(max(runs, 1), "file", "first"), _read_files(folder), "id long, start long, n_tokens long, ids binary")
     return found.withColumnRenamed("id", id)

@@ -105,6 +105,28 @@ def test_added_tokens_are_matched_as_the_library_does(spark, tmp_path):
     assert got == want and 50256 in library.encode(texts[0], add_special_tokens=False).ids
 
 
+PIECES = ["a", "B", "é", "×", "÷", "ß", " ", "  ", "\n", "\t", "\r", "\xa0", "\u2003", "\u3000", "\x0b", "\x1c", "\x85", ".", ",", "'s", "'", "'ll", "!"]
+PIECES += ["?", ")", "(", "…", "“", "1", "23", "ñ", "<|endoftext|>", "<|", "日本", "ÿ", "À", "\u0301", "²", "ª", "😀", "word", "The"]
+
+
+@pytest.mark.parametrize("held, size", [(50, 300), (600_000, 100_000)])
+def test_batches_give_what_the_library_gives(monkeypatch, held, size):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from salesflow.llm.words import slices
+
+    monkeypatch.setattr(packed_ids, "UNITS_HELD", held)
+    monkeypatch.setattr(packed_ids, "NEW_PARTS", 40)
+    with open(tokenizers_data.path(TOKENIZER)) as file:
+        raw = file.read()
+    rng = np.random.default_rng(held)
+    texts = ["".join(rng.choice(PIECES, int(rng.integers(0, 30)))) for _ in range(4_000)] + [None, "", "word. " * 50_000]
+    encoder = packed_ids.Encoder(raw, added=True)
+    got = [ids.tolist() for _, data, offsets in slices(pa.array(texts), size) for ids in encoder.batch(data, offsets)]
+    assert got == [x.ids for x in Tokenizer.from_str(raw).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
 def test_documents_longer_than_blocks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(packed_ids, "BLOCK", 50)
     from pyarrow import fs
