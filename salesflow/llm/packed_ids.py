@@ -24,6 +24,7 @@ BLOCK = 1 << 16
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BITS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 ESCAPE = 15
+_STEPS = np.asarray([*COUNTS, 0, 1], dtype=np.int32)
 READ_BLOCKS = 64
 UNITS_HELD = 600_000
 NEW_PARTS = 50_000
@@ -37,31 +38,31 @@ def pack(ids: np.ndarray) -> np.ndarray:
     n = len(ids)
     if not n:
         return np.zeros(0, dtype=np.uint64)
-    width = np.zeros(n, dtype=np.uint8)  # bits of each id, at least 1
-    for bits in (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30):
-        width[ids >= np.uint64(1 << bits)] = bits + 1
     huge = ids >= np.uint64(1 << 60)
-    width[huge] = 61
-    selector = np.full(n, len(COUNTS) - 1, dtype=np.int64)
+    if int(ids.max()) < 1 << 53:  # exact as double
+        width = np.frexp(ids.astype(np.float64))[1].astype(np.uint8)  # bits of each id
+    else:
+        width = np.zeros(n, dtype=np.uint8)
+        for bits in (0, *BITS[:-1]):
+            width[ids >= np.uint64(1 << bits)] = bits + 1
+        width[huge] = 61
     widest, have = width.copy(), 1  # widest of the next `have` ids
     open_ = np.ones(n, dtype=bool)
-    best = np.full(n, len(COUNTS) - 1, dtype=np.int64)
+    selector = np.full(n, len(COUNTS) - 1, dtype=np.uint8)
     for s in range(len(COUNTS) - 1, -1, -1):
         while have < min(COUNTS[s], n):
             widest[: n - have] = np.maximum(widest[: n - have], width[have:])
             have += 1
         fits = open_ & (widest <= BITS[s])
         fits[max(n - COUNTS[s] + 1, 0) :] = False
-        best[fits] = s
-    selector = best
-    step = np.asarray(COUNTS)[selector]
-    selector[huge], step[huge] = ESCAPE, 1
-    jump, at, starts = (np.arange(n) + step).tolist(), 0, []
+        selector[fits] = s
+    selector[huge] = ESCAPE
+    jump, at, starts = (np.arange(n, dtype=np.int32) + _STEPS[selector]).data, 0, []
     while at < n:
         starts.append(at)
         at = jump[at]
     starts = np.asarray(starts)
-    chosen = selector[starts]
+    chosen = selector[starts].astype(np.int64)
     place = np.arange(len(starts)) + np.concatenate([[0], np.cumsum(chosen == ESCAPE)[:-1]])
     words = np.zeros(int(place[-1]) + 1 + int(chosen[-1] == ESCAPE), dtype=np.uint64)
     words[place] = chosen.astype(np.uint64) << np.uint64(60)
@@ -70,8 +71,10 @@ def pack(ids: np.ndarray) -> np.ndarray:
         if s == ESCAPE:
             words[place[mine] + 1] = ids[starts[mine]]
             continue
+        filled, first = words[place[mine]], starts[mine]
         for k in range(COUNTS[s]):
-            words[place[mine]] |= ids[starts[mine] + k] << np.uint64(k * BITS[s])
+            filled |= ids[first + k] << np.uint64(k * BITS[s])
+        words[place[mine]] = filled
     return words
 
 
@@ -94,8 +97,9 @@ def unpack(words: np.ndarray) -> np.ndarray:
             out[start[mine]] = words[place[mine] + 1]
             continue
         mask = np.uint64((1 << BITS[s]) - 1)
+        filled, first = words[place[mine]], start[mine]
         for k in range(COUNTS[s]):
-            out[start[mine] + k] = (words[place[mine]] >> np.uint64(k * BITS[s])) & mask
+            out[first + k] = (filled >> np.uint64(k * BITS[s])) & mask
     return out
 
 
@@ -188,10 +192,9 @@ def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     gap = _GAP[data]
     begin = np.zeros(len(data), dtype=bool)
     begin[1:] = gap[1:] & ~gap[:-1]
-    letter = _LETTER[data]
-    latin = (data >= 0x80) & (data <= 0xBF) & (data != 0x97) & (data != 0xB7)
-    letter[1:] |= latin[1:] & (data[:-1] == 0xC3)
-    begin[1:] |= letter[:-1] & _MARK[data[1:]]
+    mark = np.flatnonzero(_MARK[data[1:]]) + 1
+    last, ahead = data[mark - 1], data[np.maximum(mark - 2, 0)]
+    begin[mark[_LETTER[last] | (ahead == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7)]] = True
     begin[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
     return np.flatnonzero(begin).astype(np.int64)
 
@@ -224,8 +227,9 @@ class Encoder:
         return [np.asarray(x.ids, dtype="<u4").tobytes() for x in found]
 
     def _new(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
-        joined = [p for p in parts if p[0] in SPACE and p[-1] not in SPACE]
-        alone = [p for p in parts if p[0] not in SPACE or p[-1] in SPACE]
+        joined, alone = [], []
+        for p in parts:
+            (joined if p[0] in SPACE and p[-1] not in SPACE else alone).append(p)
         if alone:
             yield from zip(alone, self._ids(alone), strict=True)
         if joined:
@@ -245,13 +249,14 @@ class Encoder:
         found = list(map(self.held.get, parts))
         missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
-            fresh = {p: ids for p in map(parts.__getitem__, missing) if (ids := self.older.get(p)) is not None}
-            new = [p for p in map(parts.__getitem__, missing) if p not in fresh]
+            wanted = list(map(parts.__getitem__, missing))
+            fresh = {p: ids for p in wanted if (ids := self.older.get(p)) is not None} if self.older else {}
+            new = [p for p in wanted if p not in fresh] if fresh else wanted
             for a in range(0, len(new), NEW_PARTS):
                 fresh.update(self._new(new[a : a + NEW_PARTS]))
             self.held.update(fresh)
-            for i in missing:
-                found[i] = fresh[parts[i]]
+            for i, p in zip(missing, wanted, strict=True):
+                found[i] = fresh[p]
         return found
 
     def _whole(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -275,23 +280,24 @@ class Encoder:
             return
         whole = self._whole(data, offsets)
         starts = part_starts(data, offsets)
-        owner = np.searchsorted(offsets, starts, side="right") - 1
+        per_row = np.searchsorted(starts, offsets)
         bounds = np.append(starts, len(data))
         parts = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data)))
         if whole.any():
-            kept = ~whole[owner]
-            parts, owner = parts.filter(pa.array(kept)), owner[kept]
+            count = np.diff(per_row)
+            parts = parts.filter(pa.array(~np.repeat(whole, count)))
+            per_row = np.concatenate([[0], np.cumsum(np.where(whole, 0, count))])
         parts = parts.dictionary_encode()
-        found = self._known(parts.dictionary.to_pylist())
+        found = self._known(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
         size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
         first = np.cumsum(size) - size
         flat = np.frombuffer(b"".join(found), dtype="<u4")
         code = np.asarray(parts.indices)
         n = size[code]
-        before = np.cumsum(n) - n
-        ids = flat[np.repeat(first[code] - before, n) + np.arange(int(n.sum()))]
-        stops = np.cumsum(np.bincount(owner, weights=n, minlength=rows).astype(np.int64))
-        for r, (a, z) in enumerate(zip([0, *stops.tolist()], stops.tolist(), strict=False)):
+        before = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat(first[code] - before[:-1], n) + np.arange(before[-1])]
+        bounds = before[per_row].tolist()
+        for r, (a, z) in enumerate(zip(bounds, bounds[1:], strict=False)):
             if whole[r]:
                 yield np.frombuffer(self._ids([data[offsets[r] : offsets[r + 1]].tobytes().decode()])[0], dtype="<u4")
             else:
