@@ -20,6 +20,7 @@ from salesflow.llm.common import arrow_map, ship, written
 
 LEAF = 1_024
 FAN_OUT = 8
+RUN_BLOCK = 256
 
 
 def cuts(text: str, leaf: int = LEAF) -> list[int]:
@@ -111,14 +112,32 @@ def _region(ranks, pattern: str) -> Callable:
     return run
 
 
+def _runs(hits: DataFrame) -> DataFrame:
+    """(key, leaf, start, run) of touched leaves; ``run`` is the first leaf of those that edits tie together.
+
+    A cut that no edit meets stays one, so leaves beside it are runs of their own. Runs are found within RUN_BLOCK
+    leaves, and carried over from block to block by one row each.
+    """
+    tied = F.max((F.col("from") <= F.col("start")) & (F.col("leaf") > 0))
+    touched = hits.groupBy("key", "leaf", "start").agg(tied.alias("tied")).withColumn("block", F.floor(F.col("leaf") / RUN_BLOCK))
+    touched = touched.withColumn("head", F.when(~F.col("tied"), F.col("leaf")))
+    earlier = Window.partitionBy("key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = touched.groupBy("key", "block").agg(F.max("head").alias("last"))
+    carried = carried.select("key", "block", F.max("last").over(earlier).alias("carried"))
+    inside = F.max("head").over(Window.partitionBy("key", "block").orderBy("leaf"))
+    touched = touched.withColumn("inside", inside).join(carried, ["key", "block"])
+    return touched.select("key", "leaf", "start", F.coalesce("inside", "carried").alias("run"))
+
+
 def apply_edits(leaves: DataFrame, trees: DataFrame, edits: DataFrame, ranks: bytes, pattern: str, leaf: int = LEAF) -> tuple[DataFrame, DataFrame]:
     """(changed leaves, trees after the edits).
 
     ``edits`` are (key, from, to, put): the characters from:to of a document's old text become
     ``put``; those of one document do not overlap. A null ``put`` deletes. Edits of equal place
     follow in order of ``put``; edits of unknown keys, and those with null places, do nothing. A
-    changed leaf has columns key, leaf, text, n, old: runs of touched leaves are encoded as one
-    text, which their first leaf then holds, the others being empty until trees are built anew.
+    changed leaf has columns key, leaf, text, n, old: leaves with an edit across or at the cut between them
+    are encoded as one text, which the first of them then holds, the others being empty until trees
+    are built anew. Only such a run is one group; it is as long as its edits.
     """
     spark = leaves.sparkSession
     ship(spark)
@@ -129,10 +148,7 @@ def apply_edits(leaves: DataFrame, trees: DataFrame, edits: DataFrame, ranks: by
     block = F.explode(F.sequence(F.floor(F.col("from") / leaf), F.floor(F.col("to") / leaf))).alias("block")
     hits = edits.select("key", "from", "to", "put", block).join(places, ["key", "block"])
     hits = hits.where("from <= stop AND to >= start").drop("block").distinct()
-    touched = hits.select("key", "leaf", "start").distinct()
-    breaks = (F.col("leaf") - F.coalesce(F.lag("leaf").over(Window.partitionBy("key").orderBy("leaf")), F.lit(-2)) > 1).cast("int")
-    touched = touched.withColumn("run", F.sum(breaks).over(Window.partitionBy("key").orderBy("leaf")))
-    touched = written(touched, "count-touched")
+    touched = written(_runs(hits), "count-touched")
     parts = leaves.select("key", "leaf", "text", "n").join(touched, ["key", "leaf"])
     old = written(parts, "count-old")
     regions = old.groupBy("key", "run").agg(

@@ -152,7 +152,8 @@ def edited(text, edits):
 
 
 @pytest.mark.parametrize("leaf", [8, 40, 1_024])
-def test_counts_follow_edits(spark, leaf):
+def test_counts_follow_edits(spark, leaf, monkeypatch):
+    monkeypatch.setattr(token_counts, "RUN_BLOCK", 3)
     rng = np.random.default_rng(leaf)
     leaves = token_counts.build_leaves(rows(spark), RAW, PATTERN, leaf=leaf)
     trees = token_counts.build_trees(leaves)
@@ -172,6 +173,22 @@ def test_counts_follow_edits(spark, leaf):
         assert changed.count() < leaves.count()
 
 
+def test_only_leaves_that_an_edit_ties_together_are_one_run(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "RUN_BLOCK", 3)
+    text = "abcde " * 4_000
+    leaves = token_counts.build_leaves(rows(spark, [text]), RAW, PATTERN, leaf=11)
+    trees = token_counts.build_trees(leaves)
+    held = leaves.orderBy("leaf").collect()
+    edits = [(r.start + 2, r.start + 3, "zz") for r in held if r.stop - r.start > 4 and r.leaf % 50]  # inside a leaf
+    edits += [(r.start - 1, r.start + 1, "") for r in held if r.leaf and r.leaf % 50 == 0]  # across a cut
+    edits.append((held[100].start + 4, held[120].start + 2, "long"))
+    edits = [e for e in edits if e[2] == "long" or not (held[100].start + 2 <= e[0] <= held[120].start + 3)]
+    table = spark.createDataFrame([(held[0].key, *e) for e in edits], "key long, `from` long, `to` long, put string")
+    changed, after = token_counts.apply_edits(leaves, trees, table, RAW, PATTERN, leaf=11)
+    assert token_counts.counts(after).first().n_tokens == len(reference(edited(text, edits)))
+    assert changed.where("text <> ''").count() > len(held) * 0.9
+
+
 def test_digest_query_matches_a_plain_run(spark, testdata):
     from salesflow.llm.queries import op1_byte_bpe
 
