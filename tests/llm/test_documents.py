@@ -1,5 +1,7 @@
 import itertools
 import re
+import string
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 from salesflow.llm import graph, jaccard, line_spread, mixing, quality, toxicity
 from salesflow.llm import words as w
+from salesflow.llm.queries import QUERIES, toxicity_model
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -278,6 +281,65 @@ def test_lost_text_rejects_and_cleaning_removes(spark):
     assert got == {1: (True, good), 2: (False, good)}
 
 
+def plain_judge(text):
+    """(n_lines, n_bad_lines, lost_chars, kept)"""
+    text, lines, bad, lost, last = text or "", 0, 0, 0, None
+    letter = "[0-9A-Za-z_\u00c0-\u1fff]"
+    phrase = re.compile(f"(?<!{letter})(?:" + "|".join(re.escape(p) + (f"(?!{letter})" if p[-1].isalnum() else "") for p in quality.BOILERPLATE) + ")")
+    for line in text.split("\n"):
+        words = WORD.findall(line)
+        if not words:
+            continue
+        chars, n = sum(map(len, words)), len(words)
+        symbols, upper, lower = (sum(c in some for c in line) for some in ("#*$%&|<>", string.ascii_uppercase, string.ascii_lowercase))
+        echoes = sum(a == b for a, b in zip([last, *words], words, strict=False))
+        held = sum(len(m[0].split()) for m in phrase.finditer(re.sub("[A-Z]", lambda m: m[0].lower(), line)))
+        fails = symbols >= 3 and symbols > 0.1 * chars or sum(x in ("|", ">") for x in words) >= 3
+        fails |= upper + lower >= 10 and upper > lower or n >= 3 and 3 * line.count("!") >= n
+        fails |= not any(x[-1] in ".!?;:,\"')]}" or ord(x[-1]) > 127 for x in words) or 2 * echoes >= max(n, 2)
+        fails |= held > 0 and (n <= 20 or held >= 0.2 * n)
+        lines, bad, lost, last = lines + 1, bad + fails, lost + fails * chars, words[-1]
+    all_words = WORD.findall(text)
+    return lines, bad, lost, not plain_quality(text)[-1] and lost <= 0.5 * sum(map(len, all_words))
+
+
+def test_quality_query_against_a_plain_judge(spark, testdata):
+    path = testdata / "sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(str(path / "documents.parquet")).select("doc_id", "text").collect()}
+    got = {r.doc_id: (r.n_lines, r.n_bad_lines, r.lost_chars, r.kept) for r in QUERIES["op10_quality"](spark, str(path)).collect()}
+    assert got == {i: plain_judge(t) for i, t in texts.items()}
+    assert {kept for *_, kept in got.values()} == {True, False} and any(x[1] and x[3] for x in got.values())
+
+
+def test_toxicity_query_against_a_plain_noisy_or(spark, testdata):
+    path = str(testdata / "sf0.01")
+    model = toxicity_model(spark, path)
+    weights, known = dict(zip(model.keys.tolist(), model.weights.tolist(), strict=True)), {}
+
+    def weight(word):
+        if word not in known:
+            data = np.frombuffer(word, dtype=np.uint8)
+            prints = [int(w.fingerprints(data, np.array([0]), np.array([len(word)]))[0])]
+            prints += [int(w.fingerprints(data, np.array([0]), np.array([n]))[0]) * (2 * n + 1) % 2**64 for n in toxicity.STEMS if len(word) > n]
+            known[word] = sum(weights.get(x, 0.0) for x in prints)
+        return known[word]
+
+    def plain(text):
+        clean = 1.0
+        for sentence in re.split(rb"[.!?\n]", (text or "").encode()):
+            words = re.findall(rb"[0-9A-Za-z\x80-\xff]+", sentence)
+            if words:
+                clean *= 1 - 1 / (1 + np.exp(-(model.bias + sum(weight(x.lower()) for x in words))))
+        return 1 - clean
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(path + "/documents.parquet").collect()}
+    got = QUERIES["op7_toxicity"](spark, path).collect()
+    assert weights and sorted(r.doc_id for r in got) == sorted(texts) and {r.predicted for r in got} == {0, 1}
+    for r in got:
+        assert abs(r.score - plain(texts[r.doc_id])) < 1e-9
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == int(r.score >= 0.7)
+
+
 def test_toxicity(spark, testdata):
     docs = spark.read.parquet(str(testdata / "sf0.1/documents.parquet"))
     labels = spark.read.parquet(str(testdata / "sf0.1/labels.parquet"))
