@@ -4,8 +4,9 @@ A micro-batch is cut into stretches of the arrival order, and ``(product, stretc
 Tasks boil each unit down to its staircase: the times that rose above all before them in it, with their
 amounts. Whatever time a stretch inherits, the records it lets through are the steps beyond that time, so a
 binary search tells what it adds. The stateful processor sees one such row per product and stretch, never
-records, keeps each product's state in a map of its bucket of products, and gives back what each stretch inherits. The records, in the same micro-batch, are then gated
-and totalled by windows over ``(product, stretch)``: a hot product is as many tasks as it has stretches.
+records, keeps each product's state in a page of the map of its bucket of products, and gives back what each stretch
+inherits. The records, in the same micro-batch, are then gated and totalled by windows over
+``(product, stretch)``: a hot product is as many tasks as it has stretches.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ KEY, TIME, AMOUNT, TOTAL = "ProductName", "EventProcessingTime", "SalesAmount",
 # Arrival numbers per stretch: a staircase has at most so many steps of 16 bytes for each topic partition.
 ROWS_PER_RANGE = 1 << 18
 STATE = "state"
-# The processor is called per bucket of products, as a call costs far more than a product in it. Fixed for a checkpoint.
+# The processor is called per bucket of products, and asks the state store per page of a bucket, as either call costs
+# far more than a product in it. Fixed for a checkpoint.
 BUCKETS = 1024
+PAGES = 64  # of a bucket
 
 # Names without a leading underscore: the processor gets its rows as named tuples.
 _RANGE, _LAST, _BASE, _INHERITED = "arrival_range", "inherited_last", "inherited_total", "is_inherited"
@@ -59,13 +62,15 @@ def _staircases(key: str, arrival: Sequence[str]) -> Callable:
         kept[1:] |= lifted[1:] > peak[:-1]
         return table.filter(kept), np.searchsorted(np.flatnonzero(kept), first)
 
+    columns = [key, _RANGE, *arrival, "time", "amount"]
+
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         held, rows, limit = [], 0, _HELD_ROWS
         for batch in batches:
-            held.append(batch)
+            held.append(batch.select(columns))
             rows += len(batch)
             if rows > limit:
                 held = steps(pa.Table.from_batches(held))[0].to_batches()
@@ -81,27 +86,27 @@ def _staircases(key: str, arrival: Sequence[str]) -> Callable:
             offsets = pa.array(np.append(first[a:z], ends[z - 1]) - first[a], pa.int32())
             lists = [pa.ListArray.from_arrays(offsets, part.column(c).combine_chunks()) for c in ("time", "amount")]
             heads = part.select([key, _RANGE]).take(offsets[:-1]).combine_chunks()
-            columns = [heads.column(c).combine_chunks() for c in (key, _RANGE)] + lists
-            yield pa.RecordBatch.from_arrays(columns, names=[key, _RANGE, "times", "amounts"])
+            units = [heads.column(c).combine_chunks() for c in (key, _RANGE)] + lists
+            yield pa.RecordBatch.from_arrays(units, names=[key, _RANGE, "times", "amounts"])
 
     return run
 
 
-def _processor(key: T.StructField, ttl_millis: int | None, wraps: bool):
+def _processor(key: T.StructField, page: T.StructField, ttl_millis: int | None, wraps: bool):
     # The class is made here so that it is sent to the workers by value.
     import numpy as np
     import pandas as pd
     from pyspark.sql.streaming import StatefulProcessor
 
     class LastTimesAndTotals(StatefulProcessor):
-        """The last accepted time and total of each product of a bucket."""
+        """The last accepted time and total of each product of a bucket, by page."""
 
         def init(self, handle) -> None:
             ttl = {} if ttl_millis is None else {"ttlDurationMs": ttl_millis}
-            self.state = handle.getMapState(STATE, T.StructType([key]), "last_micros bigint, total bigint", **ttl)
+            lists = [T.StructField("products", T.ArrayType(key.dataType)), *(T.StructField(c, T.ArrayType(T.LongType())) for c in ("last_micros", "totals"))]
+            self.state = handle.getMapState(STATE, T.StructType([page]), T.StructType(lists), **ttl)
 
-        def _follow(self, product, units, out):
-            last, total = self.state.getValue((product,)) or (None, 0)
+        def _follow(self, product, units, last, total, out):
             for number, times, amounts in sorted(units, key=lambda u: u[0]):
                 out.append((product, number, last, total))
                 first = 0 if last is None else int(np.searchsorted(times, last, side="right"))
@@ -111,16 +116,22 @@ def _processor(key: T.StructField, ttl_millis: int | None, wraps: bool):
                 if not wraps:
                     raise OverflowError(f"the total of {product} does not fit 64 bits: {total}")
                 total = (total + (1 << 63)) % (1 << 64) - (1 << 63)
-            self.state.updateValue((product,), (last, total))
+            return last, total
 
         def handleInputRows(self, bucket, rows, timerValues):
-            products: dict = {}
+            pages: dict = {}
             for chunk in rows:
-                for product, *unit in zip(chunk[key.name], chunk[_RANGE], chunk["times"], chunk["amounts"], strict=True):
-                    products.setdefault(product, []).append(unit)
+                for number, product, *unit in zip(chunk[page.name], chunk[key.name], chunk[_RANGE], chunk["times"], chunk["amounts"], strict=True):
+                    pages.setdefault(number, {}).setdefault(product, []).append(unit)
             out: list = []
-            for product, units in products.items():
-                self._follow(product, units, out)
+            kept = self.state.exists()
+            for number, products in pages.items():
+                found = self.state.getValue((number,)) if kept else None
+                states = {p: (last, total) for p, last, total in zip(*found, strict=True)} if found else {}
+                for product, units in products.items():
+                    states[product] = self._follow(product, units, *states.get(product, (None, 0)), out)
+                lasts, totals = zip(*states.values(), strict=True)
+                self.state.updateValue((number,), (list(states), list(lasts), list(totals)))
             yield pd.DataFrame(out, columns=["key", _RANGE, _LAST, _BASE], dtype=object)
 
         def close(self) -> None:
@@ -141,20 +152,21 @@ def _with_inherited(sales: DataFrame, key: str, time: str, amount: str, arrival:
     millis = None
     if expire_after is not None:
         millis = sales.sparkSession.sql(f"SELECT unix_millis(timestamp_seconds(0) + interval {expire_after})").first()[0]
-    value = F.coalesce(F.col(amount), F.lit(0)).cast("bigint")
-    thin = sales.select(key, _RANGE, *arrival, F.unix_micros(time).alias("time"), value.alias("amount"))
+    sales = sales.repartition(key, _RANGE)  # all columns for both sides, so that Spark decodes and shuffles them once
     key_type = sales.schema[key].dataType
     unit = [T.StructField(key, key_type), T.StructField(_RANGE, T.LongType())]
     lists = [T.StructField(c, T.ArrayType(T.LongType())) for c in ("times", "amounts")]
     states = [T.StructField("key", key_type), *(T.StructField(c, T.LongType()) for c in (_RANGE, _LAST, _BASE))]
-    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+    slot = F.pmod(F.xxhash64(key), F.lit(BUCKETS * PAGES))
+    # Spark expires whole pages: products that expire have one each.
+    page = F.floor(slot / BUCKETS).cast("int") if millis is None else F.col(key)
+    page_type = T.StructField("page", T.IntegerType() if millis is None else key_type)
     inherited = (
-        thin.repartition(key, _RANGE)
-        .mapInArrow(_staircases(key, arrival), T.StructType(unit + lists))
-        .withColumn("bucket", bucket)
+        sales.mapInArrow(_staircases(key, arrival), T.StructType(unit + lists))
+        .withColumns({"bucket": F.pmod(slot, F.lit(BUCKETS)).cast("int"), "page": page})
         .groupBy("bucket")
         .transformWithStateInPandas(
-            statefulProcessor=_processor(T.StructField(key, key_type), millis, overflow == "wrap"),
+            statefulProcessor=_processor(T.StructField(key, key_type), page_type, millis, overflow == "wrap"),
             outputStructType=T.StructType(states),
             outputMode="append",
             timeMode="none" if millis is None else "processingTime",
@@ -162,19 +174,19 @@ def _with_inherited(sales: DataFrame, key: str, time: str, amount: str, arrival:
         .withColumnRenamed("key", key)
         .withColumn(_INHERITED, F.lit(True))
     )
-    return sales.withColumn(_INHERITED, F.lit(False)).unionByName(inherited, allowMissingColumns=True)
+    # In this order: the optimizer keeps renamed source columns in a union's first side, and the two would differ.
+    return inherited.unionByName(sales.withColumn(_INHERITED, F.lit(False)), allowMissingColumns=True)
 
 
 def _totals(batch: DataFrame, key: str, time: str, amount: str, arrival: Sequence[str], total: str, overflow: str) -> DataFrame:
     """The sales of a batch that pass, with their totals."""
-    inherited = batch.where(_INHERITED).select(key, _RANGE, F.timestamp_micros(_LAST).alias("_peak"), F.col(_BASE).alias("_carried"))
+    inherited = batch.where(_INHERITED).select(key, _RANGE, F.col(_LAST).alias("_peak"), F.col(_BASE).alias("_carried"))
     rows = batch.where(f"NOT {_INHERITED}").drop(_LAST, _BASE, _INHERITED).join(inherited, [key, _RANGE])
-    rows = rows.where(F.col("_peak").isNull() | (F.col(time) > F.col("_peak")))
+    rows = rows.where(F.col("_peak").isNull() | (F.col("time") > F.col("_peak")))
     order = Window.partitionBy(key, _RANGE).orderBy(*arrival)
-    earlier = F.max(time).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("_earlier", earlier).where(F.col("_earlier").isNull() | (F.col(time) > F.col("_earlier")))
-    value = F.coalesce(F.col(amount), F.lit(0)).cast("bigint")
-    so_far = F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    earlier = F.max("time").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_earlier", earlier).where(F.col("_earlier").isNull() | (F.col("time") > F.col("_earlier")))
+    so_far = F.sum("amount").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return rows.withColumn(total, narrow(F.col("_carried") + so_far, overflow))
 
 
@@ -197,6 +209,8 @@ def stream_running_totals(
     if expire_after is not None and target.available_now:
         raise ValueError("products expire by the clock: run the job with `every`")
     arrival = arrival_columns(arrival)
+    value = F.coalesce(F.col(AMOUNT), F.lit(0)).cast("bigint")
+    sales = sales.withColumns({"time": F.unix_micros(TIME), "amount": value})
     sales = without_nulls(sales, {KEY: "key", TIME: "time"} | {c: "arrival" for c in arrival})
     sales = _with_range(sales, arrival, rows_per_range)
     table = totals_table(RUNNING_TOTAL, overflow)
@@ -220,4 +234,6 @@ def read_state(spark: SparkSession, target: Target, key: str = KEY) -> DataFrame
     value = "user_map_value"
     if "value" in state.schema[value].dataType.names:  # beside the time it expires
         value = f"{value}.value"
-    return state.select(f"user_map_key.{key}", F.timestamp_micros(f"{value}.last_micros").alias("last_time"), f"{value}.total")
+    products = F.explode(F.arrays_zip(*(f"{value}.{c}" for c in ("products", "last_micros", "totals")))).alias("state")
+    last = F.timestamp_micros("state.last_micros").alias("last_time")
+    return state.select(products).select(F.col("state.products").alias(key), last, F.col("state.totals").alias("total"))
