@@ -173,6 +173,34 @@ def test_an_expired_product_starts_anew(spark, tmp_path):
         assert found() == {"0": 1, "1": wanted}
 
 
+def test_state_is_asked_per_page(spark, tmp_path, monkeypatch):
+    """Products share entries of the state store, across micro-batches and with new products in old pages."""
+    monkeypatch.setattr(running, "BUCKETS", 2)
+    monkeypatch.setattr(running, "PAGES", 3)
+    to, wanted = target(tmp_path), {}
+    for number in range(3):
+        rows = [(100 * number + i, f"p{i % (20 + 20 * number)}", 10 * number + i // 60, i) for i in range(90)]
+        for _, product, seconds, amount in rows:
+            last, total = wanted.get(product, (-1, 0))
+            if seconds > last:
+                wanted[product] = (seconds, total + amount)
+        query = stream_running_totals(_sales(spark, tmp_path / "in", number, rows), to, "arrival")
+        query.awaitTermination()
+        assert query.lastProgress.stateOperators[0].numRowsTotal <= 6
+    found = {r.ProductName: (int(r.last_time.timestamp()), r.total) for r in read_state(spark, to).collect()}
+    assert found == wanted and len(found) == 60
+
+
+def test_running_totals_decode_a_batch_once(spark, tmp_path, capsys):
+    """State and records come from one shuffle, also for columns that the source has as they are."""
+    stream = _sales(spark, tmp_path / "in", 0, [(0, "p", 100, 1), (1, "q", 101, 2), (2, "p", 99, 4)])
+    query = stream_running_totals(stream, target(tmp_path), "arrival")
+    query.awaitTermination()
+    query.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("ReusedExchange") == 1 and plan.count("FileScan json") == 1
+
+
 def test_expiry_has_no_end(spark, tmp_path):
     with pytest.raises(ValueError, match="by the clock"):
         stream_running_totals(_sales(spark, tmp_path / "in", 0, [(0, "p", 100, 1)]), target(tmp_path), "arrival", expire_after="1 day")
