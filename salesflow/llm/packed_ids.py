@@ -24,6 +24,7 @@ BLOCK = 1 << 16
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BITS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 ESCAPE = 15
+_WIDTHS = np.frexp(np.arange(1 << 16))[1].astype(np.uint8)  # bits of small ids
 _STEPS = np.asarray([*COUNTS, 0, 1], dtype=np.int32)
 READ_BLOCKS = 64
 UNITS_HELD = 600_000
@@ -39,7 +40,10 @@ def pack(ids: np.ndarray) -> np.ndarray:
     if not n:
         return np.zeros(0, dtype=np.uint64)
     huge = ids >= np.uint64(1 << 60)
-    if int(ids.max()) < 1 << 53:  # exact as double
+    top = int(ids.max())
+    if top < len(_WIDTHS):
+        width = _WIDTHS[ids]
+    elif top < 1 << 53:  # exact as double
         width = np.frexp(ids.astype(np.float64))[1].astype(np.uint8)  # bits of each id
     else:
         width = np.zeros(n, dtype=np.uint8)
@@ -47,21 +51,28 @@ def pack(ids: np.ndarray) -> np.ndarray:
             width[ids >= np.uint64(1 << bits)] = bits + 1
         width[huge] = 61
     widest, have = width.copy(), 1  # widest of the next `have` ids
-    open_ = np.ones(n, dtype=bool)
     selector = np.full(n, len(COUNTS) - 1, dtype=np.uint8)
     for s in range(len(COUNTS) - 1, -1, -1):
         while have < min(COUNTS[s], n):
             widest[: n - have] = np.maximum(widest[: n - have], width[have:])
             have += 1
-        fits = open_ & (widest <= BITS[s])
+        fits = widest <= BITS[s]
         fits[max(n - COUNTS[s] + 1, 0) :] = False
+        if not fits.any():  # nor do more ids of fewer bits
+            break
         selector[fits] = s
     selector[huge] = ESCAPE
-    jump, at, starts = (np.arange(n, dtype=np.int32) + _STEPS[selector]).data, 0, []
+    jumps = [np.append(np.arange(n) + _STEPS[selector], n)]  # of one word, of two, of four
+    for _ in range(3):
+        jumps.append(jumps[-1][jumps[-1]])
+    jump, at, starts = jumps.pop().data, 0, []
     while at < n:
         starts.append(at)
         at = jump[at]
     starts = np.asarray(starts)
+    for jump in reversed(jumps):
+        starts = np.stack([starts, jump[starts]], axis=1).ravel()
+    starts = starts[starts < n]
     chosen = selector[starts].astype(np.int64)
     place = np.arange(len(starts)) + np.concatenate([[0], np.cumsum(chosen == ESCAPE)[:-1]])
     words = np.zeros(int(place[-1]) + 1 + int(chosen[-1] == ESCAPE), dtype=np.uint64)
@@ -227,20 +238,19 @@ class Encoder:
         return [np.asarray(x.ids, dtype="<u4").tobytes() for x in found]
 
     def _new(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
-        joined, alone = [], []
-        for p in parts:
-            (joined if p[0] in SPACE and p[-1] not in SPACE else alone).append(p)
-        if alone:
+        joined = [p for p in parts if p[0] in SPACE and p[-1] not in SPACE]
+        if len(joined) < len(parts):
+            alone = [p for p in parts if p[0] not in SPACE or p[-1] in SPACE]
             yield from zip(alone, self._ids(alone), strict=True)
         if joined:
             data = self._ids(["".join(joined)])[0]
             ends = np.cumsum(self.width[np.frombuffer(data, dtype="<u4")])
-            bounds = np.cumsum([len(p.encode()) for p in joined])
+            bounds = np.cumsum(list(map(len, map(str.encode, joined))))
             stops = np.searchsorted(ends, bounds)
             if stops[-1] != len(ends) - 1 or (ends[stops] != bounds).any():
                 raise ValueError("token ids run over the end of a word")
             stops = (4 * (stops + 1)).tolist()
-            yield from ((p, data[a:z]) for p, a, z in zip(joined, [0, *stops], stops, strict=False))
+            yield from zip(joined, map(data.__getitem__, map(slice, [0, *stops], stops)), strict=False)
 
     def _known(self, parts: list[str]) -> list[bytes]:
         """The ids of distinct parts."""
@@ -250,13 +260,14 @@ class Encoder:
         missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
             wanted = list(map(parts.__getitem__, missing))
-            fresh = {p: ids for p in wanted if (ids := self.older.get(p)) is not None} if self.older else {}
-            new = [p for p in wanted if p not in fresh] if fresh else wanted
+            new = wanted
+            if self.older:
+                self.held.update((p, ids) for p in wanted if (ids := self.older.get(p)) is not None)
+                new = [p for p in wanted if p not in self.held]
             for a in range(0, len(new), NEW_PARTS):
-                fresh.update(self._new(new[a : a + NEW_PARTS]))
-            self.held.update(fresh)
-            for i, p in zip(missing, wanted, strict=True):
-                found[i] = fresh[p]
+                self.held.update(self._new(new[a : a + NEW_PARTS]))
+            for i, ids in zip(missing, map(self.held.__getitem__, wanted), strict=True):
+                found[i] = ids
         return found
 
     def _whole(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
