@@ -72,6 +72,21 @@ def test_components_of_odd_rows(spark):
     assert jaccard.similarity_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_slot_tables_come_to_the_driver_in_blocks(spark, monkeypatch):
+    rng, rows, frame = np.random.default_rng(11), [], type(spark.range(0))
+    value, n = rng.integers(-(2**63), 2**63 - 1, 30_000), rng.integers(1, 400, 30_000)
+    want = np.zeros(jaccard.ORDER_SLOTS, dtype=np.uint8)
+    often = np.log2(n).astype(int)
+    np.maximum.at(want, jaccard._slot(value.view(np.uint64))[often >= 4].astype(np.int64), often[often >= 4].astype(np.uint8))
+    for name in ("collect", "toPandas"):
+        monkeypatch.setattr(frame, name, lambda self, f=getattr(frame, name): (out := f(self), rows.append(len(out)))[0])
+    common = spark.createDataFrame(zip(value.tolist(), n.tolist(), strict=True), "value long, n long")
+    assert (jaccard._order(common) == want).all()
+    wanted = jaccard._needed(common.select(F.col("value").alias("node"))).value
+    assert wanted.sum() == len(np.unique(value & (jaccard.NEEDED_SLOTS - 1))) and wanted[value & (jaccard.NEEDED_SLOTS - 1)].all()
+    assert max(rows) <= 1_024
+
+
 def test_possible_sets_are_never_lost():
     rng = np.random.default_rng(5)
     for size in (40, 1_500, 5_000):
