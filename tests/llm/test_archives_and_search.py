@@ -131,6 +131,41 @@ def test_recall_with_mixed_norms_and_one_long_vector(spark, testdata):
     assert sum(len(got[q] & set(want[q])) for q in want) / (20 * len(want)) >= 0.9
 
 
+def test_neighbour_graph_is_a_row_for_each_home(spark, testdata):
+    rows = [(r.vec_id, np.array(r.embedding, dtype=np.float32)) for r in spark.read.parquet(str(testdata / "sf0.1/embeddings.parquet")).collect()]
+    vectors = spark.createDataFrame([(i, bytearray(np.append(x, np.float32(0)).tobytes())) for i, x in rows], "node long, vec binary")
+    homes = neighbours.homes(vectors)
+    graph = neighbours.neighbour_graph(homes)
+    assert graph.count() <= homes.count() <= 16  # a row for each edge would be 96,000
+    node = {r.home: np.frombuffer(r.a, dtype=np.int64) for r in homes.collect()}
+    assert sorted(np.concatenate(list(node.values())).tolist()) == sorted(i for i, _ in rows)
+    got, bits = {}, neighbours.PLACE_BITS
+    for r in graph.collect():
+        for u, v in zip(np.frombuffer(r.a, dtype=np.int32).tolist(), np.frombuffer(r.b, dtype=np.int64).tolist(), strict=True):
+            got.setdefault(int(node[r.home][u]), set()).add(int(node[v >> bits][v & ((1 << bits) - 1)]))
+    ids, x = np.array([i for i, _ in rows]), np.array([x for _, x in rows])
+    near = 2 * x @ x.T - (x * x).sum(axis=1)
+    np.fill_diagonal(near, -np.inf)
+    best = np.argsort(-near, axis=1)[:, : neighbours.NEIGHBOURS]
+    assert all(len(v) == neighbours.NEIGHBOURS and u not in v for u, v in got.items()) and len(got) == len(rows)
+    assert np.mean([len(got[int(ids[i])] & set(ids[best[i]].tolist())) for i in range(len(ids))]) >= 0.9 * neighbours.NEIGHBOURS
+
+
+def test_recall_of_many_queries_in_lanes_and_salts(spark, testdata, monkeypatch):
+    monkeypatch.setattr(neighbours, "SALT_QUERIES", 300)
+    table = spark.read.parquet(str(testdata / "sf0.1/embeddings.parquet"))
+    rows = [(r.vec_id, np.array(r.embedding, dtype=np.float64)) for r in table.collect()]
+    got = {}
+    for row in neighbours.nearest(table, F.lit(True)).collect():
+        got.setdefault(row.query_id, []).append(row.vec_id)
+    ids, x = np.array([i for i, _ in rows]), np.array([x for _, x in rows])
+    s = x @ x.T
+    np.fill_diagonal(s, -np.inf)
+    best = np.argsort(-s, axis=1)[:, :20]
+    assert len(got) == len(rows) and all(len(set(v)) == len(v) == 20 for v in got.values())
+    assert sum(len(set(got[int(ids[i])]) & set(ids[best[i]].tolist())) for i in range(len(ids))) >= 0.9 * 20 * len(ids)
+
+
 def test_equal_and_odd_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [1.0, 2.0, 0.5], 1) for i in range(60)] + [(100 + i, rng.standard_normal(3).tolist(), 1) for i in range(30)]
